@@ -1,0 +1,87 @@
+"""Equi-joins that stay balanced when a few keys hold most of the rows."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# Rows of one key that a single task may take before the key is split.
+ROWS_PER_SPLIT = 2_000_000
+MAX_SPLITS = 1_000
+# The table of heavy keys is broadcast, so its length is fixed here. Keys beyond
+# the heaviest thousand hold less than a thousandth of the rows each.
+MAX_HEAVY_KEYS = 1_000
+# Rows with a null key never match; they only need to be dealt out evenly.
+NULL_KEY_SPLITS = 200
+
+
+def heavy_keys(
+    counts: DataFrame,
+    keys: Sequence[str],
+    count_col: str = "count",
+    rows_per_split: int = ROWS_PER_SPLIT,
+) -> DataFrame:
+    """Keys to split and into how many parts; at most ``MAX_HEAVY_KEYS`` rows.
+
+    ``counts`` is a per-key count that the caller mostly has at hand already
+    (in-link counts, out-degrees, document frequencies).
+    """
+    return (
+        counts.where(F.col(count_col) > rows_per_split)
+        .select(
+            *keys,
+            F.least(
+                F.ceil(F.col(count_col) / F.lit(rows_per_split)), F.lit(MAX_SPLITS)
+            ).cast("int").alias("_splits"),
+        )
+        .orderBy(F.desc("_splits"), *keys)
+        .limit(MAX_HEAVY_KEYS)
+    )
+
+
+def spread_join(
+    large: DataFrame,
+    small: DataFrame,
+    keys: Sequence[str],
+    how: str,
+    heavy: DataFrame,
+    salt_on: Sequence[str],
+    extra: Callable[[DataFrame, DataFrame], Column] | None = None,
+) -> DataFrame:
+    """Join on ``keys`` with the rows of each heavy key of ``large`` dealt out.
+
+    A heavy key's rows in ``large`` go to ``_splits`` tasks by a hash of
+    ``salt_on``; the matching rows of ``small`` are repeated once per task. All
+    other keys join as usual. The result is the plain join's, for inner, left,
+    left_semi and left_anti. ``extra`` adds a condition on the two sides, for
+    left_semi and left_anti only.
+    """
+    keys = list(keys)
+    hint = F.broadcast(heavy)
+    any_null = F.lit(False)
+    for k in keys:
+        any_null = any_null | F.col(k).isNull()
+    splits = F.when(any_null, F.lit(NULL_KEY_SPLITS)).otherwise(
+        F.coalesce(F.col("_splits"), F.lit(1))
+    )
+    left = (
+        large.join(hint, keys, "left")
+        .withColumn("_salt", F.pmod(F.xxhash64(*salt_on), splits).cast("int"))
+        .drop("_splits")
+    )
+    right = (
+        small.join(hint, keys, "left")
+        .withColumn(
+            "_salt",
+            F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_splits"), F.lit(1)) - 1)),
+        )
+        .drop("_splits")
+    )
+    if extra is None:
+        return left.join(right, [*keys, "_salt"], how).drop("_salt")
+    condition = extra(left, right)
+    for k in [*keys, "_salt"]:
+        condition = condition & (left[k] == right[k])
+    return left.join(right, condition, how).drop("_salt")
