@@ -22,20 +22,19 @@ _TAG_REST = rf"""(?:=[{WS}]*+"[^"]*+"|=[{WS}]*+'[^']*+'|[^>])*+>"""
 RAW_ELEMENTS = ("script", "style", "noscript", "iframe", "noembed", "noframes", "xmp")
 ESCAPABLE_ELEMENTS = ("title", "textarea")
 
-COMMENT = r"<!--(?:-?>|.*?(?:--!?>|\z))"
 INERT = (
-    "(?is)"
-    + COMMENT
+    "(?is)<(?:!--(?:-?>|.*?(?:--!?>|\\z))"
     + "".join(
-        rf"|<{e}(?:[{WS}/]{_TAG_REST}|>).*?(?:</{e}(?:[{WS}/][^>]*+)?>|\z)"
+        rf"|{e}(?:[{WS}/]{_TAG_REST}|>).*?(?:</{e}(?:[{WS}/][^>]*+)?>|\z)"
         for e in RAW_ELEMENTS + ESCAPABLE_ELEMENTS
     )
+    + ")"
 )
 OPENING_TAG = rf"(?s)^<[^!]{_TAG_REST}"
 CLOSING_TAG = r"</[A-Za-z]+[^>]*+>\z"
 ESCAPABLE_START = rf"(?i)^<(?:{'|'.join(ESCAPABLE_ELEMENTS)})[{WS}/>]"
 
-ANY_TAG = rf"(?s)</?[A-Za-z]{_TAG_REST}"
+ANY_TAG = rf"</?[A-Za-z]{_TAG_REST}"
 ATTRIBUTE = (
     rf"""([^{WS}/>=][^{WS}/>=]*+)"""
     rf"""(?:[{WS}]*+=[{WS}]*+("[^"]*+"|'[^']*+'|[^{WS}"'>][^{WS}>]*+))?+"""
@@ -45,12 +44,13 @@ ATTRIBUTE = (
 PARAGRAPH_ENDS = (
     "address article aside blockquote body caption center dd details dialog dir div dl dt "
     "fieldset figcaption figure footer form h[1-6] header hgroup hr html li listing main "
-    "menu nav ol pre search section summary table tbody td th tr ul"
+    "menu nav ol p pre search section summary table tbody td th tr ul"
 ).split()
-PARAGRAPH_CUT = (
-    rf"(?i)</p(?:[{WS}/][^>]*+)?>|</?(?:{'|'.join(PARAGRAPH_ENDS)})(?:[{WS}/][^>]*+)?>"
-)
-HEADING_CUT = rf"(?i)</?h[1-6](?:[{WS}/][^>]*+)?>"
+PARAGRAPH_CUT = rf"</?(?:{'|'.join(PARAGRAPH_ENDS)})(?:[{WS}/][^>]*+)?>"
+HEADING_CUT = rf"</?h[1-6](?:[{WS}/][^>]*+)?>"
+HEADING_BLOCK = rf"(?is)<h[12](?:[{WS}/]{_TAG_REST}|>).*?(?={HEADING_CUT}|\z)"
+TITLE_CUT = rf"</title(?:[{WS}/][^>]*+)?>"
+TITLE_BLOCK = rf"(?is)<title(?:[{WS}/]{_TAG_REST}|>).*?(?={TITLE_CUT}|\z)"
 
 # Link endings that mark a file.
 FILE_ENDINGS = "pdf xlsx xls docx doc pptx ppt txt csv zip rar".split()
@@ -59,7 +59,7 @@ _ENTITY_CODES = ",".join(f"{k}:{v}" for k, v in sorted(html.entities.name2codepo
 
 
 def start_tag_pattern(element: str) -> str:
-    return rf"(?is)<{element}(?:[{WS}/]{_TAG_REST}|>)"
+    return rf"(?is)<(?:{element})(?:[{WS}/]{_TAG_REST}|>)"
 
 
 # ---------------------------------------------------------------- characters
@@ -71,102 +71,169 @@ def _character(code: Column) -> Column:
     return F.decode(F.unhex(F.lpad(F.hex(safe), 8, "0")), "UTF-32")
 
 
-def decode_entities(text: Column) -> Column:
-    """Named (HTML 4 set), decimal and hexadecimal character references."""
+def _reference_code(ref: Column) -> Column:
     names = F.str_to_map(F.lit(_ENTITY_CODES), F.lit(","), F.lit(":"))
+    return (
+        F.when(ref.rlike("^#[0-9]{1,7}$"), F.substring(ref, 2, 7))
+        .when(ref.rlike("^#[xX][0-9a-fA-F]{1,6}$"), F.conv(F.substring(ref, 3, 6), 16, 10))
+        .otherwise(F.try_element_at(names, ref))
+    ).cast("int")
+
 
-    def decode_piece(piece: Column) -> Column:
-        ref = F.substring_index(piece, ";", 1)
-        code = (
-            F.when(ref.rlike("^#[0-9]{1,7}$"), F.substring(ref, 2, 7))
-            .when(ref.rlike("^#[xX][0-9a-fA-F]{1,6}$"), F.conv(F.substring(ref, 3, 6), 16, 10))
-            .otherwise(F.try_element_at(names, ref))
-        ).cast("int")
-        rest = piece.substr(F.length(ref) + 2, F.length(piece))
-        return F.when(
-            piece.contains(";") & code.isNotNull(), F.concat(_character(code), rest)
-        ).otherwise(F.concat(F.lit("&"), piece))
-
-    pieces = F.split(text, "&")
-    decoded = F.transform(pieces, lambda p, i: F.when(i == 0, p).otherwise(decode_piece(p)))
+def decode_entities(text: Column) -> Column:
+    """Named (HTML 4 set), decimal and hexadecimal character references.
+
+    ``text`` occurs three times in the result, so it should be a plain column or
+    a lambda variable. The steps are chained transforms for the same reason: each
+    gives its result a name that the next one can use freely.
+    """
+    pieces = F.transform(
+        F.split(text, "&"),
+        lambda p, i: F.struct(
+            p.alias("piece"),
+            F.when((i > 0) & p.contains(";"), F.substring_index(p, ";", 1)).alias("ref"),
+        ),
+    )
+    coded = F.transform(
+        pieces,
+        lambda p: F.struct(
+            p["piece"].alias("piece"),
+            p["ref"].alias("ref"),
+            F.when(p["ref"].isNotNull(), _reference_code(p["ref"])).alias("code"),
+        ),
+    )
+    decoded = F.transform(
+        coded,
+        lambda p, i: F.when(
+            p["code"].isNotNull(),
+            F.concat(
+                _character(p["code"]),
+                p["piece"].substr(F.length(p["ref"]) + 2, F.length(p["piece"])),
+            ),
+        )
+        .when(i == 0, p["piece"])
+        .otherwise(F.concat(F.lit("&"), p["piece"])),
+    )
     return F.when(text.contains("&"), F.array_join(decoded, "")).otherwise(text)
 
 
+def _decode_all(texts: Column) -> Column:
+    return F.transform(texts, lambda t: decode_entities(t))
+
+
 # ------------------------------------------------------------ masking, tags
 
 
-def _mask_element(block: Column) -> Column:
+def _masked_block(b: Column) -> Column:
     """Keep the element's own tags, turn its body into inert text; drop comments."""
-    opening = F.regexp_extract(block, OPENING_TAG, 0)
-    closing = F.regexp_extract(block, CLOSING_TAG, 0)
-    body = block.substr(
-        F.length(opening) + 1, F.length(block) - F.length(opening) - F.length(closing)
+    body = b["block"].substr(
+        F.length(b["opening"]) + 1,
+        F.length(b["block"]) - F.length(b["opening"]) - F.length(b["closing"]),
     )
-    kept = F.when(block.rlike(ESCAPABLE_START), body).otherwise(
+    kept = F.when(b["block"].rlike(ESCAPABLE_START), body).otherwise(
         F.replace(body, F.lit("&"), F.lit("&amp;"))
     )
-    inert = F.replace(kept, F.lit("<"), F.lit("&lt;"))
-    return F.when(block.startswith("<!--"), F.lit("")).otherwise(
-        F.concat(opening, inert, closing)
+    return F.when(b["block"].startswith("<!--"), F.lit("")).otherwise(
+        F.concat(b["opening"], F.replace(kept, F.lit("<"), F.lit("&lt;")), b["closing"])
     )
 
 
 def mask_inert(page: Column) -> Column:
     """Drop comments and escape markup-like text in script, style, title and the like."""
+    blocks = F.transform(
+        F.regexp_extract_all(page, F.lit(INERT), F.lit(0)),
+        lambda b: F.struct(
+            b.alias("block"),
+            F.regexp_extract(b, OPENING_TAG, 0).alias("opening"),
+            F.regexp_extract(b, CLOSING_TAG, 0).alias("closing"),
+        ),
+    )
+    inert = F.transform(blocks, _masked_block)
     between = F.split(page, INERT, -1)
-    blocks = F.regexp_extract_all(page, F.lit(INERT), F.lit(0))
-    merged = F.zip_with(
-        between,
-        blocks,
-        lambda text, block: F.concat(text, F.coalesce(_mask_element(block), F.lit(""))),
+    return F.array_join(
+        F.zip_with(between, inert, lambda t, b: F.concat(t, F.coalesce(b, F.lit("")))), ""
     )
-    return F.array_join(merged, "")
 
 
 def start_tags(masked: Column, element: str) -> Column:
+    """Start tags of an element, or of several given as a pattern like ``a|img``."""
     return F.regexp_extract_all(masked, F.lit(start_tag_pattern(element)), F.lit(0))
 
 
-def attribute(tag: Column, name: str) -> Column:
-    """Value of an attribute in one start tag; null if absent, '' if it has no value."""
-    names = F.transform(F.regexp_extract_all(tag, F.lit(ATTRIBUTE), F.lit(1)), F.lower)
-    values = F.regexp_extract_all(tag, F.lit(ATTRIBUTE), F.lit(2))
-    at = F.array_position(names, name).cast("int")
-    raw = F.get(values, at - 1)
-    quoted = raw.startswith('"') | raw.startswith("'")
-    bare = F.when(quoted, raw.substr(F.lit(2), F.length(raw) - 2)).otherwise(raw)
-    return F.when(at > 0, decode_entities(bare))
+def tags_of(tags: Column, element: str) -> Column:
+    return F.filter(tags, lambda t: t.rlike(rf"(?i)^<{element}[{WS}/>]"))
+
+
+def tag_attributes(tags: Column) -> Column:
+    """array<struct<names, values>> of start tags; '' for an attribute without a value."""
+    found = F.transform(
+        tags,
+        lambda t: F.struct(
+            F.regexp_extract_all(t, F.lit(ATTRIBUTE), F.lit(1)).alias("names"),
+            F.regexp_extract_all(t, F.lit(ATTRIBUTE), F.lit(2)).alias("values"),
+        ),
+    )
+    return F.transform(
+        found,
+        lambda a: F.struct(
+            F.transform(a["names"], lambda n: F.lower(n)).alias("names"),
+            F.transform(a["values"], _unquoted).alias("values"),
+        ),
+    )
+
+
+def _unquoted(value: Column) -> Column:
+    quoted = value.startswith('"') | value.startswith("'")
+    return F.when(quoted, value.substr(F.lit(2), F.length(value) - 2)).otherwise(value)
+
+
+def _raw_values(attributes: Column, name: str) -> Column:
+    """One attribute of each tag, null where absent; the first of a repeated name counts."""
+    return F.transform(
+        attributes, lambda a: F.get(a["values"], F.array_position(a["names"], name).cast("int") - 1)
+    )
 
 
 def attribute_values(masked: Column, element: str, name: str) -> Column:
     """The attribute of every such element in page order, null where absent."""
-    return F.transform(start_tags(masked, element), lambda t: attribute(t, name))
+    return _decode_all(_raw_values(tag_attributes(start_tags(masked, element)), name))
+
+
+def _without_tags(fragments: Column, cut: str | None = None) -> Column:
+    """Fragments without their tags and without everything from the first ``cut`` on."""
+    drop = f"(?is){cut}.*|{ANY_TAG}" if cut else ANY_TAG
+    return F.transform(fragments, lambda f: F.regexp_replace(f, drop, ""))
+
+
+def _raw_headings(blocks: Column, level: int) -> Column:
+    return _without_tags(F.filter(blocks, lambda b: F.substring(b, 3, 1) == str(level)))
 
 
-def _text(fragment: Column) -> Column:
-    return decode_entities(F.regexp_replace(fragment, ANY_TAG, ""))
+def _raw_paragraphs(masked: Column) -> Column:
+    pieces = F.split(masked, start_tag_pattern("p"), -1)
+    return _without_tags(F.filter(pieces, lambda _, i: i > 0), PARAGRAPH_CUT)
 
 
-def element_texts(masked: Column, element: str, cut: str) -> Column:
-    """Text of every such element: from its start tag up to the first ``cut``."""
-    pieces = F.split(masked, start_tag_pattern(element), -1)
-    bodies = F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0)))
-    return F.transform(bodies, lambda b: _text(F.get(F.split(b, cut, 2), 0)))
+def _raw_titles(masked: Column) -> Column:
+    return _without_tags(F.regexp_extract_all(masked, F.lit(TITLE_BLOCK), F.lit(0)))
+
+
+def heading_blocks(masked: Column) -> Column:
+    """h1 and h2 elements, each from its start tag to the next heading tag."""
+    return F.regexp_extract_all(masked, F.lit(HEADING_BLOCK), F.lit(0))
 
 
 def headings(masked: Column, level: int) -> Column:
-    return element_texts(masked, f"h{level}", HEADING_CUT)
+    return _decode_all(_raw_headings(heading_blocks(masked), level))
 
 
 def paragraphs(masked: Column) -> Column:
-    return element_texts(masked, "p", PARAGRAPH_CUT)
+    return _decode_all(_raw_paragraphs(masked))
 
 
 def title(masked: Column) -> Column:
     """One element: the text of all titles run together, '' without a title."""
-    return F.array(
-        F.array_join(element_texts(masked, "title", rf"(?i)</title(?:[{WS}/][^>]*+)?>"), "")
-    )
+    return F.array(F.array_join(_decode_all(_raw_titles(masked)), ""))
 
 
 # ------------------------------------------------------------------- fields
@@ -206,27 +273,34 @@ def https_only(values: Column) -> Column:
     return F.filter(values, lambda v: v.startswith("https"))
 
 
-def meta_charsets(meta_tags: Column) -> Column:
-    return F.filter(
-        F.transform(meta_tags, lambda t: attribute(t, "charset")), lambda v: v.isNotNull()
-    )
+def present(values: Column) -> Column:
+    return F.filter(values, lambda v: v.isNotNull())
 
 
-def named_metas(meta_tags: Column) -> Column:
-    """array<struct<name, content>> of metas with a name and no charset, in page order."""
-    named = F.filter(
-        meta_tags,
-        lambda t: attribute(t, "charset").isNull() & attribute(t, "name").isNotNull(),
-    )
+def meta_charsets(masked: Column) -> Column:
+    return present(attribute_values(masked, "meta", "charset"))
+
+
+def named_metas(charsets: Column, names: Column, contents: Column) -> Column:
+    """array<struct<name, content>> of metas with a name and no charset, in page order.
+
+    The three lists hold one entry per meta tag, null where it lacks the attribute.
+    """
+    rows = F.arrays_zip(charsets.alias("charset"), names.alias("name"), contents.alias("content"))
+    rows = rows.cast("array<struct<charset:string,name:string,content:string>>")
+    named = F.filter(rows, lambda r: r["charset"].isNull() & r["name"].isNotNull())
     return F.transform(
         named,
-        lambda t: F.struct(
-            attribute(t, "name").alias("name"),
-            F.coalesce(attribute(t, "content"), F.lit("")).alias("content"),
+        lambda r: F.struct(
+            r["name"].alias("name"), F.coalesce(r["content"], F.lit("")).alias("content")
         ),
     )
 
 
+def link_hrefs(masked: Column) -> Column:
+    return present(attribute_values(masked, "link", "href"))
+
+
 def meta_map(pairs: Column) -> Column:
     """map<name, array<content>>; a repeated name appends."""
     names = F.array_distinct(F.transform(pairs, lambda p: p["name"]))
@@ -241,49 +315,81 @@ def meta_map(pairs: Column) -> Column:
     )
 
 
+# What ``parse_pages`` takes from start tags: (element, attribute).
+_FIELDS = [
+    ("a", "href"),
+    ("link", "href"),
+    ("script", "src"),
+    ("img", "src"),
+    ("meta", "charset"),
+    ("meta", "name"),
+    ("meta", "content"),
+]
+_ELEMENTS = ["a", "link", "script", "img", "meta"]
+
+
 def parse_pages(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """Replace the HTML column by ``content``; other columns pass through.
 
-    The steps are separate projections so that the masked page, the link targets
-    and the meta pairs are computed once per row.
+    One scan finds all start tags of interest and one all headings. The lists are
+    decoded together, so the plan holds the decoding once. Each step is a
+    projection of its own whose results the next one may use several times.
     """
     others = [c for c in pages.columns if c != html_col]
-    m = F.col("_masked")
-    return (
-        pages.select(*others, mask_inert(F.col(html_col)).alias("_masked"))
-        .select(
-            *others,
-            "_masked",
-            link_targets(m).alias("_a"),
-            start_tags(m, "meta").alias("_meta"),
-            F.filter(attribute_values(m, "link", "href"), lambda v: v.isNotNull()).alias("_link"),
-        )
-        .select(*others, "_masked", "_a", "_meta", "_link", named_metas(F.col("_meta")).alias("_named"))
-        .select(
-            *others,
+    m = F.col("_m")
+    masked = pages.select(*others, mask_inert(F.col(html_col)).alias("_m"))
+    scanned = masked.select(
+        *others,
+        start_tags(m, "|".join(_ELEMENTS)).alias("_tags"),
+        heading_blocks(m).alias("_headings"),
+        _raw_paragraphs(m).alias("_p"),
+        _raw_titles(m).alias("_titles"),
+    )
+    attributes = scanned.select(
+        *others,
+        "_headings",
+        "_p",
+        "_titles",
+        *[tag_attributes(tags_of(F.col("_tags"), e)).alias(f"_{e}") for e in _ELEMENTS],
+    )
+    raw = F.array(
+        *[_raw_values(F.col(f"_{e}"), name) for e, name in _FIELDS],
+        _raw_headings(F.col("_headings"), 1),
+        _raw_headings(F.col("_headings"), 2),
+        F.col("_p"),
+        F.col("_titles"),
+    )
+    texts = attributes.select(*others, F.transform(raw, _decode_all).alias("_t"))
+    part = [F.get("_t", F.lit(i)) for i in range(len(_FIELDS) + 4)]
+    a_href, link_href, script_src, img_src, charset, name, meta_content, h1, h2, p, titles = part
+    lists = texts.select(
+        *others,
+        F.transform(a_href, lambda v: F.coalesce(v, F.lit(""))).alias("_a"),
+        present(link_href).alias("_link"),
+        named_metas(charset, name, meta_content).alias("_named"),
+        F.struct(https_only(img_src).alias("imgs")).alias("_imgs"),
+        F.struct(h1.alias("h1"), h2.alias("h2"), p.alias("p")).alias("_texts"),
+        https_only(script_src).alias("_scripts"),
+        present(charset).alias("_charset"),
+        F.array(F.array_join(titles, "")).alias("_title"),
+    )
+    a, link = F.col("_a"), F.col("_link")
+    classes = ("http", "https", "files", "internal")
+    return lists.select(
+        *others,
+        F.struct(
+            F.struct(*[links_of_class(a, c).alias(c) for c in classes]).alias("links"),
             F.struct(
-                F.struct(
-                    *[
-                        links_of_class(F.col("_a"), c).alias(c)
-                        for c in ("http", "https", "files", "internal")
-                    ]
-                ).alias("links"),
-                F.struct(
-                    meta_charsets(F.col("_meta")).alias("charset"),
-                    logos(F.col("_link")).alias("logo"),
-                    https_only(attribute_values(m, "script", "src")).alias("scripts"),
-                    stylesheets(F.col("_link")).alias("styles"),
-                    title(m).alias("title"),
-                    meta_map(F.col("_named")).alias("other"),
-                ).alias("metadata"),
-                F.struct(https_only(attribute_values(m, "img", "src")).alias("imgs")).alias("imgs"),
-                F.struct(
-                    headings(m, 1).alias("h1"),
-                    headings(m, 2).alias("h2"),
-                    paragraphs(m).alias("p"),
-                ).alias("texts"),
-            ).alias("content"),
-        )
+                F.col("_charset").alias("charset"),
+                logos(link).alias("logo"),
+                F.col("_scripts").alias("scripts"),
+                stylesheets(link).alias("styles"),
+                F.col("_title").alias("title"),
+                meta_map(F.col("_named")).alias("other"),
+            ).alias("metadata"),
+            F.col("_imgs").alias("imgs"),
+            F.col("_texts").alias("texts"),
+        ).alias("content"),
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 from typing import NamedTuple
 
@@ -91,27 +92,52 @@ def text_segments(texts: Column) -> Column:
 
 
 def keyword_tags(segments: Column, keywords: dict[str, list[str]] = KEYWORDS) -> Column:
-    """Tags with at least one word that occurs anywhere in the text, also inside words."""
-    text = F.lower(F.array_join(segments, " "))
-    return _tags_if([(tag, _contains_any(text, words)) for tag, words in keywords.items()])
+    """Tags with at least one word that occurs anywhere in the text, also inside words.
+
+    The text is handed to the checks as a lambda variable, so it is put together
+    once and not once per word.
+    """
+    text = F.array(F.lower(F.array_join(segments, " ")))
+    return F.flatten(
+        F.transform(
+            text,
+            lambda t: _tags_if([(tag, _contains_any(t, words)) for tag, words in keywords.items()]),
+        )
+    )
+
+
+def _literal_start(pattern: str) -> str:
+    """Text that every match of a pattern begins with, '' if that is not plain to see."""
+    if "|" in pattern:
+        return ""
+    start = re.match(r"[^\\.^$*+?{}\[\]()]*", pattern).group()
+    return start[:-1] if pattern[len(start) : len(start) + 1] in ("*", "?", "{") else start
 
 
 def phrase_tags(segments: Column, patterns: list[str] = DEFAULT_DICTIONARY.patterns) -> Column:
     """Pieces of the first group of each pattern, cut at commas and connectors.
 
     Kept are pieces of more than two bytes and at most four words. Every pattern
-    searches a segment on its own; one scan for all of them first sorts out the
-    segments without any match.
+    searches a segment on its own, but only where its literal start occurs.
     """
+    none = F.array().cast("array<string>")
     if not patterns:
-        return F.array().cast("array<string>")
-    any_pattern = "|".join(f"(?:{p})" for p in patterns)
-    hits = F.filter(F.transform(segments, F.lower), lambda s: s.rlike(any_pattern))
+        return none
+    starts = [_literal_start(p) for p in patterns]
+    may_match = (
+        (lambda s: _contains_any(s, starts)) if all(starts) else (lambda s: F.lit(True))
+    )
+    hits = F.filter(F.transform(segments, lambda s: F.lower(s)), may_match)
     phrases = F.flatten(
         F.transform(
             hits,
             lambda s: F.concat(
-                *[F.regexp_extract_all(s, F.lit(p), F.lit(1)) for p in patterns]
+                *[
+                    F.when(
+                        s.contains(start), F.regexp_extract_all(s, F.lit(p), F.lit(1))
+                    ).otherwise(none)
+                    for p, start in zip(patterns, starts)
+                ]
             ),
         )
     )

@@ -133,9 +133,10 @@ def term_tokens(term_rows: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """
     terms = term_rows.select("term").distinct()
     lengths = terms.agg(F.collect_set(F.length("term"))).scalar()
-    cuts = vocabulary.select(
-        "*", F.explode(F.filter(lengths, lambda n: n <= F.length("token"))).alias("_n")
-    ).withColumn("term", F.col("token").substr(F.lit(1), F.col("_n")))
+    in_token = F.array_intersect(lengths, F.sequence(F.lit(1), F.length("token")))
+    cuts = vocabulary.select("*", F.explode(in_token).alias("_n")).withColumn(
+        "term", F.col("token").substr(F.lit(1), F.col("_n"))
+    )
     return cuts.drop("_n").join(terms, "term")
 
 

@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from webloom.functions import html, urls
 from webloom.operators.tagging import to_page_rows
-from webloom.session import stage_table
+from webloom.session import deal_out, stage_table
+
+# Tables with long texts, whose work is per row and heavy on the processor.
+TEXT_TABLES = ("pages", "documents")
 
 DAY, DAY_BEFORE = "2024-01-02", "2024-01-01"
 
@@ -33,7 +36,8 @@ BODY_BLOCK = (
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return deal_out(rows) if name in TEXT_TABLES else rows
 
 
 def _filled(block: str) -> Column:
@@ -59,7 +63,7 @@ def marked_pages(spark: SparkSession, sf_dir: str, drop_parent: bool = False) ->
     """
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     address = urls.canonical_url(urls.domain(F.col("url")), urls.path(F.col("url")))
-    known = table(spark, sf_dir, "pages").select("page_id", address.alias("address"))
+    known = pages.select("page_id", address.alias("address"))
     hub = known.select(F.col("page_id").alias("hub_id"), F.col("address").alias("hub"))
     parent = known.select(F.col("page_id").alias("parent_id"), F.col("address").alias("parent"))
     linked = (

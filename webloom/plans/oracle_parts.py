@@ -162,7 +162,7 @@ def link_class(v: str) -> str:
 def element_texts(element: str, cut: str) -> str:
     pieces = f"string_split_regex(masked, {rx(H.start_tag_pattern(element))})[2:]"
     text = (
-        f"regexp_replace(string_split_regex(bd, {rx(cut)})[1], {rx(H.ANY_TAG)}, '', 'g')"
+        f"regexp_replace(string_split_regex(bd, {rx('(?i)' + cut)})[1], {rx("(?s)" + H.ANY_TAG)}, '', 'g')"
     )
     return f"list_transform(list_transform({pieces}, lambda bd: {text}), lambda el: {decode('el')})"
 
@@ -176,8 +176,7 @@ def paragraphs() -> str:
 
 
 def title() -> str:
-    cut = rf"(?i)</title(?:[{H.WS}/][^>]*+)?>"
-    return f"array_to_string({element_texts('title', cut)}, '')"
+    return f"array_to_string({element_texts('title', H.TITLE_CUT)}, '')"
 
 
 def internal_urls(links: str, url: str = "url") -> str:

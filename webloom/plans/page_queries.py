@@ -62,7 +62,7 @@ def page_meta(spark: SparkSession, sf: str) -> DataFrame:
     return pages.select(
         "page_id",
         F.get(html.title(m), F.lit(0)).alias("title"),
-        _joined(html.meta_charsets(html.start_tags(m, "meta"))).alias("charsets"),
+        _joined(html.meta_charsets(m)).alias("charsets"),
     )
 
 
@@ -83,10 +83,9 @@ SELECT page_id, name, string_agg(content, '{SEP}' ORDER BY pos) AS contents
 FROM n GROUP BY page_id, name""",
 )
 def page_meta_named(spark: SparkSession, sf: str) -> DataFrame:
-    pages = inputs.masked_pages(spark, sf)
-    metas = pages.select(
-        "page_id", html.named_metas(html.start_tags(F.col("masked"), "meta")).alias("pairs")
-    )
+    m = F.col("masked")
+    lists = [html.attribute_values(m, "meta", n) for n in ("charset", "name", "content")]
+    metas = inputs.masked_pages(spark, sf).select("page_id", html.named_metas(*lists).alias("pairs"))
     return metas.select(
         "page_id", F.explode(html.meta_map(F.col("pairs"))).alias("name", "contents")
     ).select("page_id", "name", _joined(F.col("contents")).alias("contents"))
@@ -101,8 +100,7 @@ SELECT page_id, {_sql_joined('styles')} AS styles, {_sql_joined('logo')} AS logo
 def page_assets(spark: SparkSession, sf: str) -> DataFrame:
     pages = inputs.masked_pages(spark, sf)
     m = F.col("masked")
-    hrefs = F.filter(html.attribute_values(m, "link", "href"), lambda v: v.isNotNull())
-    return pages.select("page_id", "masked", hrefs.alias("hrefs")).select(
+    return pages.select("page_id", "masked", html.link_hrefs(m).alias("hrefs")).select(
         "page_id",
         _joined(html.stylesheets(F.col("hrefs"))).alias("styles"),
         _joined(html.logos(F.col("hrefs"))).alias("logos"),

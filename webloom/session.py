@@ -63,3 +63,13 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def deal_out(df: DataFrame) -> DataFrame:
+    """Give every core a share of a small input that arrives in few partitions.
+
+    Input with at least as many partitions as cores, so any large one, stays as it
+    is read.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
