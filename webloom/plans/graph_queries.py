@@ -127,8 +127,8 @@ def pagerank(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # Two days of pages: on the older day each page still lacks its parent link.
-HISTORY = f"""{o.marked_cte()}, {o.masked_cte()}, {o.parsed_cte()},
-{o.marked_cte('marked0', "'#old'")}, {o.masked_cte('marked0', 'masked0')},
+HISTORY = f"""{o.NUMBERED_PAGES}, {o.marked_cte(pages='numbered')}, {o.masked_cte()}, {o.parsed_cte()},
+{o.marked_cte('marked0', "'#old'", 'numbered')}, {o.masked_cte('marked0', 'masked0')},
 {o.parsed_cte('masked0', 'parsed0')},
 raw AS (SELECT page_id, {o.canonical('url')} AS url, '{inputs.DAY}' AS date, https || http AS ext FROM parsed
   UNION ALL SELECT page_id, {o.canonical('url')}, '{inputs.DAY_BEFORE}', https || http FROM parsed0),

@@ -55,13 +55,21 @@ def _filled(block: str) -> Column:
     return out
 
 
-def marked_pages(spark: SparkSession, sf_dir: str, drop_parent: bool = False) -> DataFrame:
+def marked_pages(
+    spark: SparkSession, sf_dir: str, drop_parent: bool = False, distinct: bool = False
+) -> DataFrame:
     """(page_id, url, html): every page with the blocks above in head and body.
 
+    ``distinct`` puts the page number into the path, so that no two pages share
+    their address.
+
     Each page links to a hub (its number modulo ten) and to a parent (half its
     number), so a few pages get a large part of all links.
     """
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    if distinct:
+        numbered = F.concat(F.lit("$1/"), F.col("page_id"))
+        pages = pages.withColumn("url", F.regexp_replace("url", "^([^?#]*)", numbered))
     address = urls.canonical_url(urls.domain(F.col("url")), urls.path(F.col("url")))
     known = pages.select("page_id", address.alias("address"))
     hub = known.select(F.col("page_id").alias("hub_id"), F.col("address").alias("hub"))
@@ -88,16 +96,20 @@ def masked_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_rows(
-    spark: SparkSession, sf_dir: str, date: str = DAY, drop_parent: bool = False
+    spark: SparkSession,
+    sf_dir: str,
+    date: str = DAY,
+    drop_parent: bool = False,
+    distinct: bool = False,
 ) -> DataFrame:
-    parsed = html.parse_pages(marked_pages(spark, sf_dir, drop_parent))
+    parsed = html.parse_pages(marked_pages(spark, sf_dir, drop_parent, distinct))
     return to_page_rows(parsed, F.lit(date))
 
 
 def history_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lake rows of two days; on the later one every row is there twice."""
-    new = stage_table(page_rows(spark, sf_dir), "pages-new")
-    old = page_rows(spark, sf_dir, DAY_BEFORE, drop_parent=True)
+    new = stage_table(page_rows(spark, sf_dir, distinct=True), "pages-new")
+    old = page_rows(spark, sf_dir, DAY_BEFORE, drop_parent=True, distinct=True)
     return new.unionByName(new).unionByName(old)
 
 

@@ -66,13 +66,17 @@ def _filled(block: str) -> str:
     return out
 
 
-def marked_cte(name: str = "marked", parent: str = "q.address") -> str:
-    return f"""{name}_known AS (SELECT page_id, {canonical('url')} AS address FROM pages),
+NUMBERED_PAGES = r"""numbered AS (SELECT page_id,
+  regexp_replace(url, '^([^?#]*)', '\1/' || page_id) AS url, html FROM pages)"""
+
+
+def marked_cte(name: str = "marked", parent: str = "q.address", pages: str = "pages") -> str:
+    return f"""{name}_known AS (SELECT page_id, {canonical('url')} AS address FROM {pages}),
 {name} AS (
   SELECT p.page_id, p.url,
     replace(replace(p.html, '</head>', {_filled(inputs.HEAD_BLOCK)}),
             '<body>', {_filled(inputs.BODY_BLOCK)}) AS html
-  FROM (SELECT p.*, h.address AS hub, {parent} AS parent FROM pages p
+  FROM (SELECT p.*, h.address AS hub, {parent} AS parent FROM {pages} p
         LEFT JOIN {name}_known h ON h.page_id = p.page_id % 10
         LEFT JOIN {name}_known q ON q.page_id = p.page_id // 2) p
 )"""
@@ -101,7 +105,7 @@ def masked_cte(source: str = "marked", name: str = "masked") -> str:
     return f"""{name}_cut AS (
   SELECT page_id, url, string_split_regex(html, {rx(H.INERT)}) AS txt,
          regexp_extract_all(html, {rx(H.INERT)}) AS blk FROM {source}),
-{name} AS (
+{name} AS MATERIALIZED (
   SELECT page_id, url, array_to_string(list_transform(range(1, len(txt) + 1),
     lambda i: txt[i] || {_mask('blk[i]')}), '') AS masked, {_ENTITIES} AS ents
   FROM {name}_cut)"""
@@ -197,14 +201,14 @@ def parsed_cte(masked: str = "masked", name: str = "parsed") -> str:
         f"list_filter(hrefs, lambda v: {link_class('v')} = '{c}') AS {c}"
         for c in ("http", "https", "files", "internal")
     )
-    return f"""{name}_lists AS (
+    return f"""{name}_lists AS MATERIALIZED (
   SELECT page_id, url, {targets()} AS hrefs, {tags('meta')} AS metas, ents,
     list_filter({attributes('link', 'href')}, lambda v: v IS NOT NULL) AS link_hrefs,
     list_filter({attributes('script', 'src')}, lambda v: starts_with(v, 'https')) AS scripts,
     list_filter({attributes('img', 'src')}, lambda v: starts_with(v, 'https')) AS imgs,
     {title()} AS title, {headings(1)} AS h1, {headings(2)} AS h2, {paragraphs()} AS p
   FROM {masked}),
-{name} AS (
+{name} AS MATERIALIZED (
   SELECT page_id, url, title, h1, h2, p, scripts, imgs, metas, ents, hrefs,
     list_filter(link_hrefs, lambda v: ends_with(v, '.css')) AS styles,
     list_filter(link_hrefs, lambda v: ends_with(v, '.png') OR ends_with(v, '.ico')) AS logo,

@@ -365,15 +365,17 @@ def tag_url(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _SEGS = "(h1 || h2 || p)"
-TAGGED_CTES = f"""{o.pages_ctes()}, {o.parsed_cte()},
-text AS (SELECT *, lower(array_to_string({_SEGS}, ' ')) AS all_text,
+TAGGED_FROM_PARSED = f"""text AS MATERIALIZED (SELECT *, lower(array_to_string({_SEGS}, ' ')) AS all_text,
   {o.domain('url')} AS domain, {o.path('url')} AS real_path FROM parsed),
-tagged AS (SELECT *, list_sort(list_distinct(
+tagged AS MATERIALIZED (SELECT *, list_sort(list_distinct(
   {o.keyword_rows('all_text', tags.KEYWORDS)}
   || {o.phrase_list(_SEGS, tags.DEFAULT_DICTIONARY.patterns)}
   || {_sql_structure()} || {_sql_url_tags('domain', 'real_path')})) AS tags FROM text)"""
 
 
+TAGGED_CTES = f"{o.pages_ctes()}, {o.parsed_cte()},\n{TAGGED_FROM_PARSED}"
+
+
 @query("page_tags", f"WITH {TAGGED_CTES} SELECT page_id, unnest(tags) AS tag FROM tagged")
 def page_tags(spark: SparkSession, sf: str) -> DataFrame:
     parsed = html.parse_pages(inputs.marked_pages(spark, sf))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from webloom.functions import text as txt
 from webloom.operators import index, search
+from webloom.operators.tagging import with_url
 from webloom.plans import inputs
 from webloom.plans import oracle_parts as o
 from webloom.plans.page_queries import TAGGED_CTES
@@ -168,18 +169,16 @@ def search_batch(spark: SparkSession, sf: str) -> DataFrame:
     return found.withColumn("rank", F.col("rank").cast("bigint"))
 
 
-_DOC_TEXT = """concat_ws(' ', domain, regexp_replace(real_path, '[/-]', ' ', 'g'),
+DOC_TEXT = """concat_ws(' ', domain, regexp_replace(real_path, '[/-]', ' ', 'g'),
   'https://' || domain || real_path, array_to_string(tags, ' '), array_to_string(h1, ' '),
   array_to_string(h2, ' '), array_to_string(p, ' '))"""
 
 
 @query(
     "doc_text",
-    f"WITH {TAGGED_CTES} SELECT 'https://' || domain || real_path AS url, {_DOC_TEXT} AS text FROM tagged",
+    f"WITH {TAGGED_CTES} SELECT 'https://' || domain || real_path AS url, {DOC_TEXT} AS text FROM tagged",
 )
 def doc_text(spark: SparkSession, sf: str) -> DataFrame:
-    from webloom.operators.tagging import with_url
-
     rows = with_url(inputs.page_rows(spark, sf))
     return rows.select(
         "url",
@@ -197,6 +196,4 @@ SELECT DISTINCT 'https://' || domain || real_path AS url, coalesce(h1[1], h2[1],
   0::bigint AS external_refs, 0.15::double AS pagerank FROM tagged""",
 )
 def doc_mappings(spark: SparkSession, sf: str) -> DataFrame:
-    from webloom.operators.tagging import with_url
-
     return index.doc_mappings(with_url(inputs.page_rows(spark, sf))).drop("doc_key")

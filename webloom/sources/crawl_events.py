@@ -17,7 +17,7 @@ def encode(pages: DataFrame, crawled_at: Column) -> DataFrame:
     event = F.struct(
         F.col("url"), crawled_at.cast("timestamp").alias("timestamp"), F.col("content")
     )
-    return pages.select(F.to_json(event, {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSX"}).alias("value"))
+    return pages.select(F.to_json(event).alias("value"))
 
 
 def decode(lines: DataFrame) -> DataFrame:

@@ -80,10 +80,11 @@ def to_lake(
 
     The file sink logs which files belong to a finished batch, so a batch that is
     run again after a failure adds nothing twice. ``date`` is the crawl day; by
-    default the day of the event, which a rerun does not change.
+    default the UTC day of the event, which a rerun does not change.
     """
     events = crawl_events.good_events(crawl_events.decode(source))
-    day = F.date_format("timestamp", "yyyy-MM-dd") if date is None else date
+    utc = F.to_utc_timestamp("timestamp", F.current_timezone())
+    day = F.date_format(utc, "yyyy-MM-dd") if date is None else date
     with_day = events.withColumn("_day", day)
     pages = to_page_rows(with_day, F.col("_day"), dictionary)
     rows = lake.with_partition_columns(pages, domain_buckets)
