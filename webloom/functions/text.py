@@ -15,8 +15,12 @@ def normalise(text: Column, token_chars: str = TOKEN_CHARS) -> Column:
 
 
 def token_array(text: Column, token_chars: str = TOKEN_CHARS) -> Column:
-    """Tokens in order, '' possible at the ends: normalise and split in one scan."""
-    return F.split(F.lower(text), f"[^{token_chars}]+")
+    """Tokens in order: what normalising and splitting at spaces gives, in one scan.
+
+    Looking for the runs of token characters is several times faster than looking
+    for what lies between them.
+    """
+    return F.regexp_extract_all(F.lower(text), F.lit(f"[{token_chars}]+"), F.lit(0))
 
 
 def query_terms(text: Column) -> Column:

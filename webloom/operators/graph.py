@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from webloom.functions import urls
@@ -56,6 +58,14 @@ def transitions(edge_rows: DataFrame, degrees: DataFrame | None = None) -> DataF
     )
 
 
+def _node_key(nodes: DataFrame) -> Callable[[str], Column]:
+    """Short key of a URL column: its 64-bit hash, or the URL itself if two URLs clash."""
+    clash = (
+        nodes.groupBy(F.xxhash64("url").alias("id")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    )
+    return (lambda c: F.xxhash64(c)) if clash.isEmpty() else (lambda c: F.col(c))
+
+
 def pagerank(
     nodes: DataFrame,
     edge_rows: DataFrame,
@@ -65,39 +75,44 @@ def pagerank(
 ) -> DataFrame:
     """(url, pagerank): every rank starts at 1; mass of pages without out-links is lost.
 
-    The out-degree rides on the rank side as a share (rank / out-degree), so an
-    edge row is only (src, dst). A page with very many out-links is cut into
-    parts: its edges carry a part number and its share is sent to each part.
-    One round shuffles the shares by source and the summed contributions by
-    target; contributions are summed before they are shuffled.
+    ``nodes`` are distinct URLs and ``edge_rows`` distinct pairs of them. Rounds
+    work on 64-bit keys instead of URLs. The out-degree rides on the rank side as
+    a share (rank / out-degree), so an edge is only a pair of keys. A page with
+    very many out-links is cut into parts: its edges carry a part number and its
+    share is sent to each part. A round shuffles the shares by source and the
+    contributions, summed within each task first, by target.
     """
     base = 1.0 - damping
     spark = edge_rows.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    edge_rows = stage_table(edge_rows.select("src", "dst"), "pagerank-edges")
     nodes = stage_table(nodes.select("url"), "pagerank-nodes")
+    key = _node_key(nodes)
+    pairs = edge_rows.select(key("src").alias("src"), key("dst").alias("dst"))
+    pairs = stage_table(pairs, "pagerank-edges")
 
     per_split = skew.ROWS_PER_SPLIT
-    degrees = out_degree(edge_rows)
+    degrees = out_degree(pairs)
     heavy = skew.heavy_keys(degrees, ["src"], "out_degree", per_split)
     # Both tables are partitioned and sorted once the way the rounds join them, so a
     # round moves ranks only, never edges. They are cached on top of staged files: a
     # lost executor costs a short rebuild.
     node_rows = (
-        nodes.join(degrees, nodes["url"] == degrees["src"], "left")
+        nodes.withColumn("id", key("url"))
+        .join(degrees.withColumnRenamed("src", "id"), "id", "left")
         .select(
+            "id",
             "url",
             "out_degree",
             F.coalesce(F.ceil(F.col("out_degree") / F.lit(per_split)), F.lit(1))
             .cast("int")
             .alias("parts"),
         )
-        .repartition(partitions, "url")
-        .sortWithinPartitions("url")
+        .repartition(partitions, "id")
+        .sortWithinPartitions("id")
         .persist()
     )
     parted = (
-        edge_rows.join(F.broadcast(heavy), "src", "left")
+        pairs.join(F.broadcast(heavy), "src", "left")
         .select(
             "src",
             "dst",
@@ -113,7 +128,7 @@ def pagerank(
     ranks = node_rows.withColumn("rank", F.lit(1.0))
     for i in range(1, iterations + 1):
         shares = ranks.where(F.col("out_degree").isNotNull()).select(
-            F.col("url").alias("src"),
+            F.col("id").alias("src"),
             (F.col("rank") / F.col("out_degree")).alias("share"),
             F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
         )
@@ -122,7 +137,8 @@ def pagerank(
             .groupBy("dst")
             .agg(F.sum("share").alias("received"))
         )
-        ranks = node_rows.join(received, node_rows["url"] == received["dst"], "left").select(
+        ranks = node_rows.join(received, node_rows["id"] == received["dst"], "left").select(
+            "id",
             "url",
             "out_degree",
             "parts",
@@ -135,37 +151,36 @@ def pagerank(
     return ranks.select("url", F.col("rank").alias("pagerank"))
 
 
-def url_scores(refs: DataFrame, ranks: DataFrame) -> DataFrame:
-    """(url, external_refs, pagerank) of every URL that is linked or ranked."""
-    return refs.withColumnRenamed("link", "url").join(ranks, "url", "full")
-
-
 def attach_scores(
-    history: DataFrame, refs: DataFrame, ranks: DataFrame, damping: float = DAMPING
+    history: DataFrame,
+    days: DataFrame,
+    refs: DataFrame,
+    ranks: DataFrame,
+    day: str = "date",
+    damping: float = DAMPING,
 ) -> DataFrame:
     """In-link count, rank and ``is_latest`` on every row of a deduped history.
 
-    Unknown pages get 0 and 1 - damping. The scores are first spread over the
-    narrow (url, date) keys: the wide history, already partitioned by these keys
-    by the dedupe, then joins where it is and is not shuffled again. After the
-    dedupe a URL has one row per day, which bounds the rows per join key.
+    Unknown pages get 0 and 1 - damping. ``days`` are the distinct (url, day) of
+    the history, read on their own because they are narrow: the scores are spread
+    over them, and the wide history, which the dedupe left partitioned by the same
+    keys, joins where it is and is not shuffled again. A URL has one row per day,
+    which bounds the rows per URL.
     """
     history = history.drop("external_refs", "pagerank", "is_latest")
-    days = history.select("url", "date")
-    newest = days.groupBy("url").agg(F.max("date").alias("_newest"))
-    scored_urls = newest.join(url_scores(refs, ranks), "url", "left").select(
-        "url",
-        "_newest",
-        F.coalesce("external_refs", F.lit(0)).alias("external_refs"),
-        F.coalesce("pagerank", F.lit(1.0 - damping)).alias("pagerank"),
-    )
-    scored_days = days.distinct().join(scored_urls, "url").select(
-        "url",
-        "date",
-        "external_refs",
-        "pagerank",
-        (F.col("date") == F.col("_newest")).alias("is_latest"),
+    newest = F.max(day).over(Window.partitionBy("url"))
+    scored_days = (
+        days.select("url", day, (F.col(day) == newest).alias("is_latest"))
+        .join(ranks, "url", "left")
+        .join(refs.withColumnRenamed("link", "url"), "url", "left")
+        .select(
+            "url",
+            day,
+            F.coalesce("external_refs", F.lit(0)).alias("external_refs"),
+            F.coalesce("pagerank", F.lit(1.0 - damping)).alias("pagerank"),
+            "is_latest",
+        )
     )
-    return history.join(scored_days, ["url", "date"], "left").select(
+    return history.join(scored_days, ["url", day], "left").select(
         *history.columns, "external_refs", "pagerank", "is_latest"
     )

@@ -72,7 +72,7 @@ def tokens(docs: DataFrame, token_chars: str = txt.TOKEN_CHARS) -> DataFrame:
     """(doc_key, token): one row per occurrence."""
     return docs.select(
         "doc_key", F.explode(txt.token_array(F.col("text"), token_chars)).alias("token")
-    ).where(F.col("token") != "")
+    )
 
 
 def postings(token_rows: DataFrame) -> DataFrame:
@@ -85,18 +85,12 @@ def doc_freq(docs: DataFrame, token_chars: str = txt.TOKEN_CHARS) -> DataFrame:
 
     A document is one row, so its distinct tokens need no shuffle of their own.
     """
-    return (
-        docs.select(
-            F.explode(F.array_distinct(txt.token_array(F.col("text"), token_chars))).alias("token")
-        )
-        .where(F.col("token") != "")
-        .groupBy("token")
-        .agg(F.count(F.lit(1)).alias("doc_freq"))
-    )
+    distinct = F.array_distinct(txt.token_array(F.col("text"), token_chars))
+    return doc_freq_of(docs.select(F.explode(distinct).alias("token")))
 
 
 def doc_freq_of(index: DataFrame) -> DataFrame:
-    """Documents per token from stored postings."""
+    """Documents per token from rows of distinct (token, document)."""
     return index.groupBy("token").agg(F.count(F.lit(1)).alias("doc_freq"))
 
 

@@ -11,11 +11,14 @@ from pyspark.sql import functions as F
 from webloom.functions import text as txt
 from webloom.functions import urls
 from webloom.operators import skew
+from webloom.session import stage_table
 
 TOP_K = 100
 # Sums of the same terms can differ in their last bits between runs. Order is
 # taken from the sum rounded to this many digits, so equal documents tie.
 SCORE_DIGITS = 6
+# Tasks that share the hits of one query in a batch.
+HIT_SPLITS = 32
 
 
 def terms_of(text: str, normalise: bool = False) -> list[str]:
@@ -167,12 +170,17 @@ def search_batch(
     Every distinct text is scored once, however many queries repeat it, and every
     distinct term once, however many texts use it.
     """
-    per_text = queries.groupBy("text").agg(
-        F.min("query_id").alias("text_id"), F.count(F.lit(1)).alias("count")
+    per_text = stage_table(
+        queries.groupBy("text").agg(
+            F.min("query_id").alias("text_id"), F.count(F.lit(1)).alias("count")
+        ),
+        "query-texts",
     )
     texts = per_text.select(F.col("text_id").alias("query_id"), "text")
     term_rows = query_term_rows(texts)
-    matches = term_tokens(term_rows, idf.select("token", "doc_freq", "idf"))
+    matches = stage_table(
+        term_tokens(term_rows, idf.select("token", "doc_freq", "idf")), "term-tokens"
+    )
     # An upper bound of the documents per term tells which terms to deal out.
     per_term = matches.groupBy("term").agg(F.sum("doc_freq").alias("docs"))
     contributions = skew.spread_join(
@@ -183,15 +191,18 @@ def search_batch(
         skew.heavy_keys(per_term, ["term"], "docs"),
         ["doc_key"],
     )
-    hits = (
+    found = (
         contributions.groupBy("query_id", "doc_key")
         .agg(
             F.sum("content_score").alias("content_score"),
             F.sum("matches").alias("matches"),
         )
         .join(mappings, "doc_key")
-        .join(texts.withColumnRenamed("text", "query"), "query_id")
     )
+    # A query may hit a large part of the corpus, so its hits stay dealt out until
+    # every task has cut them down to its own best k.
+    asked = texts.withColumnRenamed("text", "query")
+    hits = skew.spread_join(found, asked, ["query_id"], "inner", HIT_SPLITS, ["doc_key"])
     w = Window.partitionBy("query_id").orderBy(*rank_order())
     best = (
         with_url_flags(hits, F.col("query"))

@@ -46,7 +46,7 @@ def spread_join(
     small: DataFrame,
     keys: Sequence[str],
     how: str,
-    heavy: DataFrame,
+    heavy: DataFrame | int,
     salt_on: Sequence[str],
     extra: Callable[[DataFrame, DataFrame], Column] | None = None,
 ) -> DataFrame:
@@ -54,29 +54,32 @@ def spread_join(
 
     A heavy key's rows in ``large`` go to ``_splits`` tasks by a hash of
     ``salt_on``; the matching rows of ``small`` are repeated once per task. All
-    other keys join as usual. The result is the plain join's, for inner, left,
+    other keys join as usual. A number instead of a table splits every key that
+    often, for a ``small`` side that bears to be repeated. The result is the plain join's, for inner, left,
     left_semi and left_anti. ``extra`` adds a condition on the two sides, for
     left_semi and left_anti only.
     """
     keys = list(keys)
-    hint = F.broadcast(heavy)
     any_null = F.lit(False)
     for k in keys:
         any_null = any_null | F.col(k).isNull()
-    splits = F.when(any_null, F.lit(NULL_KEY_SPLITS)).otherwise(
-        F.coalesce(F.col("_splits"), F.lit(1))
-    )
+
+    def with_splits(df: DataFrame) -> DataFrame:
+        if isinstance(heavy, int):
+            return df.withColumn("_splits", F.lit(heavy))
+        return df.join(F.broadcast(heavy), keys, "left").withColumn(
+            "_splits", F.coalesce("_splits", F.lit(1))
+        )
+
+    splits = F.when(any_null, F.lit(NULL_KEY_SPLITS)).otherwise(F.col("_splits"))
     left = (
-        large.join(hint, keys, "left")
+        with_splits(large)
         .withColumn("_salt", F.pmod(F.xxhash64(*salt_on), splits).cast("int"))
         .drop("_splits")
     )
     right = (
-        small.join(hint, keys, "left")
-        .withColumn(
-            "_salt",
-            F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_splits"), F.lit(1)) - 1)),
-        )
+        with_splits(small)
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_splits") - 1)))
         .drop("_splits")
     )
     if extra is None:

@@ -29,19 +29,21 @@ class Tables(NamedTuple):
 def process_lake(raw: DataFrame) -> DataFrame:
     """Daily history of the landed pages with in-link counts, ranks and ``is_latest``.
 
-    Two passes over the landed files: a narrow one that reads only the links, for
-    graph and ranks, and a wide one that carries the content through a single
-    shuffle (the dedupe) to the write.
+    Narrow passes over the landed files read only the links, for graph and ranks,
+    and only the addresses and days. One wide pass carries the content through a
+    single shuffle, the dedupe, to the write.
     """
-    pages = with_url(raw)
+    # A missing day is a day of its own, as it is for the dedupe.
+    pages = with_url(raw).withColumn("_day", F.coalesce("date", F.lit("")))
     newest = snapshot.latest_links(pages)
     nodes_and_links = stage_table(newest, "latest-links")
     links = graph.link_rows(nodes_and_links, "links")
     refs = stage_table(graph.external_refs(links), "refs")
     nodes = graph.vertices(nodes_and_links)
     ranks = graph.pagerank(nodes, graph.edges(links, nodes, refs))
-    history = snapshot.daily_dedupe(pages)
-    return graph.attach_scores(history, refs, ranks)
+    history = snapshot.daily_dedupe(pages, date="_day")
+    days = pages.select("url", "_day").distinct()
+    return graph.attach_scores(history, days, refs, ranks, "_day").drop("_day")
 
 
 def write_index(pages: DataFrame, target: str) -> None:

@@ -12,6 +12,7 @@ from webloom.plans import inputs
 from webloom.plans import oracle_parts as o
 from webloom.plans.page_queries import TAGGED_CTES
 from webloom.plans.registry import query
+from webloom.session import stage_table
 
 SEARCH_TEXT = "thand  Étre the ention"
 TERMS = search.terms_of(SEARCH_TEXT)
@@ -28,6 +29,18 @@ def _idf(spark: SparkSession, sf: str) -> DataFrame:
     return index.idf(index.doc_freq(docs), docs)
 
 
+def _matched(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Postings of the searched terms and their IDF, from one pass over the texts.
+
+    The frequency of a token depends on its own postings only, so the terms can
+    be picked before anything is counted.
+    """
+    docs = inputs.documents(spark, sf)
+    matched = index.postings(search.prefix_terms(index.tokens(docs), TERMS))
+    stored = stage_table(matched, "matched-postings")
+    return stored, index.idf(index.doc_freq_of(stored), docs)
+
+
 @query(
     "tokens",
     f"""WITH tok AS ({o.token_rows('documents')})
@@ -37,8 +50,7 @@ SELECT doc_key, count(*) AS n_tokens, count(DISTINCT token) AS n_distinct,
 def tokens(spark: SparkSession, sf: str) -> DataFrame:
     """Token counts per document, without leaving the document's row."""
     docs = inputs.documents(spark, sf).select(
-        "doc_key",
-        F.filter(txt.token_array(F.col("text")), lambda t: t != "").alias("tokens"),
+        "doc_key", txt.token_array(F.col("text")).alias("tokens")
     )
     return docs.where(F.size("tokens") > 0).select(
         "doc_key",
@@ -103,7 +115,7 @@ _SCORES = f"""{_INDEX}, scores AS (SELECT doc_key, sum(tf * idf) AS content_scor
     f"WITH {_SCORES} SELECT doc_key, round(content_score, 4) AS content_score, matches FROM scores",
 )
 def search_scores(spark: SparkSession, sf: str) -> DataFrame:
-    found = search.scores(_postings(spark, sf), _idf(spark, sf), TERMS)
+    found = search.scores(*_matched(spark, sf), TERMS)
     return found.select("doc_key", F.round("content_score", 4).alias("content_score"), "matches")
 
 
@@ -118,7 +130,7 @@ SELECT url, title, round(content_score, 2) AS score, matches, external_refs AS p
 def search_topk(spark: SparkSession, sf: str) -> DataFrame:
     """One text query from raw documents to ranked hits."""
     return search.search(
-        _postings(spark, sf), _idf(spark, sf), inputs.document_mappings(spark, sf), SEARCH_TEXT
+        *_matched(spark, sf), inputs.document_mappings(spark, sf), SEARCH_TEXT
     )
 
 
@@ -163,9 +175,10 @@ SELECT query_id, rank, url, title, round(content_score, 2) AS score, matches::bi
 def search_batch(spark: SparkSession, sf: str) -> DataFrame:
     """Every benchmark text as a query."""
     queries = inputs.table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
-    found = search.search_batch(
-        _postings(spark, sf), _idf(spark, sf), inputs.document_mappings(spark, sf), queries
-    )
+    docs = inputs.documents(spark, sf)
+    stored = stage_table(_postings(spark, sf), "postings")
+    idf = stage_table(index.idf(index.doc_freq_of(stored), docs), "idf")
+    found = search.search_batch(stored, idf, inputs.document_mappings(spark, sf), queries)
     return found.withColumn("rank", F.col("rank").cast("bigint"))
 
 

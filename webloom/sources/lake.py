@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,12 +39,12 @@ def scan(
     lacks are null. A missing folder or one without such files gives an empty
     table of the same schema.
     """
-    result = spark.createDataFrame([], schema)
+    parts = []
     for fmt in formats:
         if not has_format(spark, fmt):
             continue
         try:
-            part = (
+            parts.append(
                 spark.read.format(fmt)
                 .schema(schema)
                 .option("pathGlobFilter", f"*.{fmt}")
@@ -52,9 +54,9 @@ def scan(
         except AnalysisException as e:
             if "PATH_NOT_FOUND" not in str(e):
                 raise
-            continue
-        result = result.unionByName(part, allowMissingColumns=True)
-    return result
+    if not parts:
+        return spark.createDataFrame([], schema)
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def with_partition_columns(pages: DataFrame, domain_buckets: int | None = None) -> DataFrame:
