@@ -75,7 +75,7 @@ def resolve_internal(page_url: Column, internal: Column) -> Column:
 
 def lookup_candidates(text: Column) -> Column:
     """Spellings of a typed address: with a scheme, with and without the last slash."""
-    trimmed = F.trim(text)
+    trimmed = F.regexp_replace(text, r"^\s+|\s+$", "")
     url = F.when(trimmed.startswith("http"), trimmed).otherwise(
         F.concat(F.lit("https://"), trimmed)
     )

@@ -225,11 +225,18 @@ def search_batch(
 
 
 def page_lookup(pages: DataFrame, text: str) -> DataFrame:
-    """Every stored version of an address, newest first."""
+    """Every stored version of an address, newest first.
+
+    The condition on the domain follows from the one on the URL. It is there for
+    the scan, which can skip files by a stored column but not by a computed one.
+    """
     wanted = urls.lookup_candidates(F.lit(text))
+    first, second = F.get(wanted, F.lit(0)), F.get(wanted, F.lit(1))
+    host = F.substring_index(F.regexp_replace(first, "^https://", ""), "/", 1)
     url = urls.canonical_url(F.col("domain"), F.col("real_path"))
     return (
-        pages.withColumn("url", url)
-        .where((F.col("url") == F.get(wanted, F.lit(0))) | (F.col("url") == F.get(wanted, F.lit(1))))
+        pages.where((F.col("domain") == host) | F.col("domain").isNull())
+        .withColumn("url", url)
+        .where((F.col("url") == first) | (F.col("url") == second))
         .orderBy(F.desc("date"), "url")
     )

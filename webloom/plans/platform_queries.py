@@ -20,7 +20,7 @@ from webloom.plans.page_queries import (
 from webloom.plans.registry import query
 from webloom.plans.text_queries import DOC_TEXT
 from webloom.session import scratch_path, stage_table
-from webloom.sources import bench_files, crawl_events, lake
+from webloom.sources import bench_files, config_files, crawl_events, lake
 from webloom.streaming import ingest
 
 _ROWS = f"""{TAGGED_CTES},
@@ -163,6 +163,29 @@ def rebuild_search(spark: SparkSession, sf: str) -> DataFrame:
     return hits.withColumn("pagerank", F.round("pagerank", 4))
 
 
+@query(
+    "dictionary_rows",
+    """SELECT 'keyword' AS kind, p_brand AS tag, p_type AS entry FROM part
+UNION ALL SELECT 'keyword', p_brand, p_name FROM part
+UNION ALL SELECT 'pattern', '', p_name || ' ([a-z]+)' FROM part""",
+)
+def dictionary_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Dictionary files, one record per part, written and read as JSON."""
+    path = scratch_path(spark, "dictionary")
+    inputs.table(spark, sf, "part").select(
+        F.create_map("p_brand", F.array("p_type", "p_name")).alias("keywords"),
+        F.array(F.concat("p_name", F.lit(" ([a-z]+)"))).alias("patterns"),
+    ).write.json(path)
+    records = spark.read.schema(config_files.DICTIONARY_SCHEMA).json(path)
+    words = config_files.keyword_rows(records).select(
+        F.lit("keyword").alias("kind"), "tag", F.col("word").alias("entry")
+    )
+    patterns = config_files.pattern_rows(records).select(
+        F.lit("pattern").alias("kind"), F.lit("").alias("tag"), F.col("pattern").alias("entry")
+    )
+    return words.unionByName(patterns)
+
+
 # ---------------------------------------------------------- load-test tables
 
 
