@@ -177,6 +177,43 @@ def test_batch_equals_single_searches(spark, published):
         ]
 
 
+@pytest.mark.parametrize("k", [1, 2, 5])
+def test_best_documents_by_brute_force(spark, k):
+    """Ties, exact addresses with low scores, and fewer hits than asked for."""
+    docs = spark.range(60).selectExpr(
+        "id as doc_key",
+        "concat('https://', case when id = 59 then 'needle' else concat('s', id) end) as url",
+    )
+    mappings = docs.selectExpr(
+        "doc_key", "url", "'t' as title", "doc_key % 4 as external_refs",
+        "cast(doc_key % 3 as double) as pagerank",
+    )
+    posts = docs.selectExpr("explode(array('needle', 'needles')) as token", "doc_key",
+                            "case when token = 'needle' then 1 + doc_key % 5 else doc_key % 2 end as tf")
+    posts = posts.where("tf > 0 and (doc_key < 59 or token = 'needle')")
+    idf = index.idf(index.doc_freq_of(posts), docs.unionByName(docs))
+    weight = {r.token: r.idf for r in idf.collect()}
+    sums, matches = Counter(), Counter()
+    for r in posts.collect():
+        sums[r.doc_key] += r.tf * weight[r.token]
+        matches[r.doc_key] += 1
+    rows = {r.doc_key: r for r in mappings.collect()}
+    order = sorted(
+        sums,
+        key=lambda d: (
+            rows[d].url != "https://needle", -round(sums[d], 6), -matches[d], -rows[d].pagerank,
+            -rows[d].external_refs, "needle" not in rows[d].url, d,
+        ),
+    )
+    want = [rows[d].url for d in order[:k]]
+    assert [r.url for r in search.search(posts, idf, mappings, " needle ", k).collect()] == want
+    queries = spark.createDataFrame([(7, "needle"), (8, "needle"), (9, "none")], "query_id bigint, text string")
+    got = search.search_batch(posts, idf, mappings, queries, k).collect()
+    assert sorted((r.query_id, r["rank"], r.url) for r in got) == sorted(
+        (q, i + 1, u) for q in (7, 8) for i, u in enumerate(want)
+    )
+
+
 def test_scored_history(spark, published):
     rows = rebuild.open_tables(spark, f"{published}/out").pages.collect()
     assert len(rows) == 5

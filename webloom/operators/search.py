@@ -17,8 +17,8 @@ TOP_K = 100
 # Sums of the same terms can differ in their last bits between runs. Order is
 # taken from the sum rounded to this many digits, so equal documents tie.
 SCORE_DIGITS = 6
-# Tasks that share the hits of one query in a batch.
-HIT_SPLITS = 32
+# Tasks that share the vocabulary below one search term.
+TERM_SPLITS = 16
 
 
 def terms_of(text: str, normalise: bool = False) -> list[str]:
@@ -64,12 +64,17 @@ def _sum_scores(weighted: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def _exact_urls(query: Column) -> Column:
+    """The addresses that a query may be the exact spelling of."""
+    q = F.btrim(query)
+    return F.array(q, F.concat(F.lit("https://"), q))
+
+
 def with_url_flags(hits: DataFrame, query: Column) -> DataFrame:
     """``exact``: the URL is the query, with or without scheme; ``partial``: contains it."""
-    q = F.btrim(query)
-    exact = (F.col("url") == q) | (F.col("url") == F.concat(F.lit("https://"), q))
+    exact = F.array_contains(_exact_urls(query), F.col("url"))
     return hits.withColumn("exact", exact.cast("int")).withColumn(
-        "partial", F.col("url").contains(q).cast("int")
+        "partial", F.col("url").contains(F.btrim(query)).cast("int")
     )
 
 
@@ -97,6 +102,26 @@ def _hit_columns() -> list[Column]:
     ]
 
 
+def _contenders(found: DataFrame, mappings: DataFrame, query: str, k: int) -> DataFrame:
+    """Scored documents that can be among the first ``k``.
+
+    Only an exact URL comes before the score. So apart from exact URLs a document
+    needs at least the k-th best score, and only documents with that, ties
+    included, have to meet the mappings.
+    """
+    score = F.round("content_score", SCORE_DIGITS)
+    kth = (
+        found.select(score.alias("score")).orderBy(F.desc("score")).limit(k).agg(F.min("score"))
+    ).scalar()
+    asked = [query.strip(), f"https://{query.strip()}"]
+    exact = mappings.where(F.col("url").isin(asked)).select("doc_key", F.lit(True).alias("_exact"))
+    return (
+        found.join(exact, "doc_key", "left")
+        .where((score >= kth) | F.col("_exact").isNotNull())
+        .drop("_exact")
+    )
+
+
 def search(
     index: DataFrame,
     idf: DataFrame,
@@ -105,10 +130,14 @@ def search(
     k: int = TOP_K,
     normalise: bool = False,
 ) -> DataFrame:
-    """The first ``k`` hits in rank order; a blank query has none."""
-    hits = scores(index, idf, terms_of(text, normalise)).join(mappings, "doc_key")
+    """The first ``k`` hits in rank order; a blank query has none.
+
+    Every indexed document has its row in ``mappings``.
+    """
+    found = scores(index, idf, terms_of(text, normalise))
+    hits = _contenders(found, mappings, text, k).join(mappings, "doc_key")
     return (
-        with_url_flags(hits, F.lit(text.strip()))
+        with_url_flags(hits, F.lit(text))
         .orderBy(*rank_order())
         .limit(k)
         .select(*_hit_columns())
@@ -140,7 +169,9 @@ def term_tokens(term_rows: DataFrame, vocabulary: DataFrame) -> DataFrame:
     cuts = vocabulary.select("*", F.explode(in_token).alias("_n")).withColumn(
         "term", F.col("token").substr(F.lit(1), F.col("_n"))
     )
-    return cuts.drop("_n").join(terms, "term")
+    return skew.spread_join(
+        cuts.drop("_n"), terms, ["term"], "inner", TERM_SPLITS, ["token"]
+    )
 
 
 def term_scores(index: DataFrame, matches: DataFrame) -> DataFrame:
@@ -158,6 +189,32 @@ def term_scores(index: DataFrame, matches: DataFrame) -> DataFrame:
     return _sum_scores(weighted, ["term", "doc_key"])
 
 
+def _batch_contenders(
+    found: DataFrame, mappings: DataFrame, texts: DataFrame, k: int
+) -> DataFrame:
+    """Per query the scored documents that can be among its first ``k``.
+
+    As in a single search: exact URLs first, then by score with all ties. Spark
+    limits the groups before the shuffle by query, so a query that hits most of
+    the corpus sends only its best documents of each task.
+    """
+    asked = texts.select("query_id", F.explode(_exact_urls(F.col("text"))).alias("url"))
+    exact = (
+        mappings.select("doc_key", "url")
+        .join(asked, "url")
+        .select("query_id", "doc_key", F.lit(1).alias("_exact"))
+    )
+    best_first = Window.partitionBy("query_id").orderBy(
+        F.coalesce("_exact", F.lit(0)).desc(), F.round("content_score", SCORE_DIGITS).desc()
+    )
+    return (
+        found.join(exact, ["query_id", "doc_key"], "left")
+        .withColumn("_place", F.rank().over(best_first))
+        .where(F.col("_place") <= k)
+        .drop("_exact", "_place")
+    )
+
+
 def search_batch(
     index: DataFrame,
     idf: DataFrame,
@@ -191,18 +248,14 @@ def search_batch(
         skew.heavy_keys(per_term, ["term"], "docs"),
         ["doc_key"],
     )
-    found = (
-        contributions.groupBy("query_id", "doc_key")
-        .agg(
-            F.sum("content_score").alias("content_score"),
-            F.sum("matches").alias("matches"),
-        )
+    found = contributions.groupBy("query_id", "doc_key").agg(
+        F.sum("content_score").alias("content_score"), F.sum("matches").alias("matches")
+    )
+    hits = (
+        _batch_contenders(found, mappings, texts, k)
         .join(mappings, "doc_key")
+        .join(texts.withColumnRenamed("text", "query"), "query_id")
     )
-    # A query may hit a large part of the corpus, so its hits stay dealt out until
-    # every task has cut them down to its own best k.
-    asked = texts.withColumnRenamed("text", "query")
-    hits = skew.spread_join(found, asked, ["query_id"], "inner", HIT_SPLITS, ["doc_key"])
     w = Window.partitionBy("query_id").orderBy(*rank_order())
     best = (
         with_url_flags(hits, F.col("query"))

@@ -36,10 +36,10 @@ def process_lake(raw: DataFrame) -> DataFrame:
     # A missing day is a day of its own, as it is for the dedupe.
     pages = with_url(raw).withColumn("_day", F.coalesce("date", F.lit("")))
     newest = snapshot.latest_links(pages)
-    nodes_and_links = stage_table(newest, "latest-links")
-    links = graph.link_rows(nodes_and_links, "links")
+    newest = stage_table(newest, "latest-links")
+    links = graph.link_rows(newest, "links")
     refs = stage_table(graph.external_refs(links), "refs")
-    nodes = graph.vertices(nodes_and_links)
+    nodes = newest.select("url")
     ranks = graph.pagerank(nodes, graph.edges(links, nodes, refs))
     history = snapshot.daily_dedupe(pages, date="_day")
     days = pages.select("url", "_day").distinct()
