@@ -107,12 +107,12 @@ def _contenders(found: DataFrame, mappings: DataFrame, query: str, k: int) -> Da
 
     Only an exact URL comes before the score. So apart from exact URLs a document
     needs at least the k-th best score, and only documents with that, ties
-    included, have to meet the mappings.
+    included, have to meet the mappings; these are then few enough that the whole
+    mappings table need not be shuffled.
     """
     score = F.round("content_score", SCORE_DIGITS)
-    kth = (
-        found.select(score.alias("score")).orderBy(F.desc("score")).limit(k).agg(F.min("score"))
-    ).scalar()
+    best = found.select(score.alias("score")).orderBy(F.desc("score")).limit(k)
+    kth = best.agg(F.min("score")).scalar()
     asked = [query.strip(), f"https://{query.strip()}"]
     exact = mappings.where(F.col("url").isin(asked)).select("doc_key", F.lit(True).alias("_exact"))
     return (
@@ -132,9 +132,10 @@ def search(
 ) -> DataFrame:
     """The first ``k`` hits in rank order; a blank query has none.
 
-    Every indexed document has its row in ``mappings``.
+    Every indexed document has its row in ``mappings``. The scores are used twice
+    and therefore staged.
     """
-    found = scores(index, idf, terms_of(text, normalise))
+    found = stage_table(scores(index, idf, terms_of(text, normalise)), "scores")
     hits = _contenders(found, mappings, text, k).join(mappings, "doc_key")
     return (
         with_url_flags(hits, F.lit(text))
