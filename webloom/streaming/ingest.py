@@ -75,15 +75,19 @@ def to_lake(
     dictionary: Dictionary = DEFAULT_DICTIONARY,
     available_now: bool = False,
     domain_buckets: int | None = None,
+    file_format: str = "parquet",
 ) -> StreamingQuery:
     """Decode, tag and append events to the lake, exactly once.
 
     The file sink logs which files belong to a finished batch, so a batch that is
-    run again after a failure adds nothing twice. ``date`` is the crawl day; by
-    default the UTC day of the event, which a rerun does not change.
+    run again after a failure adds nothing twice. ``date`` is the crawl day, by
+    default the UTC day of the event, or of the batch for events without a time;
+    neither changes in a rerun. ``file_format`` may be ``avro`` where its jar is
+    there.
     """
     events = crawl_events.good_events(crawl_events.decode(source))
-    utc = F.to_utc_timestamp("timestamp", F.current_timezone())
+    moment = F.coalesce("timestamp", F.current_timestamp())
+    utc = F.to_utc_timestamp(moment, F.current_timezone())
     day = F.date_format(utc, "yyyy-MM-dd") if date is None else date
     with_day = events.withColumn("_day", day)
     pages = to_page_rows(with_day, F.col("_day"), dictionary)
@@ -91,7 +95,7 @@ def to_lake(
     spread = F.pmod(F.xxhash64("real_path"), F.lit(FOLDER_SPLITS))
     writer = (
         rows.repartition(*lake.PARTITIONS, spread)
-        .writeStream.format("parquet")
+        .writeStream.format(file_format)
         .partitionBy(*lake.PARTITIONS)
         .option("path", lake_path)
         .option("checkpointLocation", checkpoint)
