@@ -77,10 +77,12 @@ def pagerank(
 
     ``nodes`` are distinct URLs and ``edge_rows`` distinct pairs of them. Rounds
     work on 64-bit keys instead of URLs. The out-degree rides on the rank side as
-    a share (rank / out-degree), so an edge is only a pair of keys. A page with
-    very many out-links is cut into parts: its edges carry a part number and its
-    share is sent to each part. A round shuffles the shares by source and the
-    contributions, summed within each task first, by target.
+    a share (rank / out-degree), so an edge is only a pair of keys.
+
+    Ranks and edges are partitioned and sorted alike by source, hence a round joins
+    them in place and shuffles only the contributions by target, summed within each
+    task first. The edges of sources with very many out-links lie elsewhere, dealt
+    out by target; their shares, at most ``MAX_HEAVY_KEYS`` rows, are broadcast.
     """
     base = 1.0 - damping
     spark = edge_rows.sparkSession
@@ -89,65 +91,54 @@ def pagerank(
     key = _node_key(nodes)
     pairs = edge_rows.select(key("src").alias("src"), key("dst").alias("dst"))
     pairs = stage_table(pairs, "pagerank-edges")
-
-    per_split = skew.ROWS_PER_SPLIT
-    degrees = out_degree(pairs)
-    heavy = skew.heavy_keys(degrees, ["src"], "out_degree", per_split)
-    # Both tables are partitioned and sorted once the way the rounds join them, so a
-    # round moves ranks only, never edges. They are cached on top of staged files: a
-    # lost executor costs a short rebuild.
+    degrees = stage_table(out_degree(pairs), "pagerank-degrees")
+    heavy = skew.heavy_keys(degrees, ["src"], "out_degree", skew.ROWS_PER_SPLIT)
+    heavy = stage_table(heavy.select("src"), "pagerank-heavy")
+    any_heavy = not heavy.isEmpty()
+    if any_heavy:
+        # A round then uses the ranks twice, which must not double the plan each time.
+        rounds_per_cut = 1
+
+    # Cached on top of staged files: a lost executor costs a short rebuild.
     node_rows = (
         nodes.withColumn("id", key("url"))
         .join(degrees.withColumnRenamed("src", "id"), "id", "left")
-        .select(
-            "id",
-            "url",
-            "out_degree",
-            F.coalesce(F.ceil(F.col("out_degree") / F.lit(per_split)), F.lit(1))
-            .cast("int")
-            .alias("parts"),
-        )
         .repartition(partitions, "id")
         .sortWithinPartitions("id")
         .persist()
     )
-    parted = (
-        pairs.join(F.broadcast(heavy), "src", "left")
-        .select(
-            "src",
-            "dst",
-            F.pmod(F.xxhash64("dst"), F.coalesce(F.col("_splits"), F.lit(1)))
-            .cast("int")
-            .alias("part"),
-        )
-        .repartition(partitions, "src", "part")
-        .sortWithinPartitions("src", "part")
+    light_edges = (
+        pairs.join(F.broadcast(heavy), "src", "left_anti")
+        .repartition(partitions, "src")
+        .sortWithinPartitions("src")
         .persist()
     )
+    heavy_edges = (
+        pairs.join(F.broadcast(heavy), "src", "left_semi").repartition(partitions, "dst").persist()
+    )
 
     ranks = node_rows.withColumn("rank", F.lit(1.0))
     for i in range(1, iterations + 1):
         shares = ranks.where(F.col("out_degree").isNotNull()).select(
-            F.col("id").alias("src"),
-            (F.col("rank") / F.col("out_degree")).alias("share"),
-            F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
-        )
-        received = (
-            shares.join(parted, ["src", "part"])
-            .groupBy("dst")
-            .agg(F.sum("share").alias("received"))
+            F.col("id").alias("src"), (F.col("rank") / F.col("out_degree")).alias("share")
         )
+        sent = shares.join(light_edges, "src").select("dst", "share")
+        if any_heavy:
+            few = shares.join(F.broadcast(heavy), "src", "left_semi")
+            sent = sent.unionByName(
+                heavy_edges.join(F.broadcast(few), "src").select("dst", "share")
+            )
+        received = sent.groupBy("dst").agg(F.sum("share").alias("received"))
         ranks = node_rows.join(received, node_rows["id"] == received["dst"], "left").select(
             "id",
             "url",
             "out_degree",
-            "parts",
             (F.lit(base) + F.lit(damping) * F.coalesce("received", F.lit(0.0))).alias("rank"),
         )
         if i % rounds_per_cut == 0 or i == iterations:
             ranks = cut_lineage(ranks)
-    parted.unpersist()
-    node_rows.unpersist()
+    for cached in (node_rows, light_edges, heavy_edges):
+        cached.unpersist()
     return ranks.select("url", F.col("rank").alias("pagerank"))
 
 
