@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from webloom.llm import words as W
 from webloom.session import stage_table
@@ -379,5 +380,7 @@ def score(
             columns = [batch.column(batch.schema.names.index(c)) for c in kept]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(out)], names=[*kept, score_col])
 
-    schema = docs.select(*kept).schema.add(score_col, "double")
+    schema = T.StructType(
+        [*docs.select(*kept).schema, T.StructField(score_col, T.DoubleType())]
+    )
     return docs.mapInArrow(run, schema)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webloom.llm import quality_fm
+from webloom.llm import exact_dedup, near_dups, packing, quality_fm, url_globs
 from webloom.plans.registry import query
+from webloom.session import stage_table
 
 THRESHOLD = 0.3
 
@@ -35,3 +36,108 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+@query("op2_near_dups")
+def op2_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document among those with similar word 5-shingles."""
+    return near_dups.near_duplicates(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "n_shingles", "component_id"
+    )
+
+
+OP3_SQL = """
+WITH d AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                           'abcdefghijklmnopqrstuvwxyz') AS norm FROM documents),
+g AS (SELECT norm, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY norm)
+SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept,
+       sha256(d.norm) AS text_sha256
+FROM d JOIN g ON d.norm = g.norm
+"""
+
+
+@query("op3_exact_dedup", OP3_SQL)
+def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which document of every group of equal texts stays."""
+    index = exact_dedup.build_index(table(spark, sf_dir, "documents"))
+    return exact_dedup.lookup(index).select(
+        F.col("id").alias("doc_id"),
+        "keep_id",
+        "group_size",
+        "kept",
+        F.col("sha256").alias("text_sha256"),
+    )
+
+
+# (action, rule) with host and path, then wildcard rules for what no rule fits.
+SITE_RULES = (
+    ("block", "net/"),
+    ("allow", "example.net/en/"),
+    ("block", "example.com/de/"),
+    ("allow", "org/fr/"),
+)
+GLOB_RULES = (
+    ("block", "+spam-farm+/*"),
+    ("block", "+cheap-pills+/*"),
+    ("block", "*/casino*"),
+    ("block", "*.exe"),
+)
+
+OP5_SQL = """
+WITH u AS (
+  SELECT page_id, CASE WHEN strpos(coalesce(url, ''), '://') > 0
+           THEN regexp_extract(substr(url, strpos(url, '://') + 3), '^[^?#]*', 0)
+           ELSE '' END AS rest FROM pages),
+p AS (
+  SELECT page_id,
+    translate(regexp_extract(rest, '^[^/]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+              'abcdefghijklmnopqrstuvwxyz') AS host,
+    CASE WHEN strpos(rest, '/') > 0 THEN substr(rest, strpos(rest, '/')) ELSE '' END AS path
+  FROM u),
+r AS (
+  SELECT *, CASE
+    WHEN ('.' || host) LIKE '%.example.net' AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN ('.' || host) LIKE '%.example.com' AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN ('.' || host) LIKE '%.org' AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN ('.' || host) LIKE '%.net' AND starts_with(path, '/') THEN 'net/' END AS rule
+  FROM p)
+SELECT page_id, host, path, rule, CASE
+    WHEN rule IN ('net/', 'example.com/de/') THEN 'block'
+    WHEN rule IS NOT NULL THEN 'allow'
+    WHEN (host LIKE '%spam-farm%' OR host LIKE '%cheap-pills%') AND path <> '' THEN 'block'
+    WHEN contains(path, '/casino') OR ends_with(host || path, '.exe') THEN 'block'
+    ELSE 'allow' END AS verdict
+FROM r
+"""
+
+
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+@query("op4_packing")
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every document's pieces in sequences of 2,048 tokens."""
+    pieces = stage_table(
+        packing.pieces(table(spark, sf_dir, "documents"), tokenizer_path()), "pieces"
+    )
+    return pieces.join(packing.pack(pieces), "number").select(
+        F.col("id").alias("doc_id"),
+        "piece",
+        "start",
+        "length",
+        "ids_crc32",
+        "sequence_id",
+        "offset",
+    )
+
+
+@query("op5_url_globs", OP5_SQL)
+def op5_url_globs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's address."""
+    rules = [url_globs.site_rule(a, r) for a, r in SITE_RULES]
+    rules += [url_globs.glob_rule(a, g) for a, g in GLOB_RULES]
+    return url_globs.judge(table(spark, sf_dir, "pages"), rules, keep=["page_id"])
