@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webloom.llm import exact_dedup, near_dups, packing, quality_fm, url_globs
+from webloom.llm import exact_dedup, near_dups, packing, quality_fm, repeats, url_globs
 from webloom.plans.registry import query
 from webloom.session import stage_table
 
@@ -141,3 +141,14 @@ def op5_url_globs(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = [url_globs.site_rule(a, r) for a, r in SITE_RULES]
     rules += [url_globs.glob_rule(a, g) for a, g in GLOB_RULES]
     return url_globs.judge(table(spark, sf_dir, "pages"), rules, keep=["page_id"])
+
+
+@query("op8_repeats")
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without passages of earlier ones."""
+    return repeats.cut_repeats(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        "n_removed",
+        F.sha2("kept_text", 256).alias("kept_sha256"),
+    )
