@@ -166,4 +166,4 @@ def distinct_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     keyed = docs.withColumn("_key", key_of(normalised(F.col(text_col))))
     kept = keyed.join(dropped.withColumnRenamed("key", "_key"), [id_col, "_key"], "left_anti")
     # Rows that repeat id and text; they lie together since the join.
-    return kept.dropDuplicates([id_col, "_key"]).drop("_key")
+    return kept.dropDuplicates([id_col, "_key"]).select(*docs.columns)

@@ -342,3 +342,12 @@ def near_duplicates(
         F.col("n_tokens").alias("n_shingles"),
         F.coalesce("component_id", "id").alias("component_id"),
     )
+
+
+def one_of_each(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT
+) -> DataFrame:
+    """``docs`` without those that are linked, over others too, to a smaller id."""
+    answers = near_duplicates(docs, id_col, text_col, percent)
+    dropped = answers.where("component_id != id").select(F.col("id").alias(id_col)).distinct()
+    return docs.join(dropped, id_col, "left_anti").select(*docs.columns)

@@ -215,6 +215,23 @@ def pack(
     return full.unionByName(placed.select("number", "sequence_id", "offset"))
 
 
+def packed_documents(
+    docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """Every piece of every document with its place in a sequence."""
+    cut = stage_table(pieces(docs, tokenizer_path, id_col, text_col), "pieces")
+    return cut.join(pack(cut), "number").select(
+        F.col("id").alias(id_col),
+        "piece",
+        "start",
+        "length",
+        "ids_crc32",
+        "sequence_id",
+        "offset",
+        "doc",
+    )
+
+
 def certificate(all_pieces: DataFrame, placed: DataFrame, capacity: int = CAPACITY) -> dict:
     """Sequences used, and the number that no packing of these pieces can go below."""
     rows = all_pieces.groupBy("length").count().collect()  # at most ``capacity`` rows

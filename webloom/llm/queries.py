@@ -5,9 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webloom.llm import exact_dedup, near_dups, packing, quality_fm, repeats, url_globs
+from webloom.llm import (
+    chat_repair,
+    exact_dedup,
+    licences,
+    mixing,
+    near_dups,
+    neighbours,
+    packing,
+    quality_fm,
+    repeats,
+    url_globs,
+)
 from webloom.plans.registry import query
-from webloom.session import stage_table
 
 THRESHOLD = 0.3
 
@@ -121,18 +131,7 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 @query("op4_packing")
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every document's pieces in sequences of 2,048 tokens."""
-    pieces = stage_table(
-        packing.pieces(table(spark, sf_dir, "documents"), tokenizer_path()), "pieces"
-    )
-    return pieces.join(packing.pack(pieces), "number").select(
-        F.col("id").alias("doc_id"),
-        "piece",
-        "start",
-        "length",
-        "ids_crc32",
-        "sequence_id",
-        "offset",
-    )
+    return packing.packed_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
 @query("op5_url_globs", OP5_SQL)
@@ -143,6 +142,76 @@ def op5_url_globs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_globs.judge(table(spark, sf_dir, "pages"), rules, keep=["page_id"])
 
 
+# Share of all words that each language shall have.
+TARGETS = {"en": 0.5, "de": 0.18, "fr": 0.18, "es": 0.14}
+
+
+def labelled_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, domain): the language of the documents that the labels cover."""
+    covered = labels.select("doc_id").where(F.col("doc_id").isNotNull()).distinct()
+    return docs.select("doc_id", F.col("lang").alias("domain")).join(covered, "doc_id")
+
+
+@query("op6_mixing")
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rate and copies of every document for the target weights."""
+    docs = table(spark, sf_dir, "documents")
+    labelled = labelled_domains(docs, table(spark, sf_dir, "labels"))
+    return mixing.rates(docs, labelled, TARGETS)
+
+
+def _licence_sql() -> str:
+    quote = lambda x: "'" + x.replace("'", "''") + "'"
+    rows = ", ".join(f"({quote(n)}, {quote(t)})" for n, t in licences.TEMPLATES)
+    return f"""
+WITH t AS (SELECT * FROM (VALUES {rows}) v(licence, passage)),
+l AS (SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS lines
+      FROM documents),
+p AS (
+  SELECT doc_id, unnest(lines) AS passage, unnest(range(1, len(lines) + 1)) AS line FROM l
+  UNION ALL SELECT doc_id, text, 0 FROM l WHERE len(lines) > 1),
+every AS (
+  SELECT 'p' AS side, doc_id, line, NULL AS licence, passage FROM p
+  UNION ALL SELECT 't', NULL, NULL, licence, passage FROM t),
+w AS (
+  SELECT side, doc_id, line, licence, list_filter(string_split(regexp_replace(
+    translate(passage, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: x <> '') AS words FROM every),
+b AS (
+  SELECT side, doc_id, line, licence, CASE WHEN len(words) < 2 THEN words ELSE
+    list_distinct(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]))
+    END AS bigrams FROM w),
+m AS (
+  SELECT x.doc_id, x.line, y.licence,
+    2.0::DOUBLE * len(list_intersect(x.bigrams, y.bigrams)) / (len(x.bigrams) + len(y.bigrams))
+      AS dice
+  FROM (SELECT * FROM b WHERE side = 'p' AND len(bigrams) > 0) x
+  JOIN (SELECT * FROM b WHERE side = 't') y
+    ON len(x.bigrams) BETWEEN len(y.bigrams) * 0.6 AND len(y.bigrams) * 1.6),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY dice DESC, licence, line) AS nth,
+    count(*) OVER (PARTITION BY doc_id) AS n FROM m WHERE dice >= 0.8)
+SELECT l.doc_id, coalesce(r.n, 0) AS n_matches, r.licence, r.dice, r.line
+FROM l LEFT JOIN r ON l.doc_id = r.doc_id AND r.nth = 1
+"""
+
+
+@query("op7_licences", _licence_sql())
+def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices of every document: their number and the clearest one."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = licences.with_matches(docs).select(
+        "doc_id", "matches", licences.best_match(F.col("matches")).alias("best")
+    )
+    return found.select(
+        "doc_id",
+        F.size("matches").cast("long").alias("n_matches"),
+        F.col("best.licence").alias("licence"),
+        (-F.col("best.low")).alias("dice"),
+        F.col("best.line").cast("long").alias("line"),
+    )
+
+
 @query("op8_repeats")
 def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without passages of earlier ones."""
@@ -152,3 +221,16 @@ def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_removed",
         F.sha2("kept_text", 256).alias("kept_sha256"),
     )
+
+
+@query("op9_chat_repair")
+def op9_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn of every conversation, repaired and rendered."""
+    return chat_repair.repair(table(spark, sf_dir, "conversations"))
+
+
+@query("op10_neighbours")
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth one."""
+    found = neighbours.neighbours(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+    return found.withColumnRenamed("id", "vec_id")
