@@ -74,7 +74,7 @@ def parse(names: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             merge = (count > 1) & (total <= cap)
             at = heads[merge]
             names = names.copy()
-            names[at] = W.mix(names[at] * _RUN + count[merge].astype(np.uint64))
+            names[at] = W.mix(names[at] * _RUN + count[merge].astype(np.uint64) * _CHECK)
             length[at] = total[merge]
             keep = head | ~np.repeat(merge, count)
         else:
@@ -82,7 +82,7 @@ def parse(names: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             merge = near & ~right[:-1] & right[1:] & (length[:-1] + length[1:] <= cap)
             at = np.flatnonzero(merge)
             names = names.copy()
-            names[at] = W.mix(names[at] * _LEFT + names[at + 1] * _RIGHT)
+            names[at] = W.mix(names[at] * _LEFT + names[at + 1] * _RIGHT + _CHECK)
             length[at] += length[at + 1]
             keep = np.concatenate([[True], ~merge])
         names, doc, length = names[keep], doc[keep], length[keep]
