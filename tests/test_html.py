@@ -1,4 +1,7 @@
+from html import unescape
+
 import pytest
+
 from pyspark.sql import functions as F
 
 from webloom.functions import html
@@ -133,3 +136,24 @@ def test_needs_render(spark):
     df = spark.createDataFrame([(i, h) for i, (h, _) in enumerate(cases)], "i int, h string")
     got = df.select("i", html.needs_render(F.col("h")).alias("n")).orderBy("i").collect()
     assert [r.n for r in got] == [want for _, want in cases]
+
+
+REFERENCES = [
+    "don&apos;t", "&copy 2024", "&#0000000065;", "&#150;&#129;&#x80;", "&notit;", "&amp", "&ampx", "&nope;",
+    "&#x1F600;&#x1f600", "&#99999999999;", "&#xD800;", "&#0;", "&#;", "&#x;", "&", "&&lt;", "&NotEqualTilde;",
+    "&lt;&#38;amp;", "a&b;c", "&CounterClockwiseContourIntegral;", "&not;in", "&notin;", "&#65 &#65x", "é&eacute",
+]
+
+
+def test_references_as_the_standard_library_reads_them(spark):
+    df = spark.createDataFrame([(t,) for t in REFERENCES], "t string")
+    for r in df.select("t", html.decode_entities(F.col("t")).alias("d")).collect():
+        assert r.d == unescape(r.t).replace(unescape("&#129;"), chr(129)), r.t
+
+
+def test_references_in_attributes(spark):
+    df = spark.createDataFrame(
+        [("?a=1&copy=2",), ("?a&notit=3",), ("&copy;=1",), ("&copy!",), ("&lt&#38;x",), ("&amp",)], "t string"
+    )
+    got = [r.d for r in df.select(html.decode_entities(F.col("t"), True).alias("d")).collect()]
+    assert got == ["?a=1&copy=2", "?a&notit=3", "©=1", "©!", "<&x", "&"]

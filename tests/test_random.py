@@ -8,7 +8,7 @@ from html.parser import HTMLParser
 from pyspark.sql import functions as F
 
 from webloom.functions import html
-from webloom.operators import index, skew
+from webloom.operators import index
 
 BLOCKS = {"h1", "h2", "p", "div", "ul", "li"}
 
@@ -122,13 +122,3 @@ def test_sorted_index_files_do_not_overlap(spark, tmp_path):
     )
     assert all(a.hi < b.lo for a, b in zip(files, files[1:]))
     assert sum(f.hot for f in files) > 1
-
-
-def test_fixed_number_of_splits(spark):
-    big = spark.range(1000).selectExpr("id % 7 as k", "id as v")
-    small = spark.range(5).selectExpr("id as k", "id * 10 as w")
-    got = skew.spread_join(big, small, ["k"], "inner", 9, ["v"])
-    want = big.join(small, "k")
-    assert sorted(map(tuple, got.select("k", "v", "w").collect())) == sorted(
-        map(tuple, want.select("k", "v", "w").collect())
-    )

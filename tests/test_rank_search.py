@@ -1,15 +1,18 @@
 """The hand-checked page lake: dedupe, graph, index and search."""
 
 import math
+import os
+import re
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from webloom import schema as S
-from webloom.operators import graph, index, search, skew, snapshot
+from webloom.operators import graph, index, search, snapshot
 from webloom.operators.tagging import with_url
 from webloom.plans import rebuild
+from webloom.session import shared_dir
 from webloom.sources import lake
 
 
@@ -125,7 +128,7 @@ def test_index(latest):
     titles = {r.url: r.title for r in index.doc_mappings(latest).collect()}
     assert titles == {"https://a.es/": "Becas USAL", "https://b.es/": "Portada B",
                       "https://c.es/x": "c.es", "https://d.es/": "D"}
-    assert index.key_collisions(index.doc_mappings(latest)).isEmpty()
+    assert index.clashing_keys(latest.select("url")).isEmpty()
 
 
 def test_nested_blocks_hold_every_posting_once(spark):
@@ -260,28 +263,100 @@ def test_publish_keeps_old_versions(spark, tmp_path):
     assert now.count() == 6 and {r.domain_p for r in now.collect()} <= {"0", "1"}
 
 
-def test_heavy_keys_are_split_and_nothing_is_lost(spark, monkeypatch):
-    big = spark.range(5000).selectExpr(
-        "case when id % 3 = 0 then 'hot' when id % 50 = 1 then null else concat('k', id % 40) end as k",
-        "id as v",
-    )
-    small = spark.range(45).selectExpr(
-        "case when id = 44 then 'hot' when id = 43 then null else concat('k', id) end as k", "id as w"
-    )
-    heavy = skew.heavy_keys(big.groupBy("k").count(), ["k"], rows_per_split=100)
-    splits = {r.k: r._splits for r in heavy.collect()}
-    assert splits["hot"] == 17
-    for how in ("inner", "left", "left_semi", "left_anti"):
-        got = skew.spread_join(big, small, ["k"], how, heavy, ["v"])
-        want = big.join(small, "k", how)
-        assert Counter(map(tuple, got.select(*want.columns).collect())) == Counter(
-            map(tuple, want.collect())
+def test_split_sources_give_the_same_ranks(spark, latest):
+    links = graph.link_rows(latest)
+    nodes = graph.vertices(latest)
+    edges = graph.edges(links, nodes)
+    for size in (1, 2, 1_000):
+        ranks = graph.pagerank(nodes, edges, edges_per_piece=size).collect()
+        assert {r.url: round(r.pagerank, 6) for r in ranks} == RANKS
+
+
+def test_hot_keys_do_not_fill_a_task(spark):
+    """Joins on a hot key lean on the adaptive skew join: 5,000 warm keys, one with a third."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        postings = spark.range(0, 600_000, 1, 24).selectExpr(
+            "case when id % 3 = 0 then 'hot' else concat('k', id % 5000) end AS token",
+            "id AS doc_key",
+            "1L AS tf",
+        )
+        weights = spark.range(5_000).selectExpr("concat('k', id) AS token", "id * 1.0D AS idf").unionByName(
+            spark.sql("SELECT 'hot' AS token, 1.0D AS idf")
         )
+        joined = postings.join(weights, "token").select(
+                "doc_key", "tf", F.spark_partition_id().alias("task")
+            )
+        per_task = [r["count"] for r in joined.groupBy("task").count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert sum(per_task) >= 590_000 and max(per_task) < 0.1 * sum(per_task)
+
+
+def scratch_files(spark):
+    folder = os.path.join(shared_dir(spark).removeprefix("file:"), "webloom")
+    return set(os.listdir(folder)) if os.path.isdir(folder) else set()
+
+
+def test_rebuild_after_a_failure_and_with_clashing_hashes(spark, published, tmp_path, monkeypatch):
+    base, landing = f"{tmp_path}/out", f"{published}/landing"
+    before = scratch_files(spark)
+    with monkeypatch.context() as m:
+        def broken(*a):
+            raise RuntimeError("stopped after the pages")
+
+        m.setattr(rebuild, "write_index", broken)
+        for _ in range(2):
+            with pytest.raises(RuntimeError):
+                rebuild.rebuild(spark, landing, base)
+    assert rebuild.open_tables(spark, base).pages.isEmpty()
+    few = lambda url: F.pmod(F.xxhash64(url), F.lit(2))
+    assert rebuild.rebuild(spark, landing, base, hash_of=few) == 1
+    t = rebuild.open_tables(spark, base)
+    keys = [r.doc_key for r in t.mappings.collect()]
+    assert len(keys) == len(set(keys)) == 4
+    assert [r.url for r in rebuild.search_text(spark, base, "becas").collect()] == [
+        "https://a.es/", "https://b.es/",
+    ]
+    assert scratch_files(spark) == before
+    assert {r.pagerank for r in t.postings.select("pagerank").collect()} == {
+        r.pagerank for r in t.mappings.select("pagerank").collect()
+    }
 
 
-def test_split_sources_give_the_same_ranks(spark, latest, monkeypatch):
-    monkeypatch.setattr(skew, "ROWS_PER_SPLIT", 1)
-    links = graph.link_rows(latest)
-    nodes = graph.vertices(latest)
-    ranks = graph.pagerank(nodes, graph.edges(links, nodes)).collect()
-    assert {r.url: round(r.pagerank, 6) for r in ranks} == RANKS
+def test_two_publishers_at_once(spark, tmp_path):
+    raw = spark.createDataFrame(ROWS, S.SCORED_PAGE)
+    base = f"{tmp_path}/lake"
+    one, two = lake.new_version(spark, base), lake.new_version(spark, base)
+    assert one[0] == two[0] == 1 and one[1] != two[1]
+    lake.write_partitioned(raw, f"{base}/{one[1]}")
+    lake.write_partitioned(raw.limit(1), f"{base}/{two[1]}")
+    lake.commit_version(spark, base, *one)
+    lake.commit_version(spark, base, *two)
+    newest = max(one[1], two[1])
+    assert lake.open_current(spark, base).count() == (raw.count() if newest == one[1] else 1)
+    assert lake.publish(raw, base) == 2 and lake.open_current(spark, base).count() == raw.count()
+
+
+@pytest.mark.parametrize("buckets", [None, 3])
+def test_lookup_prunes_folders(spark, tmp_path, buckets):
+    raw = spark.createDataFrame(ROWS, S.SCORED_PAGE)
+    base = f"{tmp_path}/lake"
+    lake.publish(raw, base, buckets)
+    pages = lake.open_current(spark, base)
+    found = search.page_lookup(pages, "https://a.es/", buckets)
+    assert {r.url for r in found.collect()} == {"https://a.es/"}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    filters = re.search(r"PartitionFilters: \[([^\]]*)", plan).group(1)
+    assert "domain_p" in filters

@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from webloom import schema as S
@@ -94,3 +95,23 @@ def test_perf_lines(spark):
     assert [tuple(r) for r in bench_files.parse_perf_lines(df).collect()] == [
         (5000, 49.5, 4.7, 2.0, 9.0, 1.0)
     ]
+
+
+def test_result_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "M2_spark_d_1_a.csv").write_text(
+        "Timestamp,Load_Level,Iterations,Real_Execution_Time_sec\nt1,low,25,7\n"
+    )
+    (tmp_path / "M2_spark_d_1_b.csv").write_text(
+        '"Iterations",Load_Level,Extra,Real_Execution_Time_sec,Timestamp\n50,"hi, gh",x,8,t2\n'
+    )
+    rows = bench_files.read_results(spark, f"{tmp_path}/*.csv", bench_files.COMPUTE).collect()
+    assert sorted(map(tuple, rows)) == [("t1", "low", 25, 7, "1_a"), ("t2", "hi, gh", 50, 8, "1_b")]
+    (tmp_path / "M2_spark_d_1_c.csv").write_text("Timestamp,Load_Level\nt1,low\n")
+    with pytest.raises(ValueError, match="1_c"):
+        bench_files.read_results(spark, f"{tmp_path}/*.csv", bench_files.COMPUTE)
+
+
+def test_perf_lines_with_exponents(spark):
+    line = "5000 records sent, 1.0E7 records/sec (4.7 MB/sec), 2.0 ms avg latency, 9.0e-1 ms max latency, 1 ms 50th, x"
+    row = bench_files.parse_perf_lines(spark.createDataFrame([(line,), ("other",)], "value string")).first()
+    assert (row.records_per_sec, row.max_latency_ms, row.p50_latency_ms) == (1e7, 0.9, 1.0)

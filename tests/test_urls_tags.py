@@ -123,3 +123,14 @@ def test_dictionary_and_seed_files(spark, tmp_path):
     assert sorted(map(tuple, config_files.read_seeds(spark, str(s)).collect())) == [
         ("https://a", 2), ("https://b", 0),
     ]
+
+
+def test_odd_dictionaries(spark):
+    """Empty word lists and patterns without a group give no tag and no error."""
+    df = spark.createDataFrame([(["We sell data tools"],)], "segs array<string>")
+    got = df.select(
+        tags.keyword_tags(F.col("segs"), {"none": [], "x": ["tools"]}).alias("k"),
+        tags.phrase_tags(F.col("segs"), ["sell", "sell ([a-z]+)", r"\\(sell\\)", "(?:sell)"]).alias("p"),
+        tags.keyword_tags(F.col("segs"), {}).alias("e"),
+    ).first()
+    assert (got.k, got.p, got.e) == (["x"], ["data"], [])

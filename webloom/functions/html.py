@@ -55,7 +55,17 @@ TITLE_BLOCK = rf"(?is)<title(?:[{WS}/]{_TAG_REST}|>).*?(?={TITLE_CUT}|\z)"
 # Link endings that mark a file.
 FILE_ENDINGS = "pdf xlsx xls docx doc pptx ppt txt csv zip rar".split()
 
-_ENTITY_CODES = ",".join(f"{k}:{v}" for k, v in sorted(html.entities.name2codepoint.items()))
+# Names with ';' and old names without, from the standard library's table.
+_ALL_NAMES = dict(sorted(html.entities.html5.items()))
+# Looked up first, as a map is searched from its start.
+_COMMON_NAMES = {n: _ALL_NAMES[n] for n in ("amp;", "lt;", "gt;", "quot;", "apos;", "nbsp;")}
+_OLD_NAME = "^(?:{})".format(
+    "|".join(sorted((n for n in _ALL_NAMES if not n.endswith(";")), key=lambda n: (-len(n), n)))
+)
+# Numbers 128 to 159 mean what Windows calls them, where it has a character there.
+_CONTROL_RANGE = "".join(
+    bytes([b]).decode("cp1252", "ignore") or chr(b) for b in range(0x80, 0xA0)
+)
 
 
 def start_tag_pattern(element: str) -> str:
@@ -66,59 +76,82 @@ def start_tag_pattern(element: str) -> str:
 
 
 def _character(code: Column) -> Column:
+    """The character of a numeric reference. ``code`` is a plain name, or costs twice."""
     valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
     safe = F.when(valid, code).otherwise(F.lit(0xFFFD))
-    return F.decode(F.unhex(F.lpad(F.hex(safe), 8, "0")), "UTF-32")
+    plain = F.decode(F.unhex(F.lpad(F.hex(safe), 8, "0")), "UTF-32")
+    high = F.get(F.split(F.lit(_CONTROL_RANGE), ""), (code - 0x80).cast("int"))
+    return F.when(code.between(0x80, 0x9F), high).otherwise(plain)
 
 
-def _reference_code(ref: Column) -> Column:
-    names = F.str_to_map(F.lit(_ENTITY_CODES), F.lit(","), F.lit(":"))
-    return (
-        F.when(ref.rlike("^#[0-9]{1,7}$"), F.substring(ref, 2, 7))
-        .when(ref.rlike("^#[xX][0-9a-fA-F]{1,6}$"), F.conv(F.substring(ref, 3, 6), 16, 10))
-        .otherwise(F.try_element_at(names, ref))
-    ).cast("int")
+def _number(digits: Column, base: int) -> Column:
+    """Value of a digit string of any length; whatever is out of range becomes -1."""
+    plain = F.regexp_replace(digits, "^0+(?=.)", "")
+    return F.when(F.length(plain) > 7, F.lit(-1)).otherwise(F.conv(plain, base, 10).cast("bigint"))
+
+
+def _named(name: Column) -> Column:
+    """Characters of a reference's name, which ends in ';' or is one of the old ones."""
+    return F.coalesce(
+        F.try_element_at(_table(_COMMON_NAMES), name), F.try_element_at(_table(_ALL_NAMES), name)
+    )
+
 
+def _table(names: dict[str, str]) -> Column:
+    values = F.split(F.lit("\x01".join(names.values())), "\x01")
+    return F.map_from_arrays(F.split(F.lit("\x01".join(names)), "\x01"), values)
 
-def decode_entities(text: Column) -> Column:
-    """Named (HTML 4 set), decimal and hexadecimal character references.
 
-    ``text`` occurs three times in the result, so it should be a plain column or
-    a lambda variable. The steps are chained transforms for the same reason: each
+def decode_entities(text: Column, attribute: bool = False) -> Column:
+    """Character references: all names, old names without ';', numbers of any length.
+
+    In an attribute an old name without ';' stays as it is before a letter, a digit or
+    '='. ``text`` occurs several times in the result, so it should be a plain column
+    or a lambda variable. The steps are chained transforms for the same reason: each
     gives its result a name that the next one can use freely.
     """
+    old_name = _OLD_NAME + ("(?![A-Za-z0-9=])" if attribute else "")
     pieces = F.transform(
         F.split(text, "&"),
-        lambda p, i: F.struct(
+        lambda p: F.struct(
             p.alias("piece"),
-            F.when((i > 0) & p.contains(";"), F.substring_index(p, ";", 1)).alias("ref"),
+            F.regexp_extract(p, "^#(?:[0-9]+|[xX][0-9a-fA-F]+);?", 0).alias("number"),
+            F.regexp_extract(p, "^[A-Za-z][A-Za-z0-9]*+;", 0).alias("name"),
+            F.regexp_extract(p, old_name, 0).alias("old"),
         ),
     )
     coded = F.transform(
         pieces,
         lambda p: F.struct(
             p["piece"].alias("piece"),
-            p["ref"].alias("ref"),
-            F.when(p["ref"].isNotNull(), _reference_code(p["ref"])).alias("code"),
+            p["number"].alias("number"),
+            p["old"].alias("old"),
+            p["name"].alias("name"),
+            F.when(p["name"] != "", _named(p["name"])).alias("whole"),
+            F.when(
+                p["number"].rlike("^#[xX]"), _number(F.regexp_extract(p["number"], "^#.([^;]+)", 1), 16)
+            )
+            .when(p["number"] != "", _number(F.regexp_extract(p["number"], "^#([^;]+)", 1), 10))
+            .alias("code"),
         ),
     )
+
+    def rest(p: Column, reference: Column) -> Column:
+        return p["piece"].substr(F.length(reference) + 1, F.length(p["piece"]))
+
     decoded = F.transform(
         coded,
-        lambda p, i: F.when(
-            p["code"].isNotNull(),
-            F.concat(
-                _character(p["code"]),
-                p["piece"].substr(F.length(p["ref"]) + 2, F.length(p["piece"])),
-            ),
-        )
-        .when(i == 0, p["piece"])
+        lambda p, i: F.when(i == 0, p["piece"])
+        .when(p["number"] != "", F.concat(_character(p["code"]), rest(p, p["number"])))
+        .when(p["whole"].isNotNull(), F.concat(p["whole"], rest(p, p["name"])))
+        .when(p["old"] != "", F.concat(_named(p["old"]), rest(p, p["old"])))
         .otherwise(F.concat(F.lit("&"), p["piece"])),
     )
     return F.when(text.contains("&"), F.array_join(decoded, "")).otherwise(text)
 
 
-def _decode_all(texts: Column) -> Column:
-    return F.transform(texts, lambda t: decode_entities(t))
+def _decode_all(texts: Column, attribute: bool = False) -> Column:
+    return F.transform(texts, lambda t: decode_entities(t, attribute))
 
 
 # ------------------------------------------------------------ masking, tags
@@ -196,7 +229,7 @@ def _raw_values(attributes: Column, name: str) -> Column:
 
 def attribute_values(masked: Column, element: str, name: str) -> Column:
     """The attribute of every such element in page order, null where absent."""
-    return _decode_all(_raw_values(tag_attributes(start_tags(masked, element)), name))
+    return _decode_all(_raw_values(tag_attributes(start_tags(masked, element)), name), True)
 
 
 def _without_tags(fragments: Column, cut: str | None = None) -> Column:
@@ -332,8 +365,9 @@ def parse_pages(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """Replace the HTML column by ``content``; other columns pass through.
 
     One scan finds all start tags of interest and one all headings. The lists are
-    decoded together, so the plan holds the decoding once. Each step is a
-    projection of its own whose results the next one may use several times.
+    decoded together, so the plan holds the decoding once for attributes and once for
+    texts. Each step is a projection of its own whose results the next one may use
+    several times.
     """
     others = [c for c in pages.columns if c != html_col]
     m = F.col("_m")
@@ -352,14 +386,18 @@ def parse_pages(pages: DataFrame, html_col: str = "html") -> DataFrame:
         "_titles",
         *[tag_attributes(tags_of(F.col("_tags"), e)).alias(f"_{e}") for e in _ELEMENTS],
     )
-    raw = F.array(
-        *[_raw_values(F.col(f"_{e}"), name) for e, name in _FIELDS],
+    raw_values = F.array(*[_raw_values(F.col(f"_{e}"), name) for e, name in _FIELDS])
+    raw_texts = F.array(
         _raw_headings(F.col("_headings"), 1),
         _raw_headings(F.col("_headings"), 2),
         F.col("_p"),
         F.col("_titles"),
     )
-    texts = attributes.select(*others, F.transform(raw, _decode_all).alias("_t"))
+    decoded = F.concat(
+        F.transform(raw_values, lambda v: _decode_all(v, True)),
+        F.transform(raw_texts, lambda t: _decode_all(t)),
+    )
+    texts = attributes.select(*others, decoded.alias("_t"))
     part = [F.get("_t", F.lit(i)) for i in range(len(_FIELDS) + 4)]
     a_href, link_href, script_src, img_src, charset, name, meta_content, h1, h2, p, titles = part
     lists = texts.select(

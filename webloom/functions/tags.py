@@ -53,6 +53,7 @@ LEADS = [
 ]
 PHRASE_GROUP = r"([a-záéíóúñ\s]+)"
 CONNECTOR = r"\s*(?:,|y|and)\s*"
+# Tags by page structure and by parts of the address.
 STRUCTURE_TAGS = [
     ("marca", "metadata", "logo"),
     ("javascript", "metadata", "scripts"),
@@ -72,7 +73,7 @@ DEFAULT_DICTIONARY = Dictionary(KEYWORDS, [f"{lead} {PHRASE_GROUP}" for lead in
 
 
 def _contains_any(text: Column, words: list[str]) -> Column:
-    return reduce(lambda a, b: a | b, [text.contains(w) for w in words])
+    return reduce(lambda a, b: a | b, [text.contains(w) for w in words], F.lit(False))
 
 
 def _tags_if(conditions: list[tuple[str, Column]]) -> Column:
@@ -114,13 +115,21 @@ def _literal_start(pattern: str) -> str:
     return start[:-1] if pattern[len(start) : len(start) + 1] in ("*", "?", "{") else start
 
 
+def _groups(pattern: str) -> bool:
+    """Whether a pattern has a capturing group, by its text: the dialects differ."""
+    plain = re.sub(r"\\.|\[\^?\]?(?:\\.|[^\]])*\]", "", pattern)
+    return bool(re.search(r"\((?!\?)|\(\?P?<(?![=!])", plain))
+
+
 def phrase_tags(segments: Column, patterns: list[str] = DEFAULT_DICTIONARY.patterns) -> Column:
     """Pieces of the first group of each pattern, cut at commas and connectors.
 
     Kept are pieces of more than two bytes and at most four words. Every pattern
-    searches a segment on its own, but only where its literal start occurs.
+    searches a segment on its own, but only where its literal start occurs. A
+    pattern without a group has no phrase to give and is skipped.
     """
     none = F.array().cast("array<string>")
+    patterns = [p for p in patterns if _groups(p)]
     if not patterns:
         return none
     starts = [_literal_start(p) for p in patterns]

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from webloom.functions import urls
-from webloom.operators import skew
 from webloom.session import cut_lineage, stage_table
 
 _BLANKS = " \t\r\f\u000b"
@@ -43,8 +42,9 @@ def robots_rules(bodies: DataFrame) -> DataFrame:
 def allowed_urls(candidates: DataFrame, rules: DataFrame, match: str = "exact") -> DataFrame:
     """Candidate URLs without the disallowed ones.
 
-    ``exact`` compares whole URLs. ``prefix`` compares beginnings, within a site;
-    the URLs of a very large site are dealt out over several tasks.
+    ``exact`` compares whole URLs, ``prefix`` beginnings within a site: a URL is cut to
+    the rule lengths that its site uses, and the cuts are matched by equality, so no
+    URL meets every rule of its site.
     """
     disallowed = rules.where(F.col("kind") == "disallow").select("site", "rule").distinct()
     candidates = candidates.distinct()
@@ -54,20 +54,18 @@ def allowed_urls(candidates: DataFrame, rules: DataFrame, match: str = "exact")
         )
     if match != "prefix":
         raise ValueError(f"unknown match {match!r}")
-    with_site = candidates.withColumn(
-        "site",
-        F.concat(urls.scheme(F.col("url")), F.lit("://"), urls.domain(F.col("url"))),
+    site = F.concat(urls.scheme(F.col("url")), F.lit("://"), urls.domain(F.col("url")))
+    # One array of distinct lengths per site; no longer than its longest rule.
+    lengths = disallowed.groupBy("site").agg(F.collect_set(F.length("rule")).alias("lengths"))
+    fitting = F.filter("lengths", lambda n: n <= F.length("url"))
+    cuts = (
+        candidates.withColumn("site", site)
+        .join(lengths, "site")
+        .select("url", "site", F.explode(fitting).alias("n"))
+        .select("url", "site", F.col("url").substr(F.lit(1), F.col("n")).alias("rule"))
     )
-    heavy = skew.heavy_keys(with_site.groupBy("site").count(), ["site"])
-    return skew.spread_join(
-        with_site,
-        disallowed,
-        ["site"],
-        "left_anti",
-        heavy,
-        ["url"],
-        extra=lambda left, right: left["url"].startswith(right["rule"]),
-    ).drop("site")
+    hit = cuts.join(disallowed, ["site", "rule"], "left_semi").select("url").distinct()
+    return candidates.join(hit, "url", "left_anti")
 
 
 def undiscovered_roots(links: DataFrame, crawl_log: DataFrame) -> DataFrame:
@@ -125,9 +123,6 @@ def domain_reach(seeds: DataFrame, domain_edges: DataFrame) -> DataFrame:
         domain_edges.select("src", "dst").where(F.col("src") != F.col("dst")).distinct(),
         "domain-edges",
     )
-    heavy = stage_table(
-        skew.heavy_keys(edges.groupBy("src").count(), ["src"]), "domain-edges-heavy"
-    )
     reached = cut_lineage(
         seeds.where(F.col("depth") >= 0)
         .groupBy("domain")
@@ -139,14 +134,7 @@ def domain_reach(seeds: DataFrame, domain_edges: DataFrame) -> DataFrame:
         if grown.isEmpty():
             return reached
         hops = (
-            skew.spread_join(
-                edges,
-                grown.select(F.col("domain").alias("src"), "depth"),
-                ["src"],
-                "inner",
-                heavy,
-                ["dst"],
-            )
+            edges.join(grown.select(F.col("domain").alias("src"), "depth"), "src")
             .groupBy(F.col("dst").alias("domain"))
             .agg(F.max(F.col("depth") - 1).alias("found"))
         )

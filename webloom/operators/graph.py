@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from webloom.functions import urls
-from webloom.operators import skew
 from webloom.session import cut_lineage, stage_table
 
 DAMPING = 0.85
 ITERATIONS = 10
 ROUNDS_PER_CUT = 5
+# Edges of one source that lie together.
+EDGES_PER_PIECE = 1_000_000
 
 
 def link_rows(latest: DataFrame, links: str = "content.links") -> DataFrame:
@@ -33,16 +32,12 @@ def vertices(latest: DataFrame) -> DataFrame:
     return latest.select("url").distinct()
 
 
-def edges(links: DataFrame, nodes: DataFrame, refs: DataFrame | None = None) -> DataFrame:
-    """Distinct (src, dst) with a known page as dst; self-loops stay.
-
-    The in-link counts tell which targets are too popular for one task.
-    """
-    refs = external_refs(links) if refs is None else refs
+def edges(links: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Distinct (src, dst) with a known page as dst; self-loops stay."""
     rough = links.select("src", F.col("link").alias("dst")).distinct()
-    heavy = skew.heavy_keys(refs.withColumnRenamed("link", "dst"), ["dst"], "external_refs")
-    known = nodes.select(F.col("url").alias("dst"))
-    return skew.spread_join(rough, known, ["dst"], "left_semi", heavy, ["src"]).select("src", "dst")
+    return rough.join(nodes.select(F.col("url").alias("dst")), "dst", "left_semi").select(
+        "src", "dst"
+    )
 
 
 def out_degree(edge_rows: DataFrame) -> DataFrame:
@@ -52,18 +47,25 @@ def out_degree(edge_rows: DataFrame) -> DataFrame:
 def transitions(edge_rows: DataFrame, degrees: DataFrame | None = None) -> DataFrame:
     """(src, dst, weight) with weight 1 / out-degree."""
     degrees = out_degree(edge_rows) if degrees is None else degrees
-    heavy = skew.heavy_keys(degrees, ["src"], "out_degree")
-    return skew.spread_join(edge_rows, degrees, ["src"], "inner", heavy, ["dst"]).select(
+    return edge_rows.join(degrees, "src").select(
         "src", "dst", (F.lit(1.0) / F.col("out_degree")).alias("weight")
     )
 
 
-def _node_key(nodes: DataFrame) -> Callable[[str], Column]:
-    """Short key of a URL column: its 64-bit hash, or the URL itself if two URLs clash."""
-    clash = (
-        nodes.groupBy(F.xxhash64("url").alias("id")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+def node_key(url: str) -> Column:
+    """128-bit key of a URL, shorter than it and without a clash at any crawl's size."""
+    return F.unhex(F.md5(F.col(url)))
+
+
+def _pieces(degree: Column, edges_per_piece: int) -> Column:
+    return F.ceil(degree / F.lit(edges_per_piece)).cast("int")
+
+
+def _piece_key(source: Column, piece: Column) -> Column:
+    """Key of one piece of a source's edges; the first piece has the source's own."""
+    return F.when(piece == 0, source).otherwise(
+        F.unhex(F.md5(F.concat(source, piece.cast("string").cast("binary"))))
     )
-    return (lambda c: F.xxhash64(c)) if clash.isEmpty() else (lambda c: F.col(c))
 
 
 def pagerank(
@@ -72,62 +74,62 @@ def pagerank(
     iterations: int = ITERATIONS,
     damping: float = DAMPING,
     rounds_per_cut: int = ROUNDS_PER_CUT,
+    edges_per_piece: int = EDGES_PER_PIECE,
 ) -> DataFrame:
     """(url, pagerank): every rank starts at 1; mass of pages without out-links is lost.
 
     ``nodes`` are distinct URLs and ``edge_rows`` distinct pairs of them. Rounds
-    work on 64-bit keys instead of URLs. The out-degree rides on the rank side as
-    a share (rank / out-degree), so an edge is only a pair of keys.
-
-    Ranks and edges are partitioned and sorted alike by source, hence a round joins
-    them in place and shuffles only the contributions by target, summed within each
-    task first. The edges of sources with very many out-links lie elsewhere, dealt
-    out by target; their shares, at most ``MAX_HEAVY_KEYS`` rows, are broadcast.
+    work on short keys instead of URLs. The out-degree rides on the rank side as a
+    share (rank / out-degree), so an edge is only a pair of keys.
+
+    The edges of a source are filed in pieces of about ``edges_per_piece``, each
+    with a key of its own, and a rank row is repeated for each of its source's
+    pieces; nearly always that is one. So no source, however many links it has,
+    fills a task. Edges are partitioned and sorted once. A round shuffles the shares
+    to the pieces and the contributions, summed inside each task first, to the
+    targets; a cut of the lineage adds no shuffle to that.
     """
     base = 1.0 - damping
     spark = edge_rows.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     nodes = stage_table(nodes.select("url"), "pagerank-nodes")
-    key = _node_key(nodes)
-    pairs = edge_rows.select(key("src").alias("src"), key("dst").alias("dst"))
+    pairs = edge_rows.select(node_key("src").alias("src"), node_key("dst").alias("dst"))
     pairs = stage_table(pairs, "pagerank-edges")
     degrees = stage_table(out_degree(pairs), "pagerank-degrees")
-    heavy = skew.heavy_keys(degrees, ["src"], "out_degree", skew.ROWS_PER_SPLIT)
-    heavy = stage_table(heavy.select("src"), "pagerank-heavy")
-    any_heavy = not heavy.isEmpty()
-    if any_heavy:
-        # A round then uses the ranks twice, which must not double the plan each time.
-        rounds_per_cut = 1
 
     # Cached on top of staged files: a lost executor costs a short rebuild.
     node_rows = (
-        nodes.withColumn("id", key("url"))
+        nodes.withColumn("id", node_key("url"))
         .join(degrees.withColumnRenamed("src", "id"), "id", "left")
         .repartition(partitions, "id")
         .sortWithinPartitions("id")
         .persist()
     )
-    light_edges = (
-        pairs.join(F.broadcast(heavy), "src", "left_anti")
-        .repartition(partitions, "src")
-        .sortWithinPartitions("src")
+    wide = degrees.where(F.col("out_degree") > edges_per_piece)
+    piece = F.pmod(
+        F.xxhash64("dst"), F.coalesce(_pieces(F.col("out_degree"), edges_per_piece), F.lit(1))
+    ).cast("int")
+    filed = (
+        pairs.join(wide, "src", "left")
+        .select(_piece_key(F.col("src"), piece).alias("piece_key"), "dst")
+        .repartition(partitions, "piece_key")
+        .sortWithinPartitions("piece_key")
         .persist()
     )
-    heavy_edges = (
-        pairs.join(F.broadcast(heavy), "src", "left_semi").repartition(partitions, "dst").persist()
-    )
 
     ranks = node_rows.withColumn("rank", F.lit(1.0))
     for i in range(1, iterations + 1):
-        shares = ranks.where(F.col("out_degree").isNotNull()).select(
-            F.col("id").alias("src"), (F.col("rank") / F.col("out_degree")).alias("share")
-        )
-        sent = shares.join(light_edges, "src").select("dst", "share")
-        if any_heavy:
-            few = shares.join(F.broadcast(heavy), "src", "left_semi")
-            sent = sent.unionByName(
-                heavy_edges.join(F.broadcast(few), "src").select("dst", "share")
+        count = _pieces(F.col("out_degree"), edges_per_piece)
+        shares = (
+            ranks.where(F.col("out_degree").isNotNull())
+            .select(
+                "id",
+                (F.col("rank") / F.col("out_degree")).alias("share"),
+                F.explode(F.sequence(F.lit(0), count - 1)).alias("piece"),
             )
+            .select(_piece_key(F.col("id"), F.col("piece")).alias("piece_key"), "share")
+        )
+        sent = shares.join(filed, "piece_key").select("dst", "share")
         received = sent.groupBy("dst").agg(F.sum("share").alias("received"))
         ranks = node_rows.join(received, node_rows["id"] == received["dst"], "left").select(
             "id",
@@ -137,7 +139,7 @@ def pagerank(
         )
         if i % rounds_per_cut == 0 or i == iterations:
             ranks = cut_lineage(ranks)
-    for cached in (node_rows, light_edges, heavy_edges):
+    for cached in (node_rows, filed):
         cached.unpersist()
     return ranks.select("url", F.col("rank").alias("pagerank"))
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from webloom.functions import text as txt
+from webloom.session import stage_table
 
 DEFAULT_RANK = 0.15
 # Documents per block of the nested index: the most entries one array can get.
@@ -16,14 +19,44 @@ def doc_key(url: Column) -> Column:
     return F.xxhash64(url)
 
 
-def key_collisions(mappings: DataFrame) -> DataFrame:
-    """Keys shared by more than one URL; empty for a sound index."""
-    return (
-        mappings.select("doc_key", "url")
-        .distinct()
-        .groupBy("doc_key")
-        .agg(F.count(F.lit(1)).alias("urls"))
-        .where("urls > 1")
+def clashing_keys(urls: DataFrame, hash_of: Callable[[Column], Column] = doc_key) -> DataFrame:
+    """(url, doc_key) of the URLs whose hash another one has, too.
+
+    Of the URLs (distinct, in ``url``) with one hash the smallest keeps it. Each other
+    one gets the first of its later hashes (of the URL with a number behind it)
+    that nobody has. The result is tiny: 64-bit hashes begin to clash at some
+    thousand million URLs, a pair at a time.
+    """
+    hashed = urls.select("url", hash_of(F.col("url")).alias("doc_key"))
+    first = hashed.groupBy("doc_key").agg(
+        F.min("url").alias("first"), F.count(F.lit(1)).alias("n")
+    ).where("n > 1")
+    open_urls = stage_table(
+        hashed.join(first, "doc_key").where("url != first").select("url"), "clashing-urls"
+    )
+    given = None
+    turn = 0
+    while not open_urls.isEmpty():
+        turn += 1
+        numbered = F.xxhash64(F.lit(turn), F.col("url"))
+        tried = open_urls.select("url", numbered.alias("doc_key"))
+        taken = hashed.select("doc_key") if given is None else hashed.select("doc_key").unionByName(
+            given.select("doc_key")
+        )
+        lowest = tried.groupBy("doc_key").agg(F.min("url").alias("url"))
+        won = stage_table(lowest.join(taken, "doc_key", "left_anti").select("url", "doc_key"), "keys")
+        given = won if given is None else given.unionByName(won)
+        open_urls = stage_table(open_urls.join(won, "url", "left_anti"), "clashing-urls")
+    return open_urls.select("url", F.lit(0).cast("bigint").alias("doc_key")) if given is None else given
+
+
+def with_doc_keys(
+    pages: DataFrame, hash_of: Callable[[Column], Column] = doc_key
+) -> DataFrame:
+    """``pages`` (url, …) with a ``doc_key`` that no two URLs share."""
+    clashing = clashing_keys(pages.select("url").distinct(), hash_of)
+    return pages.join(clashing, "url", "left").withColumn(
+        "doc_key", F.coalesce("doc_key", hash_of(F.col("url")))
     )
 
 
@@ -35,10 +68,17 @@ def with_score_columns(pages: DataFrame) -> DataFrame:
     return pages
 
 
+def _keyed(latest: DataFrame) -> DataFrame:
+    """Pages with a document key: their own, or the plain hash."""
+    if "doc_key" in latest.columns:
+        return latest
+    return latest.withColumn("doc_key", doc_key(F.col("url")))
+
+
 def page_documents(latest: DataFrame) -> DataFrame:
-    """(doc_key, text) of the newest version of each page."""
-    return latest.select(
-        doc_key(F.col("url")).alias("doc_key"),
+    """(doc_key, text, pagerank) of the newest version of each page."""
+    return with_score_columns(_keyed(latest)).select(
+        "doc_key",
         txt.document_text(
             F.col("domain"),
             F.col("real_path"),
@@ -46,38 +86,44 @@ def page_documents(latest: DataFrame) -> DataFrame:
             F.col("tags"),
             F.col("content.texts"),
         ).alias("text"),
+        "pagerank",
     )
 
 
 def doc_mappings(latest: DataFrame) -> DataFrame:
-    """What a hit shows: title is the first h1, else the first h2, else the domain."""
-    return (
-        with_score_columns(latest)
-        .select(
-            doc_key(F.col("url")).alias("doc_key"),
-            "url",
-            F.coalesce(
-                F.get("content.texts.h1", F.lit(0)),
-                F.get("content.texts.h2", F.lit(0)),
-                F.col("domain"),
-            ).alias("title"),
-            "external_refs",
-            "pagerank",
-        )
-        .distinct()
+    """What a hit shows: title is the first h1, else the first h2, else the domain.
+
+    One row per page of ``latest``, which has one row per URL.
+    """
+    return with_score_columns(_keyed(latest)).select(
+        "doc_key",
+        "url",
+        F.coalesce(
+            F.get("content.texts.h1", F.lit(0)),
+            F.get("content.texts.h2", F.lit(0)),
+            F.col("domain"),
+        ).alias("title"),
+        "external_refs",
+        "pagerank",
     )
 
 
 def tokens(docs: DataFrame, token_chars: str = txt.TOKEN_CHARS) -> DataFrame:
-    """(doc_key, token): one row per occurrence."""
+    """One row per occurrence: token, and the documents' columns but the text."""
+    others = [c for c in docs.columns if c != "text"]
     return docs.select(
-        "doc_key", F.explode(txt.token_array(F.col("text"), token_chars)).alias("token")
+        *others, F.explode(txt.token_array(F.col("text"), token_chars)).alias("token")
     )
 
 
 def postings(token_rows: DataFrame) -> DataFrame:
-    """(token, doc_key, tf). Counts are summed within a task before the shuffle."""
-    return token_rows.groupBy("token", "doc_key").agg(F.count(F.lit(1)).alias("tf"))
+    """(token, doc_key, tf), with the document's ``pagerank`` if the rows have it.
+
+    Counts are summed within a task before the shuffle; rows that are dealt out by
+    ``doc_key`` are counted where they lie.
+    """
+    rank = [F.first("pagerank").alias("pagerank")] if "pagerank" in token_rows.columns else []
+    return token_rows.groupBy("token", "doc_key").agg(F.count(F.lit(1)).alias("tf"), *rank)
 
 
 def doc_freq(docs: DataFrame, token_chars: str = txt.TOKEN_CHARS) -> DataFrame:

@@ -10,15 +10,13 @@ from pyspark.sql import functions as F
 
 from webloom.functions import text as txt
 from webloom.functions import urls
-from webloom.operators import skew
 from webloom.session import stage_table
+from webloom.sources import lake
 
 TOP_K = 100
 # Sums of the same terms can differ in their last bits between runs. Order is
 # taken from the sum rounded to this many digits, so equal documents tie.
 SCORE_DIGITS = 6
-# Tasks that share the vocabulary below one search term.
-TERM_SPLITS = 16
 
 
 def terms_of(text: str, normalise: bool = False) -> list[str]:
@@ -42,19 +40,12 @@ def prefix_terms(vocabulary: DataFrame, terms: list[str]) -> DataFrame:
 def scores(index: DataFrame, idf: DataFrame, terms: list[str]) -> DataFrame:
     """(doc_key, content_score, matches): summed tf * idf and matched index tokens.
 
-    The filter is put on both sides. Document frequencies name the tokens whose
-    postings have to be dealt out over several tasks.
+    The filter is put on both sides. The postings of a frequent token are split by
+    the adaptive skew join, if its weights are too many to be broadcast.
     """
     matched = index.where(prefix_filter(terms)).select("token", "doc_key", "tf")
-    weights = idf.where(prefix_filter(terms)).select("token", "doc_freq", "idf")
-    return _sum_scores(_weighted(matched, weights), ["doc_key"])
-
-
-def _weighted(matched: DataFrame, weights: DataFrame) -> DataFrame:
-    heavy = skew.heavy_keys(weights, ["token"], "doc_freq")
-    return skew.spread_join(
-        matched, weights.drop("doc_freq"), ["token"], "inner", heavy, ["doc_key"]
-    )
+    weights = idf.where(prefix_filter(terms)).select("token", "idf")
+    return _sum_scores(matched.join(weights, "token"), ["doc_key"])
 
 
 def _sum_scores(weighted: DataFrame, keys: list[str]) -> DataFrame:
@@ -130,21 +121,27 @@ def search(
     k: int = TOP_K,
     normalise: bool = False,
 ) -> DataFrame:
-    """The first ``k`` hits in rank order; a blank query has none.
+    """The first ``k`` hits with their rank; a blank query has none.
 
-    Every indexed document has its row in ``mappings``. The scores are used twice
-    and therefore staged.
+    Every indexed document has its row in ``mappings``. The scores are used twice, once
+    for the bound; nothing is staged, Spark reuses what it has shuffled for them.
     """
-    found = stage_table(scores(index, idf, terms_of(text, normalise)), "scores")
+    found = scores(index, idf, terms_of(text, normalise))
     hits = _contenders(found, mappings, text, k).join(mappings, "doc_key")
-    return (
-        with_url_flags(hits, F.lit(text))
-        .orderBy(*rank_order())
-        .limit(k)
-        .select(*_hit_columns())
+    first = with_url_flags(hits, F.lit(text)).orderBy(*rank_order()).limit(k)
+    return first.select(
+        F.row_number().over(Window.orderBy(*rank_order())).alias("rank"), *_hit_columns()
     )
 
 
+def all_hits(
+    index: DataFrame, idf: DataFrame, mappings: DataFrame, text: str, normalise: bool = False
+) -> DataFrame:
+    """Every hit, in no order."""
+    found = scores(index, idf, terms_of(text, normalise))
+    return found.join(mappings, "doc_key").select(*_hit_columns())
+
+
 def query_term_rows(queries: DataFrame) -> DataFrame:
     """(query_id, term) without terms that another term of the query is a prefix of.
 
@@ -170,22 +167,20 @@ def term_tokens(term_rows: DataFrame, vocabulary: DataFrame) -> DataFrame:
     cuts = vocabulary.select("*", F.explode(in_token).alias("_n")).withColumn(
         "term", F.col("token").substr(F.lit(1), F.col("_n"))
     )
-    return skew.spread_join(
-        cuts.drop("_n"), terms, ["term"], "inner", TERM_SPLITS, ["token"]
-    )
+    return cuts.drop("_n").join(terms, "term")
 
 
 def term_scores(index: DataFrame, matches: DataFrame) -> DataFrame:
-    """(term, doc_key, content_score, matches): shared by all queries with that term."""
-    per_token = matches.groupBy("token").agg(F.max("doc_freq").alias("doc_freq"))
-    heavy = skew.heavy_keys(per_token, ["token"], "doc_freq")
-    weighted = skew.spread_join(
-        index.select("token", "doc_key", "tf"),
-        matches.select("token", "term", "idf"),
-        ["token"],
-        "inner",
-        heavy,
-        ["doc_key"],
+    """(term, doc_key, content_score, matches): shared by all queries with that term.
+
+    The postings that matter are dealt out by document, once. A document's sums, here
+    and for whole queries, are then taken where they lie.
+    """
+    weighted = (
+        index.select("token", "doc_key", "tf")
+        .join(matches.select("token", "term", "idf"), "token")
+        .select("term", "doc_key", "tf", "idf")
+        .repartition("doc_key")
     )
     return _sum_scores(weighted, ["term", "doc_key"])
 
@@ -237,18 +232,10 @@ def search_batch(
     texts = per_text.select(F.col("text_id").alias("query_id"), "text")
     term_rows = query_term_rows(texts)
     matches = stage_table(
-        term_tokens(term_rows, idf.select("token", "doc_freq", "idf")), "term-tokens"
-    )
-    # An upper bound of the documents per term tells which terms to deal out.
-    per_term = matches.groupBy("term").agg(F.sum("doc_freq").alias("docs"))
-    contributions = skew.spread_join(
-        term_scores(index, matches),
-        term_rows,
-        ["term"],
-        "inner",
-        skew.heavy_keys(per_term, ["term"], "docs"),
-        ["doc_key"],
+        term_tokens(term_rows, idf.select("token", "idf")), "term-tokens"
     )
+    wanted = stage_table(term_rows, "query-terms")
+    contributions = term_scores(index, matches).join(wanted, "term")
     found = contributions.groupBy("query_id", "doc_key").agg(
         F.sum("content_score").alias("content_score"), F.sum("matches").alias("matches")
     )
@@ -264,30 +251,26 @@ def search_batch(
         .where(F.col("rank") <= k)
         .select(F.col("query_id").alias("text_id"), "rank", *_hit_columns())
     )
-    members = skew.spread_join(
-        queries,
-        per_text.select("text", "text_id"),
-        ["text"],
-        "inner",
-        skew.heavy_keys(per_text, ["text"]),
-        ["query_id"],
-    ).select("query_id", "text_id")
-    repeated = skew.heavy_keys(per_text.select("text_id", "count"), ["text_id"])
-    return skew.spread_join(members, best, ["text_id"], "inner", repeated, ["query_id"]).drop(
-        "text_id"
+    members = queries.join(per_text.select("text", "text_id"), "text").select(
+        "query_id", "text_id"
     )
+    return members.join(best, "text_id").drop("text_id")
 
 
-def page_lookup(pages: DataFrame, text: str) -> DataFrame:
+def page_lookup(pages: DataFrame, text: str, domain_buckets: int | None = None) -> DataFrame:
     """Every stored version of an address, newest first.
 
-    The condition on the domain follows from the one on the URL. It is there for
-    the scan, which can skip files by a stored column but not by a computed one.
+    The conditions on the domain and its folder follow from the one on the URL. They
+    are there for the scan: it skips files by a stored column and whole folders by
+    ``domain_p``, but nothing by a computed column.
     """
     wanted = urls.lookup_candidates(F.lit(text))
     first, second = F.get(wanted, F.lit(0)), F.get(wanted, F.lit(1))
     host = F.substring_index(F.regexp_replace(first, "^https://", ""), "/", 1)
     url = urls.canonical_url(F.col("domain"), F.col("real_path"))
+    if "domain_p" in pages.columns:
+        folder = lake.domain_folder(host, domain_buckets)
+        pages = pages.where((F.col("domain_p") == folder) | F.col("domain_p").isNull())
     return (
         pages.where((F.col("domain") == host) | F.col("domain").isNull())
         .withColumn("url", url)

@@ -144,8 +144,10 @@ def recrawl_due(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "domain_reach",
-    """WITH RECURSIVE edges AS (SELECT DISTINCT 'd' || o_custkey AS src,
-  'd' || (o_orderkey % 100003) AS dst FROM orders),
+    """WITH RECURSIVE edges AS (
+  SELECT 'd' || o_custkey AS src, 'd' || (o_orderkey % 100003) AS dst FROM orders
+  UNION SELECT 'd' || (o_orderkey % 100003), 'd' || o_custkey FROM orders
+  UNION SELECT 'd' || (c_custkey % 3), 'd' || c_custkey FROM customer),
 reach(domain, depth) AS (
   SELECT 'd' || c_custkey, (c_nationkey % 5 - 2)::int FROM customer WHERE c_nationkey % 5 >= 2
   UNION SELECT dst, depth - 1 FROM reach JOIN edges ON src = domain WHERE depth > 0)

@@ -53,10 +53,10 @@ def latest_snapshot(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # Part and supplier graph.
-LINKS = """links AS (SELECT
-  CASE l_returnflag WHEN 'R' THEN 's' || l_suppkey ELSE 'p' || l_partkey END AS src,
-  CASE l_returnflag WHEN 'R' THEN 'p' || l_partkey ELSE 's' || l_suppkey END AS link
-  FROM lineitem WHERE l_returnflag IN ('R', 'A'))"""
+LINKS = """items AS (SELECT 's' || l_suppkey AS s, 'p' || l_partkey AS p,
+  l_returnflag = 'R' OR (l_returnflag = 'N' AND l_linenumber % 2 = 1) AS forward FROM lineitem),
+links AS (SELECT CASE WHEN forward THEN s ELSE p END AS src,
+  CASE WHEN forward THEN p ELSE s END AS link FROM items)"""
 GRAPH = f"""{LINKS},
 nodes AS (SELECT DISTINCT 's' || s_suppkey AS url FROM supplier
   UNION SELECT DISTINCT 'p' || p_partkey FROM part),

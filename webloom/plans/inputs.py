@@ -27,6 +27,8 @@ HEAD_BLOCK = (
 BODY_BLOCK = (
     '<body><!-- <a href="https://no.example/2">x</a> --><h2>S &amp; T &eacute;&#241; {id}</h2>'
     "<p>We offer cloud{id3} systems and data tools, y soporte {id}<p>P{id}</p>"
+    "<p>don&apos;t &copy 2024 &#0000000065; &#150;&#x1f600;&#99999999; &notit; &amp{id} &nope; &#x;</p>"
+    '<a href="/q{id3}?a=1&copy=2&para;m&notit=3&lt&#38;x">r</a>'
     '<img src="https://img.example/{id7}.png"><img src="/2.png">'
     '<a href="{hub}">h</a><a href=\'{parent}\' title="a > b">p</a>'
     '<a href="http://z{id3}.example/q">z</a><a href="/d{id}.pdf">d</a>'
@@ -72,16 +74,29 @@ def marked_pages(
         pages = pages.withColumn("url", F.regexp_replace("url", "^([^?#]*)", numbered))
     address = urls.canonical_url(urls.domain(F.col("url")), urls.path(F.col("url")))
     known = pages.select("page_id", address.alias("address"))
-    hub = known.select(F.col("page_id").alias("hub_id"), F.col("address").alias("hub"))
-    parent = known.select(F.col("page_id").alias("parent_id"), F.col("address").alias("parent"))
-    linked = (
-        pages.withColumn("hub_id", F.col("page_id") % 10)
-        .withColumn("parent_id", F.floor(F.col("page_id") / 2))
-        .join(hub, "hub_id", "left")
-        .join(parent, "parent_id", "left")
+    # Ten rows, whatever the size of the table.
+    hubs = known.where(F.col("page_id").between(0, 9)).select(
+        F.col("page_id").alias("hub_id"), F.col("address").alias("hub")
+    )
+    linked = pages.withColumn("hub_id", F.col("page_id") % 10).join(
+        F.broadcast(hubs), "hub_id", "left"
     )
     if drop_parent:
         linked = linked.withColumn("parent", F.lit("#old"))
+    else:
+        # Numbers and addresses find each other first, then the pages move once.
+        parents = (
+            known.select("page_id", F.floor(F.col("page_id") / 2).alias("parent_id"))
+            .join(
+                known.select(
+                    F.col("page_id").alias("parent_id"), F.col("address").alias("parent")
+                ),
+                "parent_id",
+                "left",
+            )
+            .select("page_id", "parent")
+        )
+        linked = linked.join(parents, "page_id", "left")
     head = F.replace(F.col("html"), F.lit("</head>"), _filled(HEAD_BLOCK))
     return linked.select(
         "page_id", "url", F.replace(head, F.lit("<body>"), _filled(BODY_BLOCK)).alias("html")
@@ -118,6 +133,17 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("doc_key"), "text")
 
 
+def _document_rank() -> Column:
+    return F.lit(0.15) + (F.col("n_chars") % 13) / F.lit(8.0)
+
+
+def ranked_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_key, text, pagerank) of the documents table."""
+    return table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("doc_key"), "text", _document_rank().alias("pagerank")
+    )
+
+
 def document_mappings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Addresses and scores for documents, made up from their columns."""
     n = F.col("n_chars")
@@ -128,19 +154,24 @@ def document_mappings(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("url"),
         F.substring_index("text", "\n", 1).alias("title"),
         (n % 7).alias("external_refs"),
-        (F.lit(0.15) + (n % 13) / F.lit(8.0)).alias("pagerank"),
+        _document_rank().alias("pagerank"),
     )
 
 
 def part_supplier_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(src, link): suppliers point to returned parts, parts to suppliers of accepted ones."""
+    """(src, link): suppliers point to returned parts, parts to suppliers of accepted ones.
+
+    Of the items that are neither, every other one points either way.
+    """
     rows = table(spark, sf_dir, "lineitem").select(
         F.concat(F.lit("s"), F.col("l_suppkey")).alias("s"),
         F.concat(F.lit("p"), F.col("l_partkey")).alias("p"),
         "l_returnflag",
+        "l_linenumber",
     )
-    forward = F.col("l_returnflag") == "R"
-    return rows.where(F.col("l_returnflag").isin("R", "A")).select(
+    either = (F.col("l_returnflag") == "N") & (F.col("l_linenumber") % 2 == 1)
+    forward = (F.col("l_returnflag") == "R") | either
+    return rows.select(
         F.when(forward, F.col("s")).otherwise(F.col("p")).alias("src"),
         F.when(forward, F.col("p")).otherwise(F.col("s")).alias("link"),
     )
@@ -186,8 +217,21 @@ def domain_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def domain_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers point to the part numbers of their orders' keys; one part to all."""
-    return table(spark, sf_dir, "orders").select(
-        F.concat(F.lit("d"), "o_custkey").alias("src"),
-        F.concat(F.lit("d"), F.col("o_orderkey") % 100_003).alias("dst"),
+    """Customers point to the numbers of their orders, the first customers to all customers.
+
+    The orders of a customer's number point back, so there are cycles, and the first
+    customers have very many targets.
+    """
+    orders = table(spark, sf_dir, "orders")
+    customer = table(spark, sf_dir, "customer").select("c_custkey")
+    name = lambda c: F.concat(F.lit("d"), c)
+    own = orders.select(
+        name(F.col("o_custkey")).alias("src"), name(F.col("o_orderkey") % 100_003).alias("dst")
+    )
+    back = orders.select(
+        name(F.col("o_orderkey") % 100_003).alias("src"), name(F.col("o_custkey")).alias("dst")
+    )
+    hot = customer.select(
+        name(F.col("c_custkey") % 3).alias("src"), name(F.col("c_custkey")).alias("dst")
     )
+    return own.unionByName(back).unionByName(hot)

@@ -95,9 +95,18 @@ def _mask(block: str) -> str:
       ELSE {opening} || replace(replace({body}, '&', '&amp;'), '<', '&lt;') || {closing} END"""
 
 
-_ENTITIES = "MAP {" + ", ".join(
-    f"'{k}': {v}" for k, v in sorted(html.entities.name2codepoint.items())
-) + "}"
+def _map(entries: dict) -> str:
+    return "MAP {" + ", ".join(f"{k}: {lit(v)}" for k, v in entries.items()) + "}"
+
+
+_ENTITIES = _map({lit(k): v for k, v in html.entities.html5.items()})
+# Numbers of the Windows range that have a character there.
+_WINDOWS = _map(
+    {k: bytes([k]).decode("cp1252") for k in range(128, 160) if k not in (129, 141, 143, 144, 157)}
+)
+_OLD = "|".join(
+    sorted((k for k in html.entities.html5 if k[-1] != ";"), key=len, reverse=True)
+)
 
 
 def masked_cte(source: str = "marked", name: str = "masked") -> str:
@@ -107,7 +116,7 @@ def masked_cte(source: str = "marked", name: str = "masked") -> str:
          regexp_extract_all(html, {rx(H.INERT)}) AS blk FROM {source}),
 {name} AS MATERIALIZED (
   SELECT page_id, url, array_to_string(list_transform(range(1, len(txt) + 1),
-    lambda i: txt[i] || {_mask('blk[i]')}), '') AS masked, {_ENTITIES} AS ents
+    lambda i: txt[i] || {_mask('blk[i]')}), '') AS masked, {_ENTITIES} AS ents, {_WINDOWS} AS wins
   FROM {name}_cut)"""
 
 
@@ -115,14 +124,21 @@ def pages_ctes() -> str:
     return marked_cte() + ",\n" + masked_cte()
 
 
-def decode(text: str) -> str:
-    ref = "split_part(pc, ';', 1)"
-    code = f"""CASE WHEN regexp_matches({ref}, '^#[0-9]{{1,7}}$') THEN substring({ref}, 2)::int
-      WHEN regexp_matches({ref}, '^#[xX][0-9a-fA-F]{{1,6}}$') THEN ('0x' || substring({ref}, 3))::int
-      ELSE ents[{ref}] END"""
+def decode(text: str, attribute: bool = False) -> str:
+    digits, hexes = "regexp_extract(pc, '^#0*([0-9]+)', 1)", "regexp_extract(pc, '^#[xX]0*([0-9a-fA-F]+)', 1)"
+    number = f"""CASE WHEN length({digits}) > 7 OR length({hexes}) > 6 THEN -1
+      WHEN {digits} <> '' THEN {digits}::bigint ELSE ('0x' || {hexes})::bigint END"""
+    character = f"""CASE WHEN wins[{number}] IS NOT NULL THEN wins[{number}]
+      WHEN {number} < 1 OR {number} > 1114111 OR {number} BETWEEN 55296 AND 57343 THEN chr(65533)
+      ELSE chr(({number})::int) END"""
+    numeric = "'^#([0-9]+|[xX][0-9a-fA-F]+);?'"
+    name, old = "regexp_extract(pc, '^[A-Za-z][A-Za-z0-9]*;')", f"regexp_extract(pc, '^({_OLD})')"
+    bare = f"AND NOT regexp_matches(substring(pc, length({old}) + 1, 1), '[A-Za-z0-9=]')" if attribute else ""
     piece = f"""CASE WHEN pi = 1 THEN pc
-      WHEN contains(pc, ';') AND ({code}) IS NOT NULL
-        THEN chr(({code})::int) || substring(pc, length({ref}) + 2)
+      WHEN regexp_matches(pc, {numeric})
+        THEN {character} || substring(pc, length(regexp_extract(pc, {numeric})) + 1)
+      WHEN ents[{name}] IS NOT NULL THEN ents[{name}] || substring(pc, length({name}) + 1)
+      WHEN {old} <> '' {bare} THEN ents[{old}] || substring(pc, length({old}) + 1)
       ELSE '&' || pc END"""
     return (
         f"CASE WHEN contains({text}, '&') THEN array_to_string(list_transform("
@@ -144,7 +160,7 @@ def attribute(tag: str, name: str) -> str:
         f"CASE WHEN {raw}[1] IN ('\"', '''') THEN substring({raw}, 2, length({raw}) - 2) "
         f"ELSE {raw} END"
     )
-    return f"CASE WHEN {at} > 0 THEN {decode('(' + bare + ')')} END"
+    return f"CASE WHEN {at} > 0 THEN {decode('(' + bare + ')', True)} END"
 
 
 def attributes(element: str, name: str) -> str:
@@ -202,14 +218,14 @@ def parsed_cte(masked: str = "masked", name: str = "parsed") -> str:
         for c in ("http", "https", "files", "internal")
     )
     return f"""{name}_lists AS MATERIALIZED (
-  SELECT page_id, url, {targets()} AS hrefs, {tags('meta')} AS metas, ents,
+  SELECT page_id, url, {targets()} AS hrefs, {tags('meta')} AS metas, ents, wins,
     list_filter({attributes('link', 'href')}, lambda v: v IS NOT NULL) AS link_hrefs,
     list_filter({attributes('script', 'src')}, lambda v: starts_with(v, 'https')) AS scripts,
     list_filter({attributes('img', 'src')}, lambda v: starts_with(v, 'https')) AS imgs,
     {title()} AS title, {headings(1)} AS h1, {headings(2)} AS h2, {paragraphs()} AS p
   FROM {masked}),
 {name} AS MATERIALIZED (
-  SELECT page_id, url, title, h1, h2, p, scripts, imgs, metas, ents, hrefs,
+  SELECT page_id, url, title, h1, h2, p, scripts, imgs, metas, ents, wins, hrefs,
     list_filter(link_hrefs, lambda v: ends_with(v, '.css')) AS styles,
     list_filter(link_hrefs, lambda v: ends_with(v, '.png') OR ends_with(v, '.ico')) AS logo,
     {by_class}

@@ -75,7 +75,7 @@ _NAMED = (
 @query(
     "page_meta_named",
     f"""WITH {o.pages_ctes()},
-t AS (SELECT page_id, ents, unnest({_NAMED}) AS tag,
+t AS (SELECT page_id, ents, wins, unnest({_NAMED}) AS tag,
         generate_subscripts({_NAMED}, 1) AS pos FROM masked),
 n AS (SELECT page_id, pos, {o.attribute('tag', 'name')} AS name,
         coalesce({o.attribute('tag', 'content')}, '') AS content FROM t)

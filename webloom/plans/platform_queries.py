@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webloom.functions import html
+from webloom.functions import html, tags
 from webloom.operators import bench_tables, search, snapshot
 from webloom.operators.tagging import with_url
 from webloom.plans import inputs, rebuild
@@ -51,6 +51,34 @@ def lake_scan_union(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "lake_scan_empty",
+    f"""WITH {_ROWS}
+SELECT domain, count(*) AS pages FROM page GROUP BY domain""",
+)
+def lake_scan_empty(spark: SparkSession, sf: str) -> DataFrame:
+    """A missing folder is an empty table that goes together with a real one."""
+    base = scratch_path(spark, "landing")
+    inputs.page_rows(spark, sf).write.parquet(f"{base}/there")
+    both = lake.scan(spark, f"{base}/there").unionByName(lake.scan(spark, f"{base}/missing"))
+    return both.groupBy("domain").agg(F.count(F.lit(1)).alias("pages"))
+
+
+@query("event_files", PAGE_ROWS_SQL)
+def event_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Parsed pages published as event files by a stream, read back and tagged."""
+    base = scratch_path(spark, "published-events")
+    pages = html.parse_pages(inputs.marked_pages(spark, sf))
+    pages.write.parquet(f"{base}/pages")
+    stream = spark.readStream.schema(pages.schema).parquet(f"{base}/pages")
+    ingest.event_file_sink(
+        stream, F.lit(f"{inputs.DAY}T10:00:00Z"), f"{base}/events", f"{base}/state", available_now=True
+    ).awaitTermination()
+    source = ingest.file_source(spark, f"{base}/events")
+    ingest.to_lake(source, f"{base}/lake", f"{base}/lake-state", available_now=True).awaitTermination()
+    return flat_page_rows(lake.scan(spark, f"{base}/lake"))
+
+
 @query(
     "lake_partition_counts",
     f"""WITH {HISTORY}
@@ -69,6 +97,13 @@ def lake_partition_counts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _broken_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """(value): every whole page as one line, which is no event."""
+    return inputs.table(spark, sf, "pages").select(
+        F.regexp_replace("html", "[\\r\\n]+", " ").alias("value")
+    )
+
+
 @query("stream_ingest", PAGE_ROWS_SQL)
 def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     """Crawl events as JSON lines, some of them broken, through the stream into the lake."""
@@ -76,8 +111,7 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     pages = html.parse_pages(inputs.marked_pages(spark, sf))
     when = F.lit(f"{inputs.DAY}T10:00:00Z")
     good = crawl_events.encode(pages, when)
-    broken = inputs.table(spark, sf, "pages").select(F.substring("html", 1, 40).alias("value"))
-    good.unionByName(broken).write.text(landing)
+    good.unionByName(_broken_lines(spark, sf)).write.text(landing)
     source = ingest.file_source(spark, landing)
     ingest.to_lake(source, f"{target}/pages", f"{target}/state", available_now=True).awaitTermination()
     return flat_page_rows(lake.scan(spark, f"{target}/pages"))
@@ -85,16 +119,15 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "stream_rejects",
-    "SELECT count(*) AS lines, sum(length(html[1:40]))::bigint AS chars FROM pages",
+    """SELECT count(*) AS lines, sum(length(regexp_replace(html, '[\\r\\n]+', ' ', 'g')))::bigint AS chars
+FROM pages""",
 )
 def stream_rejects(spark: SparkSession, sf: str) -> DataFrame:
     """Broken lines of an event stream land in a side folder."""
     landing, target = scratch_path(spark, "events"), scratch_path(spark, "rejects")
     pages = inputs.table(spark, sf, "pages")
     empty = F.struct(F.col("url")).alias("e")
-    lines = pages.select(F.to_json(empty).alias("value")).unionByName(
-        pages.select(F.substring("html", 1, 40).alias("value"))
-    )
+    lines = pages.select(F.to_json(empty).alias("value")).unionByName(_broken_lines(spark, sf))
     lines.write.text(landing)
     source = ingest.file_source(spark, landing)
     ingest.rejects_to_files(
@@ -159,7 +192,7 @@ SELECT url, title, round(content_score, 2) AS score, matches, external_refs AS p
 )
 def rebuild_search(spark: SparkSession, sf: str) -> DataFrame:
     """All hits of one query on a rebuilt index."""
-    hits = rebuild.search_text(spark, _rebuilt(spark, sf), REBUILT_TEXT, k=1_000_000)
+    hits = rebuild.all_hits(spark, _rebuilt(spark, sf), REBUILT_TEXT)
     return hits.withColumn("pagerank", F.round("pagerank", 4))
 
 
@@ -186,6 +219,47 @@ def dictionary_rows(spark: SparkSession, sf: str) -> DataFrame:
     return words.unionByName(patterns)
 
 
+# Words and phrases of the dictionary file that tagging is asked to use.
+_WORDS = {"marked": ["systems", "zz"], "unused": [], "never": ["qqqqq"]}
+_PATTERNS = ["we offer ([a-z0-9\\s]+)", "data tools"]
+
+
+@query(
+    "dictionary_tags",
+    f"""WITH {o.pages_ctes()}, {o.parsed_cte()},
+seg AS (SELECT page_id, h1 || h2 || p AS segs FROM parsed),
+words AS (SELECT page_id, 'marked' AS tag FROM seg
+  WHERE regexp_matches(lower(array_to_string(segs, ' ')), 'systems|zz')),
+pieces AS (SELECT page_id, unnest(regexp_extract_all(lower(s), 'we offer ([a-z0-9\\s]+)', 1)) AS phrase
+  FROM (SELECT page_id, unnest(segs) AS s FROM seg) x),
+cut AS (SELECT page_id, trim(unnest(string_split_regex(trim(phrase, ' ' || chr(9) || chr(10) || chr(11) ||
+  chr(12) || chr(13)), '\\s*(?:,|y|and)\\s*')), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS tag
+  FROM pieces)
+SELECT page_id, tag FROM words UNION SELECT page_id, tag FROM cut
+WHERE strlen(tag) > 2 AND len(string_split_regex(tag, '\\s+')) <= 4""",
+)
+def dictionary_tags(spark: SparkSession, sf: str) -> DataFrame:
+    """A dictionary file is written, loaded and used to tag the pages."""
+    path = scratch_path(spark, "dictionary")
+    words = F.create_map(
+        *[c for tag, w in _WORDS.items() for c in (F.lit(tag), F.array(*map(F.lit, w)).cast("array<string>"))]
+    )
+    spark.range(1).select(
+        words.alias("keywords"), F.array(*map(F.lit, _PATTERNS)).alias("patterns")
+    ).write.json(path)
+    dictionary = config_files.load_dictionary(spark, path)
+    parsed = html.parse_pages(inputs.marked_pages(spark, sf))
+    segments = tags.text_segments(F.col("content.texts"))
+    found = parsed.select(
+        "page_id",
+        tags.keyword_tags(segments, dictionary.keywords).alias("words"),
+        tags.phrase_tags(segments, dictionary.patterns).alias("phrases"),
+    )
+    return found.select(
+        "page_id", F.explode(F.array_distinct(F.concat("words", "phrases"))).alias("tag")
+    )
+
+
 # ---------------------------------------------------------- load-test tables
 
 

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from webloom import schema as S
 from webloom.operators import graph, index, search, snapshot
 from webloom.operators.tagging import with_url
-from webloom.session import stage_table
+from webloom.session import scratch_scope, stage_table
 from webloom.sources import lake
 
 LAKE_PAGE = T.StructType(S.SCORED_PAGE.fields + [T.StructField("is_latest", T.BooleanType())])
@@ -24,6 +25,7 @@ class Tables(NamedTuple):
     postings: DataFrame
     mappings: DataFrame
     idf: DataFrame
+    domain_buckets: int | None = None
 
 
 def process_lake(raw: DataFrame) -> DataFrame:
@@ -40,57 +42,71 @@ def process_lake(raw: DataFrame) -> DataFrame:
     links = graph.link_rows(newest, "links")
     refs = stage_table(graph.external_refs(links), "refs")
     nodes = newest.select("url")
-    ranks = graph.pagerank(nodes, graph.edges(links, nodes, refs))
+    ranks = graph.pagerank(nodes, graph.edges(links, nodes))
     history = snapshot.daily_dedupe(pages, date="_day")
     days = pages.select("url", "_day").distinct()
     return graph.attach_scores(history, days, refs, ranks, "_day").drop("_day")
 
 
-def write_index(pages: DataFrame, target: str) -> None:
-    """Postings sorted by token, mappings and IDF of the newest page versions."""
+def write_index(
+    pages: DataFrame, target: str, hash_of: Callable[[Column], Column] = index.doc_key
+) -> None:
+    """Postings sorted by token, mappings and IDF of the newest page versions.
+
+    Texts are dealt out by document, so that postings are counted in place and move
+    once, to their sorted files.
+    """
     spark = pages.sparkSession
-    latest = pages.where("is_latest")
-    rows = index.postings(index.tokens(index.page_documents(latest)))
-    index.write_sorted(rows, f"{target}/postings")
-    index.doc_mappings(latest).write.mode("overwrite").parquet(f"{target}/mappings")
+    latest = index.with_doc_keys(pages.where("is_latest"), hash_of)
+    docs = index.page_documents(latest).repartition("doc_key")
+    index.write_sorted(index.postings(index.tokens(docs)), f"{target}/postings")
+    index.doc_mappings(latest).write.mode("errorifexists").parquet(f"{target}/mappings")
     stored = spark.read.schema(S.POSTING).parquet(f"{target}/postings")
     corpus = spark.read.schema(S.MAPPING).parquet(f"{target}/mappings")
-    if not index.key_collisions(corpus).isEmpty():
-        raise ValueError("two URLs share a document key; the index would merge them")
     idf = index.idf(index.doc_freq_of(stored), corpus)
     index.write_sorted(idf, f"{target}/idf", ("token",))
 
 
 def rebuild(
-    spark: SparkSession, landing: str, base: str, domain_buckets: int | None = None
+    spark: SparkSession,
+    landing: str,
+    base: str,
+    domain_buckets: int | None = None,
+    hash_of: Callable[[Column], Column] = index.doc_key,
 ) -> int:
-    """Run all steps and publish the result as the next version of ``base``."""
-    version = (lake.current_version(spark, base) or 0) + 1
-    target = lake.version_path(base, version)
-    raw = lake.scan(spark, landing)
-    lake.write_partitioned(process_lake(raw), f"{target}/pages", domain_buckets)
-    pages = lake.read_partitioned(spark, f"{target}/pages", LAKE_PAGE)
-    write_index(pages, target)
-    lake.commit_version(spark, base, version)
+    """Run all steps and publish the result as the next version of ``base``.
+
+    A failed run leaves the current version as it is and can simply be repeated.
+    Intermediate tables are removed at the end, also after an error.
+    """
+    with scratch_scope(spark):
+        version, folder = lake.new_version(spark, base)
+        target = f"{base}/{folder}"
+        raw = lake.scan(spark, landing)
+        lake.write_partitioned(process_lake(raw), f"{target}/pages", domain_buckets)
+        pages = lake.read_partitioned(spark, f"{target}/pages", LAKE_PAGE)
+        write_index(pages, target, hash_of)
+        lake.commit_version(spark, base, version, folder, domain_buckets)
     return version
 
 
 def open_tables(spark: SparkSession, base: str) -> Tables:
     """The current version; empty tables before the first rebuild."""
-    version = lake.current_version(spark, base)
-    if version is None:
+    line = lake.current(spark, base)
+    if line is None:
         return Tables(
             *[
                 spark.createDataFrame([], s)
                 for s in (LAKE_PAGE, S.POSTING, S.MAPPING, S.IDF)
             ]
         )
-    target = lake.version_path(base, version)
+    target = f"{base}/{line['folder']}"
     return Tables(
         lake.read_partitioned(spark, f"{target}/pages", LAKE_PAGE),
         spark.read.schema(S.POSTING).parquet(f"{target}/postings"),
         spark.read.schema(S.MAPPING).parquet(f"{target}/mappings"),
         spark.read.schema(S.IDF).parquet(f"{target}/idf"),
+        line["domain_buckets"],
     )
 
 
@@ -102,9 +118,16 @@ def search_text(
     return search.search(t.postings, t.idf, t.mappings, text, k, normalise)
 
 
+def all_hits(spark: SparkSession, base: str, text: str) -> DataFrame:
+    """Every hit of one query on the published index, unordered."""
+    t = open_tables(spark, base)
+    return search.all_hits(t.postings, t.idf, t.mappings, text)
+
+
 def lookup(spark: SparkSession, base: str, address: str) -> DataFrame:
     """All stored versions of an address in the published lake."""
-    return search.page_lookup(open_tables(spark, base).pages, address)
+    t = open_tables(spark, base)
+    return search.page_lookup(t.pages, address, t.domain_buckets)
 
 
 def sample(spark: SparkSession, base: str, token: str | None = None, limit: int = 20) -> DataFrame:

@@ -72,13 +72,20 @@ def idf(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "inverted_index",
-    f"""WITH {_INDEX}
+    f"""WITH {_INDEX}, {o.DOCUMENT_MAPPINGS}
 SELECT token, (doc_key // {index.BLOCK_DOCS})::bigint AS block,
-  string_agg(doc_key || ':' || tf, ' ' ORDER BY doc_key) AS docs FROM tf GROUP BY 1, 2""",
+  string_agg(doc_key || ':' || tf || ':' || (pagerank * 1000)::bigint, ' ' ORDER BY doc_key) AS docs
+FROM tf JOIN mappings USING (doc_key) GROUP BY 1, 2""",
 )
 def inverted_index(spark: SparkSession, sf: str) -> DataFrame:
-    nested = index.nested_index(_postings(spark, sf))
-    docs = F.transform("docs", lambda d: F.concat(d["doc_key"], F.lit(":"), d["tf"]))
+    """Postings with frequency and rank as arrays. Texts move to their document's task,
+    postings once to their token's."""
+    docs = inputs.ranked_documents(spark, sf).repartition("doc_key")
+    nested = index.nested_index(index.postings(index.tokens(docs)), extra=("pagerank",))
+    rank = lambda d: F.round(d["pagerank"] * 1000).cast("bigint")
+    docs = F.transform(
+        "docs", lambda d: F.concat_ws(":", d["doc_key"], d["tf"], rank(d))
+    )
     return nested.select("token", "block", F.array_join(docs, " ").alias("docs"))
 
 
@@ -123,15 +130,15 @@ def search_scores(spark: SparkSession, sf: str) -> DataFrame:
     "search_topk",
     f"""WITH {_SCORES}, {o.DOCUMENT_MAPPINGS},
 hits AS (SELECT *, 0 AS exact, contains(url, '{SEARCH_TEXT}')::int AS partial
-  FROM scores JOIN mappings USING (doc_key) ORDER BY {o.RANK_ORDER} LIMIT 100)
-SELECT url, title, round(content_score, 2) AS score, matches, external_refs AS popularity,
-  pagerank FROM hits""",
+  FROM scores JOIN mappings USING (doc_key)),
+ranked AS (SELECT *, row_number() OVER (ORDER BY {o.RANK_ORDER}) AS rank FROM hits)
+SELECT rank, url, title, round(content_score, 2) AS score, matches, external_refs AS popularity,
+  pagerank FROM ranked WHERE rank <= 100""",
 )
 def search_topk(spark: SparkSession, sf: str) -> DataFrame:
     """One text query from raw documents to ranked hits."""
-    return search.search(
-        *_matched(spark, sf), inputs.document_mappings(spark, sf), SEARCH_TEXT
-    )
+    hits = search.search(*_matched(spark, sf), inputs.document_mappings(spark, sf), SEARCH_TEXT)
+    return hits.withColumn("rank", F.col("rank").cast("bigint"))
 
 
 @query(
@@ -146,7 +153,7 @@ def search_flags(spark: SparkSession, sf: str) -> DataFrame:
     n = F.col("doc_key") % 3
     asked = (
         F.when(n == 0, F.concat(F.lit(" "), "url"))
-        .when(n == 1, F.substring("url", 9, 1000))
+        .when(n == 1, F.expr("substring(url, 9)"))
         .otherwise("src1")
     )
     return search.with_url_flags(inputs.document_mappings(spark, sf), asked).select(
@@ -209,4 +216,23 @@ SELECT DISTINCT 'https://' || domain || real_path AS url, coalesce(h1[1], h2[1],
   0::bigint AS external_refs, 0.15::double AS pagerank FROM tagged""",
 )
 def doc_mappings(spark: SparkSession, sf: str) -> DataFrame:
-    return index.doc_mappings(with_url(inputs.page_rows(spark, sf))).drop("doc_key")
+    rows = with_url(inputs.page_rows(spark, sf))
+    return index.doc_mappings(rows).drop("doc_key").distinct()
+
+
+@query(
+    "doc_keys",
+    f"""WITH {TAGGED_CTES}
+SELECT DISTINCT 'https://' || domain || real_path AS url, 1::bigint AS keys, 1::bigint AS urls FROM tagged""",
+)
+def doc_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys per URL and URLs per key, where four hashes have to do for all URLs."""
+    rows = with_url(inputs.page_rows(spark, sf)).select("url")
+    few = lambda url: F.pmod(F.xxhash64(url), F.lit(4))
+    keys = index.with_doc_keys(rows, few).distinct()
+    per_key = keys.groupBy("doc_key").agg(F.count_distinct("url").alias("urls"))
+    return (
+        keys.join(per_key, "doc_key")
+        .groupBy("url")
+        .agg(F.count_distinct("doc_key").alias("keys"), F.max("urls").alias("urls"))
+    )

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,8 +30,8 @@ def local_session(cpus: str | int = "*", shuffle_partitions: int = 8) -> SparkSe
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, named by ``spark.checkpoint.dir``.
 
-    Only a local master, where driver and executors are one process, gets a
-    temporary folder when the setting is missing.
+    Only a session in one process, as in tests, gets a temporary folder when the
+    setting is missing.
     """
     sc = spark.sparkContext
     configured = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF)
@@ -37,21 +40,46 @@ def shared_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(configured)
         return configured
     if sc.getCheckpointDir() is None:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="webloom-"))
     return sc.getCheckpointDir()
 
 
+_open_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the intermediate tables made inside, at the end or after an error.
+
+    For work that is finished inside, such as a rebuild. What a function returns as
+    a lazy table still needs its files; its caller may open the scope around their
+    use.
+    """
+    paths: list[str] = []
+    _open_scopes.append(paths)
+    try:
+        yield
+    finally:
+        _open_scopes.remove(paths)
+        for path in paths:
+            target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            conf = spark.sparkContext._jsc.hadoopConfiguration()
+            target.getFileSystem(conf).delete(target, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """Fresh path for an intermediate table in the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/webloom/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/webloom/{name}-{uuid.uuid4().hex}"
+    if _open_scopes:
+        _open_scopes[-1].append(path)
+    return path
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the plan restarts from files that outlive any executor."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """The plan restarts from a written table, which outlives any executor."""
+    return stage_table(df, "cut")
 
 
 def stage_table(df: DataFrame, name: str) -> DataFrame:

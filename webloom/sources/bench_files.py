@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 STORAGE = (
     "Timestamp string, Test_Type string, File_Size_MB int, Duration_Sec double, "
@@ -18,7 +21,7 @@ BROKER = (
 
 # "5000 records sent, 49.5 records/sec (4.7 MB/sec), 2.0 ms avg latency, 9.0 ms max
 # latency, 1 ms 50th, ..."
-_NUMBER = r"([0-9.]+)"
+_NUMBER = r"([0-9.]+(?:[eE][-+]?[0-9]+)?)"
 PERF_LINE = (
     rf"{_NUMBER} records sent, {_NUMBER} records/sec \({_NUMBER} MB/sec\), "
     rf"{_NUMBER} ms avg latency, {_NUMBER} ms max latency, {_NUMBER} ms 50th"
@@ -35,13 +38,41 @@ def config_label(path: Column) -> Column:
 
 
 def read_results(spark: SparkSession, pattern: str, schema: str) -> DataFrame:
-    """All result files that match a glob, each row labelled from its file name."""
-    return (
-        spark.read.schema(schema)
-        .option("header", "true")
-        .csv(pattern)
-        .withColumn("config", config_label(F.col("_metadata.file_path")))
-    )
+    """All result files that match a glob, each row labelled from its file name.
+
+    Columns are found by the names in each file's header, whatever their order; other
+    columns are ignored. A file whose header lacks a column is refused.
+    """
+    wanted = T.StructType.fromDDL(schema)
+    lines = spark.read.text(pattern).select("value", F.col("_metadata.file_path").alias("path"))
+    names = F.transform(F.split("value", ","), lambda n: F.btrim(n, F.lit(' "\r')))
+    is_header = F.size(F.array_intersect(names, F.array(*map(F.lit, wanted.names)))) == len(wanted)
+    headers = lines.where(is_header).select("path", "value").distinct()
+    without = lines.select("path").distinct().join(headers, "path", "left_anti").head(3)
+    if without:
+        raise ValueError(f"no header with {wanted.names} in {[r.path for r in without]}")
+    parts = []
+    # One row per way of writing the header, of which there are a few.
+    for layout in headers.select("value").distinct().collect():
+        found = [n.strip(' "\r') for n in layout.value.split(",")]
+        text = T.StructType([T.StructField(f"c{k}", T.StringType()) for k in range(len(found))])
+        rows = lines.join(headers.where(F.col("value") == layout.value).select("path"), "path")
+        parsed = rows.where(F.col("value") != layout.value).select(
+            "path", F.from_csv("value", F.lit(text.simpleString()[7:-1].replace(":", " "))).alias("row")
+        )
+        parts.append(
+            parsed.select(
+                *[
+                    F.expr(f"try_cast(row.c{found.index(f.name)} AS {f.dataType.simpleString()})")
+                    .alias(f.name)
+                    for f in wanted
+                ],
+                config_label(F.col("path")).alias("config"),
+            )
+        )
+    if not parts:
+        return spark.createDataFrame([], T.StructType([*wanted, T.StructField("config", T.StringType())]))
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def parse_perf_lines(lines: DataFrame) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,14 +66,17 @@ def with_partition_columns(pages: DataFrame, domain_buckets: int | None = None)
     With ``domain_buckets`` the first level is a hash bucket of the domain, which
     keeps the number of folders fixed in a lake with very many domains.
     """
-    first = (
-        F.col("domain")
-        if domain_buckets is None
-        else F.pmod(F.xxhash64("domain"), F.lit(domain_buckets)).cast("string")
-    )
+    first = domain_folder(F.col("domain"), domain_buckets)
     return pages.withColumn("domain_p", first).withColumn("date_p", F.col("date"))
 
 
+def domain_folder(domain: Column, domain_buckets: int | None = None) -> Column:
+    """Value of ``domain_p`` for a domain."""
+    if domain_buckets is None:
+        return domain
+    return F.pmod(F.xxhash64(domain), F.lit(domain_buckets)).cast("string")
+
+
 def write_partitioned(pages: DataFrame, path: str, domain_buckets: int | None = None) -> None:
     """Write as ``domain_p=…/date_p=…``.
 
@@ -99,37 +103,61 @@ def read_partitioned(
 # ------------------------------------------------------------------ versions
 
 
-def current_version(spark: SparkSession, base: str) -> int | None:
-    """Number of the newest published version, None if there is none."""
+LOG_SCHEMA = "version bigint, folder string, domain_buckets int"
+
+
+def current(spark: SparkSession, base: str) -> Row | None:
+    """Newest line of the version log (version, folder, domain_buckets), None without one.
+
+    Of two writers that took the same number the one with the greater folder name
+    counts; each wrote a folder of its own.
+    """
     try:
-        log = spark.read.schema("version bigint").json(f"{base}/{_VERSIONS}")
+        log = spark.read.schema(LOG_SCHEMA).json(f"{base}/{_VERSIONS}")
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
         return None
-    return log.agg(F.max("version")).first()[0]
+    return log.agg(F.max(F.struct("version", "folder", "domain_buckets")).alias("newest")).first()[0]
 
 
-def version_path(base: str, version: int) -> str:
-    return f"{base}/v={version}"
+def current_version(spark: SparkSession, base: str) -> int | None:
+    """Number of the newest published version, None if there is none."""
+    line = current(spark, base)
+    return None if line is None else line["version"]
+
 
+def new_version(spark: SparkSession, base: str) -> tuple[int, str]:
+    """The next number and a folder name that no other attempt has.
 
-def commit_version(spark: SparkSession, base: str, version: int) -> None:
+    What a failed attempt leaves behind is never read and stands in nobody's way.
+    """
+    version = (current_version(spark, base) or 0) + 1
+    return version, f"v={version}-{uuid.uuid4().hex}"
+
+
+def commit_version(
+    spark: SparkSession, base: str, version: int, folder: str, domain_buckets: int | None = None
+) -> None:
     """Make a fully written version the current one.
 
     One line is appended to the version log; nothing is renamed or deleted, so
     readers see the old version until then and the new one afterwards.
     """
-    row = spark.range(1).select(F.lit(version).cast("bigint").alias("version"))
+    row = spark.range(1).select(
+        F.lit(version).cast("bigint").alias("version"),
+        F.lit(folder).alias("folder"),
+        F.lit(domain_buckets).cast("int").alias("domain_buckets"),
+    )
     row.write.mode("append").json(f"{base}/{_VERSIONS}")
 
 
 def publish(pages: DataFrame, base: str, domain_buckets: int | None = None) -> int:
     """Write the pages as the next version of the lake and make it current."""
     spark = pages.sparkSession
-    version = (current_version(spark, base) or 0) + 1
-    write_partitioned(pages, version_path(base, version), domain_buckets)
-    commit_version(spark, base, version)
+    version, folder = new_version(spark, base)
+    write_partitioned(pages, f"{base}/{folder}", domain_buckets)
+    commit_version(spark, base, version, folder, domain_buckets)
     return version
 
 
@@ -137,8 +165,8 @@ def open_current(
     spark: SparkSession, base: str, schema: T.StructType = S.SCORED_PAGE
 ) -> DataFrame:
     """The published lake; an empty table of the same schema before the first publish."""
-    version = current_version(spark, base)
-    if version is None:
+    line = current(spark, base)
+    if line is None:
         full = T.StructType(schema.fields + [T.StructField(c, T.StringType()) for c in PARTITIONS])
         return spark.createDataFrame([], full)
-    return read_partitioned(spark, version_path(base, version), schema)
+    return read_partitioned(spark, f"{base}/{line['folder']}", schema)

@@ -22,13 +22,22 @@ def file_source(spark: SparkSession, path: str, max_files: int = 1000) -> DataFr
 
 
 def kafka_source(
-    spark: SparkSession, servers: str, topic: str = EVENTS_TOPIC, max_offsets: int = 1_000_000
+    spark: SparkSession,
+    servers: str,
+    topic: str = EVENTS_TOPIC,
+    max_offsets: int = 1_000_000,
+    start: str = "earliest",
 ) -> DataFrame:
-    """Event values of a topic; needs the Kafka connector jar in the session."""
+    """Event values of a topic; needs the Kafka connector jar in the session.
+
+    A new stream begins with the oldest event still there, or as ``start`` says; a
+    restarted one goes on where its checkpoint is.
+    """
     return (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
+        .option("startingOffsets", start)
         .option("maxOffsetsPerTrigger", max_offsets)
         .load()
         .select("value")
