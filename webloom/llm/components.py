@@ -21,39 +21,30 @@ def components(links: DataFrame) -> DataFrame:
         links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))),
         "edges",
     )
-    labels = stage_table(
-        edges.groupBy("a").agg(F.min("b").alias("near")).select(
-            F.col("a").alias("id"), F.least("a", "near").alias("component")
-        ),
-        "labels-0",
+    labels = edges.groupBy("a").agg(F.min("b").alias("near")).select(
+        F.col("a").alias("id"), F.least("a", "near").alias("component")
     )
     turn = 0
     while True:
-        turn += 1
         near = (
             edges.join(labels.select(F.col("id").alias("b"), "component"), "b")
             .groupBy("a")
             .agg(F.min("component").alias("near"))
         )
-        # A node hooks the label it had, too, so that trees merge at their roots.
-        hooked = (
-            labels.join(near, labels["id"] == near["a"])
-            .select("id", "component", F.least("component", "near").alias("best"))
+        # A node moves with the label it had, so that whole trees merge.
+        moved = labels.join(near, labels["id"] == near["a"]).select(
+            "id", "component", F.least("component", "near").alias("best")
         )
-        roots = hooked.groupBy(F.col("component").alias("root")).agg(F.min("best").alias("to"))
-        merged = hooked.join(roots, hooked["component"] == roots["root"]).select(
-            "id", "component", "to"
+        roots = moved.groupBy(F.col("component").alias("root")).agg(F.min("best").alias("to"))
+        now = stage_table(
+            moved.join(roots, moved["component"] == roots["root"]).select("id", "component", "to"),
+            f"labels-{turn}",
         )
-        now = stage_table(merged, f"labels-{turn}")
-        # One jump: the label of the label, where it is known.
+        turn += 1
+        if now.where("to != component").limit(1).count() == 0:
+            return now.select("id", "component")
+        # One jump: the label of the label, where that is known.
         jump = now.select(F.col("id").alias("to"), F.col("to").alias("far"))
-        jumped = stage_table(
-            now.join(jump, "to", "left").select(
-                "id", "component", F.coalesce("far", "to").alias("label")
-            ),
-            f"jumped-{turn}",
+        labels = now.join(jump, "to", "left").select(
+            "id", F.coalesce("far", "to").alias("component")
         )
-        changed = jumped.where(F.col("label") != F.col("component")).limit(1).count()
-        labels = jumped.select("id", F.col("label").alias("component"))
-        if not changed:
-            return labels

@@ -18,12 +18,18 @@ link when their Jaccard similarity is at least ``percent`` / 100.
    singly, frequent ones by all k-combinations inside their groups. The number
    of groups follows the document's size, in steps of 1.25; a document is indexed
    for its own step and the next, so two linked ones always meet in one step.
-4. *Pairs.* Each signature's smallest (then largest, and so on) document is its
-   pivot and is compared with the others of the signature, not all with all.
+4. *Pairs.* Of the signatures with the same documents one is kept. Its pivot, the
+   document whose tokens are the most common ones, as those of the original of many
+   copies are, is compared with the others of the signature, not all with all.
    Verified links make components; signatures whose documents are all in one
-   component are done. The rest go round with the next pivot, until the pairs left
-   are about as few as the entries; these are then compared directly. Each pair
-   that shares a signature is compared or already connected: nothing is capped.
+   component are done. Of the rest, those with few documents (``SMALL_KEY``) compare
+   all that are not yet connected, the others go on with their next pivot. What
+   counts as few grows every round. After the first one, all signatures with the
+   same pivot are one, so that a pair is asked for once, not once per signature. Each
+   pair that shares a signature is compared or already connected, or ruled out by
+   the bounds below: nothing is capped.
+   What a set has in common with anybody at all, and with the first pivot, bounds what
+   two sets can have in common; pairs that cannot link by that are not compared.
 5. *Verification* intersects the whole sets of shared tokens.
 
 Defined results: null and empty texts, and texts of white space, have no tokens
@@ -35,12 +41,12 @@ an id take their class's answer. Only the id and text columns are read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -55,6 +61,9 @@ PERCENT = 80
 # FREQUENT, triples above. Sets below SMALL tokens use singles only.
 RARE, FREQUENT, SMALL = 4, 11, 40
 PAIR_GROUPS, TRIPLE_GROUPS = 0.10, 0.08
+# From the second round on, keys of at most so many documents, eight times as many in
+# every further round, are done by comparing all that are not yet connected.
+SMALL_KEY = 32
 # Bytes of a fingerprint sent for counting, behind the bucket's bits. Tokens that
 # share them are counted together, which changes the order but not the result.
 WIDTH = 4
@@ -209,108 +218,145 @@ def _signature_rows(percent: int):
             ids, sizes, tokens, classes = (batch.column(k).to_pylist() for k in range(4))
             with np.errstate(over="ignore"):
                 for doc, n, t, c in zip(ids, sizes, tokens, classes):
-                    keys = signatures(
-                        n, np.frombuffer(t, np.uint64), np.frombuffer(c, np.uint8), percent
-                    )
+                    found = np.frombuffer(c, np.uint8)
+                    keys = signatures(n, np.frombuffer(t, np.uint64), found, percent)
+                    common = int(1000 * found.sum(dtype=np.int64) // n)
                     yield pa.RecordBatch.from_pydict(
-                        {"key": keys.view(np.int64), "id": np.full(len(keys), doc, np.int64)}
+                        {
+                            "key": keys.view(np.int64),
+                            "id": np.full(len(keys), doc, np.int64),
+                            "n": np.full(len(keys), n, np.int64),
+                            "s": np.full(len(keys), len(found), np.int64),
+                            "common": np.full(len(keys), common, np.int64),
+                        }
                     )
 
     return run
 
 
-def _verified(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b, n_a, n_b, t_a, t_b = (batch.column(k) for k in range(6))
-            keep = []
-            sizes = zip(n_a.to_pylist(), n_b.to_pylist())
-            for row, (m, n) in enumerate(sizes):
-                x = np.frombuffer(t_a[row].as_buffer(), np.uint64)
-                y = np.frombuffer(t_b[row].as_buffer(), np.uint64)
-                both = np.sort(np.concatenate([x, y]), kind="stable")
-                common = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * common >= percent * (m + n - common))
-            mask = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([a.filter(mask), b.filter(mask)], names=["a", "b"])
-
-    return run
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        a, b, t_a, t_b = (batch.column(k) for k in range(4))
+        common = []
+        for row in range(batch.num_rows):
+            x = np.frombuffer(t_a[row].as_buffer(), np.uint64)
+            y = np.frombuffer(t_b[row].as_buffer(), np.uint64)
+            both = np.sort(np.concatenate([x, y]), kind="stable")
+            common.append(int((both[1:] == both[:-1]).sum()))
+        yield pa.RecordBatch.from_arrays(
+            [a, b, pa.array(common, pa.int64())], names=["a", "b", "common"]
+        )
 
 
-def verify(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Those of ``pairs`` (a, b) that link."""
-    side = [
-        sets.select(F.col("id").alias(x), F.col("n_tokens").alias(f"n_{x}"), F.col("tokens").alias(f"t_{x}"))
-        for x in "ab"
-    ]
-    # Sizes first: only pairs that can link fetch their tokens.
-    sized = pairs
-    for s, x in zip(side, "ab"):
-        sized = sized.join(s.select(x, f"n_{x}"), x)
-    least, most = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
-    fit = sized.where(100 * least >= percent * most).select("a", "b")
-    for s, x in zip(side, "ab"):
-        fit = fit.join(s, x)
-    return fit.select("a", "b", "n_a", "n_b", "t_a", "t_b").mapInArrow(
-        _verified(percent), "a long, b long"
+def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, common): how many tokens the sets of each pair have in common."""
+    both = pairs
+    for x in "ab":
+        side = sets.select(F.col("id").alias(x), F.col("tokens").alias(f"t_{x}"))
+        both = both.join(side, x)
+    return both.select("a", "b", "t_a", "t_b").mapInArrow(
+        _compared, "a long, b long, common long"
     )
 
 
-def link_components(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(id, component) of linked representatives. ``sets``: id, n_tokens, tokens, classes."""
-    spark = sets.sparkSession
-    entries = stage_table(
-        sets.select("id", "n_tokens", "tokens", "classes")
-        .mapInArrow(_signature_rows(percent), "key long, id long")
-        .withColumn("component", F.col("id")),
+# What is known of a set under a key: its tokens, those that other sets have at all,
+# and those that the key's first pivot has.
+_KNOWN = ("n", "s", "c")
+
+
+def may_link(a: Sequence[Column], b: Sequence[Column], percent: int) -> Column:
+    """Whether two sets, of which ``_KNOWN`` is known, can have enough in common.
+
+    Common tokens are shared ones. Of a pivot's tokens they have no more in common than
+    the one with fewer of them, and likewise outside the pivot.
+    """
+    (n_a, s_a, c_a), (n_b, s_b, c_b) = a, b
+    by_pivot = F.least(c_a, c_b) + F.least(s_a - c_a, s_b - c_b)
+    known = c_a.isNotNull() & c_b.isNotNull()
+    most = F.least(s_a, s_b, F.when(known, by_pivot))
+    return (100 + percent) * most >= percent * (n_a + n_b)
+
+
+def link_components(sets: DataFrame, percent: int = PERCENT) -> DataFrame | None:
+    """(id, component) of linked representatives; None if no two share a signature.
+
+    ``sets``: id, n_tokens, tokens, classes.
+    """
+    every = stage_table(
+        sets.select("id", "n_tokens", "tokens", "classes").mapInArrow(
+            _signature_rows(percent), "key long, id long, n long, s long, common long"
+        ),
         "signatures",
     )
-    links = None
-    labels = spark.createDataFrame([], "id long, component long")
-    turn = 0
+    # Keys with the same documents ask for the same pairs; one of them goes on.
+    members = every.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.bit_xor(F.xxhash64("id")).alias("x"),
+        F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"),
+    )
+    chosen = members.where("n > 1").groupBy("n", "x", "y").agg(F.min("key").alias("key"))
+    entries = every.join(chosen.select("key"), "key", "left_semi").withColumns(
+        {"component": F.col("id"), "c": F.lit(None).cast("long")}
+    )
+    known = lambda prefix="", suffix="": [
+        F.col(f"{prefix}{k}{suffix}") for k in _KNOWN
+    ]
+    links = labels = None
+    turn, small = 0, 1
     while True:
         keys = entries.groupBy("key").agg(
-            F.min("id").alias("low"),
-            F.max("id").alias("high"),
-            F.count(F.lit(1)).alias("n"),
+            *[F.max_by(k, "common").alias(f"{k}_p") for k in ("id", "component", *_KNOWN)],
+            F.count(F.lit(1)).alias("size"),
             F.min("component").alias("c_low"),
             F.max("component").alias("c_high"),
         ).where("c_low < c_high")
-        keys = stage_table(keys, f"open-keys-{turn}")
-        n_entries, n_pairs = keys.select(
-            F.sum("n"), F.sum(F.col("n").cast("double") * (F.col("n") - 1) / 2)
-        ).first()
-        if not n_entries:
+        opened = stage_table(entries.join(keys.drop("c_low", "c_high"), "key"), f"open-{turn}")
+        if opened.limit(1).count() == 0:
             return labels
-        last = turn >= 2 and n_pairs <= 4 * n_entries
-        pivot = F.col("low") if turn % 2 == 0 else F.col("high")
-        open_entries = entries.join(keys.select("key", pivot.alias("pivot")), "key")
-        if last:
-            x, y = open_entries.alias("x"), open_entries.alias("y")
-            pairs = x.join(
+        large = opened.where(F.col("size") > small)
+        pair = [F.least("id", "id_p").alias("a"), F.greatest("id", "id_p").alias("b")]
+        pairs = large.where(
+            F.expr("id != id_p AND component != component_p")
+            & may_link(known(), known(suffix="_p"), percent)
+        ).select(*pair)
+        if turn:
+            x, y = (opened.where(F.col("size") <= small).alias(side) for side in "xy")
+            met = x.join(
                 y,
                 (F.col("x.key") == F.col("y.key"))
                 & (F.col("x.id") < F.col("y.id"))
-                & (F.col("x.component") != F.col("y.component")),
+                & (F.col("x.component") != F.col("y.component"))
+                & may_link(known("x."), known("y."), percent),
             ).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-        else:
-            pairs = open_entries.where("id != pivot").select(
-                F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")
-            )
-        found = stage_table(verify(pairs.distinct(), sets, percent), f"links-{turn}")
-        links = found if links is None else links.unionByName(found)
-        labels = components(links)
-        if last:
-            return labels
-        # The pivot has met everyone under this key.
-        entries = stage_table(
-            open_entries.where("id != pivot")
-            .drop("component", "pivot")
-            .join(labels, "id", "left")
-            .withColumn("component", F.coalesce("component", "id")),
-            f"signatures-{turn}",
+            pairs = pairs.unionByName(met)
+        compared = stage_table(compare(pairs.distinct(), sets), f"compared-{turn}")
+        size = lambda x: sets.select(F.col("id").alias(x), F.col("n_tokens").alias(f"n_{x}"))
+        found = (
+            compared.join(size("a"), "a")
+            .join(size("b"), "b")
+            .where((100 + percent) * F.col("common") >= percent * (F.col("n_a") + F.col("n_b")))
+            .select("a", "b")
         )
-        turn += 1
+        found = stage_table(found, f"links-{turn}")
+        if not found.isEmpty():
+            links = found if links is None else links.unionByName(found)
+            labels = components(links)
+        # Small keys are done, and the pivot has met everyone under its key.
+        rest = large.where("id != id_p").select("key", "id", "id_p", *_KNOWN, "common")
+        if turn == 0:
+            with_pivot = compared.withColumnRenamed("common", "c")
+            rest = rest.drop("c").select("*", *pair).join(with_pivot, ["a", "b"], "left")
+            # Documents that met the same pivot are one group from here on, however many
+            # keys they share.
+            rest = rest.select(F.col("id_p").alias("key"), "id", *_KNOWN, "common").distinct()
+        entries = rest.select("key", "id", *_KNOWN, "common").withColumn("component", F.col("id"))
+        if labels is not None:
+            entries = (
+                entries.drop("component")
+                .join(labels, "id", "left")
+                .withColumn("component", F.coalesce("component", "id"))
+            )
+        turn, small = turn + 1, max(SMALL_KEY, 8 * small)
 
 
 def near_duplicates(
@@ -334,9 +380,12 @@ def near_duplicates(
         "representatives",
     )
     labels = link_components(reps, percent)
-    answers = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
-        *same, F.coalesce("component", "rep").alias("component_id")
-    )
+    answers = classes.withColumn("component_id", F.col("rep"))
+    if labels is not None:
+        answers = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn(
+            "component_id", F.coalesce("component", "rep")
+        )
+    answers = answers.select(*same, "component_id")
     return rows.join(answers, same, "left").select(
         "id",
         F.col("n_tokens").alias("n_shingles"),
