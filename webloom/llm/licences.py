@@ -8,9 +8,9 @@ template set B
     dice = 2 |A and B| / (|A| + |B|),
 
 which reaches ``threshold`` t only if t / (2 - t) |B| <= |A| <= (2 - t) / t |B|. These
-size bounds are applied three times: to the characters, before a passage is normalised
-at all; to its bigrams over all templates; and template by template, before any
-intersection.
+size bounds are applied three times: to the words of a passage, before its bigrams are
+made; to the bigrams over all templates; and template by template, before any
+intersection. Every line is normalised once.
 
 All work is one projection of DataFrame functions; nothing is shuffled. The templates
 are a parameter and travel inside the plan; give some dozens, not thousands.
@@ -148,25 +148,30 @@ def with_matches(
             F.transform(F.filter(known, near), compare), lambda m: m["dice"] >= threshold
         )
 
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    lines = F.split(text, "\n")
-    numbered = F.transform(lines, lambda x, i: F.struct((i + 1).alias("line"), x.alias("text")))
-    whole = F.when(
-        F.size(lines) > 1, F.array(F.struct(F.lit(0).alias("line"), text.alias("text")))
-    ).otherwise(F.array().cast("array<struct<line:int,text:string>>"))
+    lines = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")
+    # Words end at line ends, so the whole text's words are those of its lines.
+    per_line = docs.withColumn("_lines", F.transform(lines, words))
+    worded = per_line.withColumn("_whole", F.flatten("_lines"))
 
-    # d bigrams take at least d words of one character. There is no such bound from
-    # above, as a long passage may repeat its bigrams.
-    def long_enough(p: Column) -> Column:
-        return F.length(p["text"]) >= 2 * least - 1
+    # d distinct words make at least d - 1 distinct bigrams, w words w - 1 at most.
+    def in_reach(w: Column) -> Column:
+        return (F.size(w) >= least) & (F.size(F.array_distinct(w)) - 1 <= most)
 
-    passages = F.filter(F.concat(whole, numbered), long_enough)
+    kind = "array<struct<line:int,words:array<string>>>"
+    whole = F.when(
+        (F.size("_lines") > 1) & in_reach(F.col("_whole")),
+        F.array(F.struct(F.lit(0).alias("line"), F.col("_whole").alias("words"))),
+    ).otherwise(F.array().cast(kind))
+    numbered = F.transform(
+        "_lines", lambda w, i: F.struct((i + 1).alias("line"), w.alias("words"))
+    )
+    passages = F.filter(F.concat(whole, numbered), lambda p: in_reach(p["words"]))
     split_up = F.transform(
-        passages, lambda p: F.struct(p["line"].alias("line"), bigrams(words(p["text"])).alias("set"))
+        passages, lambda p: F.struct(p["line"].alias("line"), bigrams(p["words"]).alias("set"))
     )
     fitting = F.filter(split_up, lambda p: F.size(p["set"]).between(least, most))
     found = F.flatten(F.transform(fitting, against))
-    return docs.withColumn("matches", found)
+    return worded.withColumn("matches", found).drop("_lines", "_whole")
 
 
 def best_match(matches: Column) -> Column:
