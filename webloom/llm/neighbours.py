@@ -39,7 +39,8 @@ from webloom.session import stage_table
 
 @dataclass(frozen=True)
 class Settings:
-    """``tables`` x ``probes`` set the recall; ``width`` 2 suits some millions of rows."""
+    """``tables`` x ``probes`` set the recall; more ``width``, for smaller buckets in a
+    very large table, wants many more probes."""
 
     k: int = 10
     tables: int = 16
