@@ -185,32 +185,6 @@ def term_scores(index: DataFrame, matches: DataFrame) -> DataFrame:
     return _sum_scores(weighted, ["term", "doc_key"])
 
 
-def _batch_contenders(
-    found: DataFrame, mappings: DataFrame, texts: DataFrame, k: int
-) -> DataFrame:
-    """Per query the scored documents that can be among its first ``k``.
-
-    As in a single search: exact URLs first, then by score with all ties. Spark
-    limits the groups before the shuffle by query, so a query that hits most of
-    the corpus sends only its best documents of each task.
-    """
-    asked = texts.select("query_id", F.explode(_exact_urls(F.col("text"))).alias("url"))
-    exact = (
-        mappings.select("doc_key", "url")
-        .join(asked, "url")
-        .select("query_id", "doc_key", F.lit(1).alias("_exact"))
-    )
-    best_first = Window.partitionBy("query_id").orderBy(
-        F.coalesce("_exact", F.lit(0)).desc(), F.round("content_score", SCORE_DIGITS).desc()
-    )
-    return (
-        found.join(exact, ["query_id", "doc_key"], "left")
-        .withColumn("_place", F.rank().over(best_first))
-        .where(F.col("_place") <= k)
-        .drop("_exact", "_place")
-    )
-
-
 def search_batch(
     index: DataFrame,
     idf: DataFrame,
@@ -239,10 +213,10 @@ def search_batch(
     found = contributions.groupBy("query_id", "doc_key").agg(
         F.sum("content_score").alias("content_score"), F.sum("matches").alias("matches")
     )
-    hits = (
-        _batch_contenders(found, mappings, texts, k)
-        .join(mappings, "doc_key")
-        .join(texts.withColumnRenamed("text", "query"), "query_id")
+    # Documents lie where their sums are, so the mappings come to them. All six levels are
+    # known before the cut: each task sends its first k per query, ties broken.
+    hits = found.join(mappings, "doc_key").join(
+        texts.withColumnRenamed("text", "query"), "query_id"
     )
     w = Window.partitionBy("query_id").orderBy(*rank_order())
     best = (
