@@ -4,6 +4,7 @@ import fnmatch
 import itertools
 import random
 import re
+import textwrap
 import zlib
 
 import duckdb
@@ -328,6 +329,86 @@ def test_licence_query_on_odd_rows(spark, tmp_path):
     assert licences.with_matches(docs.limit(0)).collect() == []
 
 
+def in_lines(text, width):
+    return "\n".join(textwrap.wrap(text, width))
+
+
+def brute_windows(text, templates, threshold):
+    """{licence: highest dice of any run of words}."""
+    words = re.sub("[^a-z0-9]+", " ", text.lower()).split()
+    best = {}
+    for name, template in templates:
+        b = set(licences.template_bigrams(template))
+        for i in range(len(words)):
+            for j in range(i + 1, len(words) + 1):
+                a = set(licences.template_bigrams(" ".join(words[i:j])))
+                dice = 2.0 * len(a & b) / (len(a) + len(b))
+                if dice >= threshold:
+                    best[name] = max(best.get(name, 0), dice)
+    return best
+
+
+def test_wrapped_and_inline_notices_are_found(spark, tmp_path):
+    prose = H.prose(random.Random(5), 120)
+    by_name = {}
+    for name, t in licences.TEMPLATES:
+        by_name[name] = max(by_name.get(name, ""), t, key=len)
+    planted = [
+        (name, text)
+        for name, t in by_name.items()
+        for text in (
+            f"{prose}\n{in_lines(t, 30)}\n{prose}", f"{prose} {t} {prose}",
+            f"{prose}\n{in_lines(t, 70)} {prose}", in_lines(f"{prose} {t} {prose}", 25),
+        )
+    ]
+    planted += [
+        ("Proprietary", "Copyright (c) 2020 Foo Inc. All rights reserved."),
+        ("CC-BY-NC-4.0", "Photos by the author. Licensed under CC BY-NC 4.0. Please cite."),
+        ("MIT", "MIT License\n\nCopyright (c) 2020 Foo\n\n" + in_lines(by_name["MIT"], 80)
+         + "\n\nThe above copyright notice and this permission notice shall be included in all\n"
+         "copies or substantial portions of the Software.\n\n" + prose),
+    ]
+    rows = [(k, t, None, "s", 1) for k, (_, t) in enumerate(planted)]
+    rows.append((len(rows), f"{prose} {by_name['MIT']} {prose} {by_name['MIT']} {prose}", None, "s", 1))
+    rows.append((len(rows), f"{prose}\nx {by_name['Proprietary']}\n{prose}", None, "s", 1))
+    rows.append((len(rows), prose, None, "s", 1))
+    folder = H.write_tables(spark, str(tmp_path), documents=docs_of(spark, rows))
+    got = {r.doc_id: r for r in queries.op7_licences(spark, folder).collect()}
+    for k, (name, text) in enumerate(planted):
+        assert got[k].licence == name and got[k].dice > 0.95, (name, text, got[k])
+    twice, second_line, none = (got[k] for k in range(len(planted), len(rows)))
+    assert (twice.licence, twice.n_matches, twice.line) == ("MIT", 2, 1)
+    assert (second_line.licence, second_line.line) == ("Proprietary", 2)
+    assert (none.n_matches, none.licence) == (0, None)
+
+
+def test_windows_are_the_best_of_all_runs(spark):
+    rng = random.Random(8)
+    templates = [("A", "a b c d e f"), ("B", "a b a c"), ("C", "d"), ("D", "b c b c b")]
+    texts = ["".join(rng.choice("abcdef xy\n") + " " for _ in range(rng.randrange(40))) for _ in range(60)]
+    texts += ["x a b c d e f y", "x a b y c d e f x", "x a b c\nd e f x", "x a a b b c d e f x"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for one, threshold in itertools.product(templates, (0.6, 0.8)):
+        for r in licences.with_matches(docs, [one], threshold).collect():
+            best = max((m.dice for m in r.matches), default=None)
+            want = brute_windows(r.text, [one], threshold).get(one[0])
+            assert (best is None) == (want is None), (r.text, r.matches, want)
+            if want and not brute_lines(r.text, [one], threshold):
+                assert best == pytest.approx(want)
+
+
+def brute_lines(text, templates, threshold):
+    """Licences of which a line, or the whole text, is a match."""
+    out = set()
+    for line in [text, *text.split("\n")]:
+        a = set(licences.template_bigrams(line))
+        for name, template in templates:
+            b = set(licences.template_bigrams(template))
+            if a and b and 2.0 * len(a & b) / (len(a) + len(b)) >= threshold:
+                out.add(name)
+    return out
+
+
 def test_size_bounds_lose_no_match():
     """Sets that just reach the threshold lie within the bounds."""
     for b in range(1, 200):

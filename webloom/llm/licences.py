@@ -1,7 +1,7 @@
-"""Licence scan: lines and whole texts against licence templates, by Dice coefficient.
+"""Licence scan: lines, whole texts and notices inside them, by Dice coefficient.
 
-A passage (every line of a text, and the text itself when it has several) is
-normalised to lower-case words of a-z and 0-9 and reduced to its set of word bigrams;
+A passage (every line of a text, the text itself when it has several, and windows of
+its words) is normalised to lower-case words of a-z and 0-9 and reduced to its set of word bigrams;
 a passage of one word has that word as its only bigram. With passage set A and
 template set B
 
@@ -12,18 +12,32 @@ size bounds are applied three times: to the words of a passage, before its bigra
 made; to the bigrams over all templates; and template by template, before any
 intersection. Every line is normalised once.
 
+Windows find notices that are wrapped over lines or stand inside longer ones. They are
+runs of the whole text's words, of any length and from any word. For a given start, the
+best window ends where a template bigram occurs for the first time, and a window that
+starts at none is no better than the same without its first word; only such windows are
+formed, so the best ones are among them and none is left out by its length. A window
+needs t / (2 - t) |B| bigrams of the template, so texts with fewer of its words, then of
+its bigrams, have none. Of windows of one licence that share words, the one with the
+highest dice counts (ties: first, then longest); so does, of windows of two licences,
+the better one if it has half of the other's words. A window is not counted if the whole
+text matches the same licence, or a line does that has all of its words, or some of them
+and no lower dice.
+
 All work is one projection of DataFrame functions; nothing is shuffled. The templates
 are a parameter and travel inside the plan; give some dozens, not thousands.
 
 Defined results: null and empty texts match nothing; repeated lines match as often
-as they occur; ``best_match`` breaks ties by name, then line; rows and
+as they occur; a window's line is that of its first word; ``best_match`` breaks ties by name, then line; rows and
 extra columns stay, except that ``matches`` replaces a column of that name.
 """
 
 from __future__ import annotations
 
+import math
 import re
-from collections.abc import Sequence
+from collections import Counter
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -108,6 +122,196 @@ def _bounds(size: int | Column, t: float):
     return size * t / (2 - t) - 1e-9, size * (2 - t) / t + 1e-9
 
 
+def window_template(name: str, text: str, threshold: float) -> Column | None:
+    """What windows are compared with; None for a template without words.
+
+    ``need``: bigrams that a window must have. ``need_words``: distinct words that a
+    text with so many has at least; a bigram lacks when one of its two words does.
+    """
+    grams = template_bigrams(text)
+    need = max(1, math.ceil(_bounds(len(grams), threshold)[0]))
+    of_word = Counter(w for b in grams for w in set(b.split()))
+    lacking, spent = 0, 0
+    for count in sorted(of_word.values()):
+        spent += count
+        if spent > 2 * (len(grams) - need):
+            break
+        lacking += 1
+    if not grams:
+        return None
+    return F.struct(
+        F.lit(name).alias("licence"),
+        F.array(*map(F.lit, grams)).alias("bigrams"),
+        F.array(*map(F.lit, sorted(of_word))).alias("words"),
+        F.lit(" " not in grams[0]).alias("single"),
+        F.lit(need).alias("need"),
+        F.lit(len(of_word) - lacking).alias("need_words"),
+    )
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+_WINDOWS = "array<struct<low:double,first:int,end:int,last:int,licence:string,dice:double>>"
+
+
+def _overlap(a: Column, b: Column) -> Column:
+    """Number of words, or less than 1."""
+    return F.least(a["last"], b["last"]) - F.greatest(a["first"], b["first"]) + 1
+
+
+def _best_apart(windows: Column, gives_way: Callable[[Column, Column], Column]) -> Column:
+    """Windows by falling dice, without those that give way to a better one that stays."""
+    return F.aggregate(
+        F.array_sort(windows.cast(_WINDOWS)),
+        F.array().cast(_WINDOWS),
+        lambda kept, w: F.when(F.exists(kept, lambda x: gives_way(w, x) > 0), kept).otherwise(
+            F.concat(kept, F.array(w))
+        ),
+    )
+
+
+def _windows_of(template: Column, words_: Column, pairs: Column, threshold: float) -> Column:
+    """(low, first, end, last, licence, dice) of the windows that reach a template.
+
+    ``first`` and ``last`` are numbers of words from 0; ``low`` is -dice and ``end`` -last.
+    """
+    need, known = template["need"], template["bigrams"]
+    units = F.when(template["single"], words_).otherwise(pairs)
+
+    def of_units(units: Column) -> Column:
+        # (at, code): where a bigram of the template occurs, and which.
+        coded = F.transform(
+            units, lambda u, i: F.struct(i.alias("at"), F.array_position(known, u).alias("code"))
+        )
+        return _let(F.filter(coded, lambda h: h["code"] > 0), lambda hits: of_hits(units, hits))
+
+    def of_hits(units: Column, hits: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(hits) - need + 1)
+
+        def from_start(start: Column) -> Column:
+            tail = F.slice(hits, start, F.size(hits))
+            return _let(tail, lambda tail: _let(tail["code"], lambda c: ends(tail, c)))
+
+        def ends(tail: Column, codes: Column) -> Column:
+            """Windows from the first hit to each hit that brings a new bigram."""
+            fresh = F.array_distinct(codes)
+            least = _let(fresh, lambda f: F.when(F.size(f) >= need, f))
+
+            def window(code: Column, common: Column) -> Column:
+                first = tail[0]["at"]
+                last = tail[(F.array_position(codes, code) - 1).cast("int")]["at"]
+                inside = F.size(F.array_distinct(F.slice(units, first + 1, last - first + 1)))
+                dice = F.lit(2.0) * common / (inside + F.size(known))
+                last = F.when(template["single"], last).otherwise(last + 1)
+                return F.struct(
+                    (-dice).alias("low"),
+                    first.alias("first"),
+                    (-last).alias("end"),
+                    last.alias("last"),
+                    template["licence"].alias("licence"),
+                    dice.alias("dice"),
+                )
+
+            def reached(fresh: Column) -> Column:
+                later = F.slice(fresh, need, F.size(fresh) - need + 1)
+                return F.filter(
+                    F.transform(later, lambda c, i: window(c, need + i)),
+                    lambda w: w["dice"] >= threshold,
+                )
+
+            return _let(least, lambda f: F.when(f.isNotNull(), reached(f)))
+
+        found = F.filter(F.transform(starts, from_start), lambda w: w.isNotNull())
+        # One place of a template is one window from here on.
+        return F.when(F.size(hits) >= need, _best_apart(F.flatten(found), _overlap))
+
+    return _let(units, of_units)
+
+
+def notices(
+    lines: Column,
+    whole: Column,
+    matches: Column,
+    templates: Sequence[tuple[str, str]],
+    threshold: float,
+) -> Column:
+    """(line, licence, dice) of the windows that count beside ``matches``.
+
+    ``lines``: words of each line; ``whole``: the words of all of them.
+    """
+    columns = [window_template(n, t, threshold) for n, t in templates]
+    columns = [c for c in columns if c is not None]
+    kind = "array<struct<line:int,licence:string,dice:double>>"
+    none = F.array().cast(kind)
+    if not columns:
+        return none
+    known = F.array(*columns)
+    every = sorted({w for _, t in templates for b in template_bigrams(t) for w in b.split()})
+
+    def worded(present: Column) -> Column:
+        """Templates of which the text has enough words."""
+        return F.filter(
+            known, lambda t: F.size(F.array_intersect(t["words"], present)) >= t["need_words"]
+        )
+
+    def searched(likely: Column) -> Column:
+        pairs = F.zip_with(
+            F.slice(whole, 1, F.greatest(F.size(whole) - 1, F.lit(0))),
+            F.slice(whole, 2, F.greatest(F.size(whole) - 1, F.lit(0))),
+            lambda a, b: F.concat(a, F.lit(" "), b),
+        )
+        return F.when(F.size(likely) > 0, _let(pairs, lambda p: by_pairs(likely, p)))
+
+    def by_pairs(likely: Column, pairs: Column) -> Column:
+        def enough(distinct: Column) -> Column:
+            return F.filter(
+                likely,
+                lambda t: t["single"]
+                | (F.size(F.array_intersect(t["bigrams"], distinct)) >= t["need"]),
+            )
+
+        held = _let(F.array_intersect(pairs, F.flatten(likely["bigrams"])), enough)
+        found = F.transform(held, lambda t: _windows_of(t, whole, pairs, threshold))
+        flat = F.flatten(F.filter(found, lambda w: w.isNotNull()))
+        return _let(flat, lambda w: F.when(F.size(w) > 0, _let(line_of, lambda n: counted(w, n))))
+
+    line_of = F.flatten(F.transform(lines, lambda w, i: F.array_repeat(i + 1, F.size(w))))
+
+    def counted(windows: Column, line_of: Column) -> Column:
+        def is_new(w: Column) -> Column:
+            first, last = line_of[w["first"]], line_of[w["last"]]
+            return ~F.exists(
+                matches,
+                lambda m: (m["licence"] == w["licence"])
+                & (
+                    (m["line"] == 0)
+                    | m["line"].between(first, last)
+                    & ((first == last) | (m["dice"] >= w["dice"]))
+                ),
+            )
+
+        def gives_way(w: Column, x: Column) -> Column:
+            half = F.when(x["licence"] == w["licence"], 0).otherwise(
+                (w["last"] - w["first"]) / F.lit(2)
+            )
+            return _overlap(w, x) - half
+
+        return F.transform(
+            F.filter(_best_apart(windows, gives_way), is_new),
+            lambda w: F.struct(
+                line_of[w["first"]].alias("line"),
+                w["licence"].alias("licence"),
+                w["dice"].alias("dice"),
+            ),
+        )
+
+    present = F.array_intersect(whole, F.array(*map(F.lit, every)))
+    return F.coalesce(_let(present, lambda p: _let(worded(p), searched)).cast(kind), none)
+
+
 def with_matches(
     docs: DataFrame,
     templates: Sequence[tuple[str, str]] = TEMPLATES,
@@ -116,7 +320,7 @@ def with_matches(
 ) -> DataFrame:
     """``docs`` with ``matches``: array of (line, licence, dice); line 0 is the whole text.
 
-    Lines count from 1 and split at line feeds.
+    Lines and the whole text come first, then windows. Lines count from 1 and split at line feeds.
     """
     sets = [(name, template_bigrams(text)) for name, text in templates]
     known = F.array(
@@ -171,7 +375,14 @@ def with_matches(
     )
     fitting = F.filter(split_up, lambda p: F.size(p["set"]).between(least, most))
     found = F.flatten(F.transform(fitting, against))
-    return worded.withColumn("matches", found).drop("_lines", "_whole")
+    scanned = worded.withColumn("matches", found)
+    inside = _let(
+        F.col("matches"),
+        lambda m: F.concat(
+            m, notices(F.col("_lines"), F.col("_whole"), m, templates, threshold)
+        ),
+    )
+    return scanned.withColumn("matches", inside).drop("_lines", "_whole")
 
 
 def best_match(matches: Column) -> Column:
