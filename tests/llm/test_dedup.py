@@ -138,6 +138,32 @@ def test_near_duplicates_odd_rows(spark):
     assert {r.doc_id for r in left.collect()} >= {i for i, (_, c) in want.items() if i == c}
 
 
+def test_near_duplicates_with_repeated_and_missing_ids(spark):
+    """Every text is compared, whatever its id, and dropped by id and text."""
+    rng = random.Random(12)
+
+    def family(n):
+        words = H.prose(rng, n, 5_000).split()
+        return [" ".join(words[:k] + ["new"] + words[k + 1 :]) for k in range(0, n, n // 4)]
+
+    a, b, c, d, e, f = (family(n) for n in (200, 120, 150, 180, 90, 60))
+    rows = [
+        (19, a[0]), (19, b[0]), (25, b[1]), (7, a[1]),  # the shorter text has a copy, too
+        (30, c[0]), (30, d[0]), (31, d[0]), (40, d[1]),  # a class whose smallest id is taken
+        (50, e[0]), (50, e[1]), (None, e[2]),  # near copies under one id
+        (None, f[0]), (None, f[1]), (None, f[2]),  # no id at all
+        (None, ""), (60, ""), (None, "alone here"), (60, "clean text of its own words"),
+    ]
+    docs = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id long, text string, n int")
+    got = sorted((r.id or 0, r.component_id or 0) for r in near_dups.near_duplicates(docs).collect())
+    want = [7, 19, 19, 7, 30, 30, 30, 30, 50, 50, 50, 0, 0, 0, 0, 60, 0, 60]
+    assert got == sorted((r[0] or 0, w) for r, w in zip(rows, want))
+    left = sorted(r.n for r in near_dups.one_of_each(docs).collect())
+    ones = [n for n in left if n in (8, 9)], [n for n in left if n in (11, 12, 13)]
+    assert [len(x) for x in ones] == [1, 1]
+    assert left == sorted([1, 3, 4, 5, 14, 15, 16, 17] + ones[0] + ones[1])
+
+
 @pytest.mark.parametrize("rare, frequent", [(0, 0), (0, 9), (2, 4), (9, 9)])
 def test_linked_sets_share_a_signature(monkeypatch, rare, frequent):
     """Whatever the classes, two sets that link have a key in common."""

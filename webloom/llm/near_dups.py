@@ -7,7 +7,8 @@ link when their Jaccard similarity is at least ``percent`` / 100.
    and comes back to the documents as a class, the number of bits of the count.
    Tokens of one document only are left out from here on. Documents with fewer
    shared tokens than a link needs are done.
-2. *Classes of equal sets.* One representative of each set goes on.
+2. *Classes of equal sets.* One representative of each set goes on, under a number of
+   its own: a document is an id with a set, and neither is a key alone.
 3. *Signatures.* The tokens of a document are put into one order, by class, then
    hash. A document of n tokens may miss e = n - ceil(0.8 n) of them in a partner.
    The prefix is extended until no partner could share too little of it: a rare
@@ -34,9 +35,10 @@ link when their Jaccard similarity is at least ``percent`` / 100.
 
 Defined results: null and empty texts, and texts of white space, have no tokens
 and link with nothing; fewer words than ``SHINGLE`` make one token; rows that repeat
-an id are one document if their texts are equal, and of different texts
-under one id only that with the most tokens is compared with others; rows without
-an id take their class's answer. Only the id and text columns are read.
+an id are one document if their sets are equal, otherwise each is compared with all
+others and has its own answer; rows without an id are compared too, and have the
+smallest id of their component, null if it has none. Only the id and text columns are
+read.
 """
 
 from __future__ import annotations
@@ -48,7 +50,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from webloom.llm import block_exchange as X
 from webloom.llm import words as W
@@ -116,7 +117,8 @@ def _frequency_class(group: np.ndarray, n: int, facts: np.ndarray) -> np.ndarray
 
 
 SETS = (
-    "id long, n_tokens long, sum_a long, sum_b long, n_shared long, tokens binary, classes binary"
+    "id long, text_hash long, n_tokens long, sum_a long, sum_b long, n_shared long, "
+    "tokens binary, classes binary"
 )
 
 
@@ -145,17 +147,23 @@ def _sets_block(plan: X.Plan, percent: int):
         kinds = [pa.int64()] * 4 + [pa.binary()] * 2
         names = ["n_tokens", "sum_a", "sum_b", "n_shared", "tokens", "classes"]
         arrays = [pa.array(c, k) for c, k in zip(rows, kinds)]
-        return pa.Table.from_arrays([docs["id"], *arrays], names=["id", *names])
+        return pa.Table.from_arrays(
+            [docs["id"], docs["text_hash"], *arrays], names=["id", "text_hash", *names]
+        )
 
     return run
 
 
+def text_hash(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def token_sets(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT
 ) -> DataFrame:
     """One row per document; the tokens it shares only where it may have a partner."""
     plan = X.plan_for(docs, text_col)
-    blocks = X.in_blocks(docs, plan, id_col, text_col)
+    blocks = X.in_blocks(docs, plan, id_col, text_col).withColumn("text_hash", text_hash(F.col("text")))
     sent = blocks.groupBy("block").applyInArrow(_send_block(plan), X.SENT)
     answers = X.answer(sent, plan, WIDTH, "<u4", _frequency_class)
     return stage_table(
@@ -359,44 +367,82 @@ def link_components(sets: DataFrame, percent: int = PERCENT) -> DataFrame | None
         turn, small = turn + 1, max(SMALL_KEY, 8 * small)
 
 
-def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT
-) -> DataFrame:
-    """(id, n_shingles, component_id): the smallest id reachable over links."""
+def _answered(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+    """(id, text_hash, n_tokens, component_id, stays) for every row.
+
+    ``stays``: whether a row is its component's document with the smallest id; of several
+    sets under that id the one with the most tokens. Without any id: the smallest hash.
+    """
     rows = token_sets(docs, id_col, text_col, percent)
     same = ["n_tokens", "sum_a", "sum_b"]
     classes = stage_table(
-        rows.where("n_tokens > 0").groupBy(*same).agg(F.min("id").alias("rep")), "equal-sets"
+        rows.where("n_tokens > 0")
+        .groupBy(*same)
+        .agg(F.min("id").alias("low"), F.min("text_hash").alias("low_hash"))
+        .withColumn("rep", F.monotonically_increasing_id()),
+        "equal-sets",
     )
-    one = Window.partitionBy("id").orderBy(F.desc("n_tokens"), "sum_a", "sum_b")
     reps = stage_table(
-        rows.where("tokens IS NOT NULL AND id IS NOT NULL")
+        rows.where("tokens IS NOT NULL")
         .join(classes, same)
-        .where("id = rep")
-        .dropDuplicates(["id", *same])
-        .withColumn("_n", F.row_number().over(one))
-        .where("_n = 1")
-        .select("id", "n_tokens", "tokens", "classes"),
+        .where("id <=> low")
+        .dropDuplicates(["rep"])
+        .select(F.col("rep").alias("id"), "n_tokens", "tokens", "classes"),
         "representatives",
     )
     labels = link_components(reps, percent)
-    answers = classes.withColumn("component_id", F.col("rep"))
+    answers = classes.withColumns({"component_id": F.col("low"), "first": F.col("rep")})
     if labels is not None:
-        answers = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn(
-            "component_id", F.coalesce("component", "rep")
+        linked = classes.join(labels.withColumnRenamed("id", "rep"), "rep")
+        order = F.struct(
+            F.col("low").isNull(), "low", -F.col("n_tokens"), "sum_a", "sum_b", "rep"
+        )
+        firsts = linked.groupBy("component").agg(
+            F.min("low").alias("component_id"), F.min(order)["rep"].alias("first")
+        )
+        found = labels.join(firsts, "component").select(
+            F.col("id").alias("rep"), "component_id", "first"
         )
-    answers = answers.select(*same, "component_id")
+        answers = classes.join(found, "rep", "left").withColumns(
+            {
+                "component_id": F.when(F.col("first").isNull(), F.col("low")).otherwise(
+                    F.col("component_id")
+                ),
+                "first": F.coalesce("first", "rep"),
+            }
+        )
+    answers = answers.select(*same, "component_id", "low", "low_hash", "rep", "first")
+    by_row = (F.col("rep") == F.col("first")) & F.col("id").eqNullSafe(F.col("low"))
+    by_row &= F.col("low").isNotNull() | (F.col("text_hash") == F.col("low_hash"))
     return rows.join(answers, same, "left").select(
         "id",
-        F.col("n_tokens").alias("n_shingles"),
+        "text_hash",
+        "n_tokens",
         F.coalesce("component_id", "id").alias("component_id"),
+        (F.col("rep").isNull() | by_row).alias("stays"),
+    )
+
+
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT
+) -> DataFrame:
+    """(id, n_shingles, component_id): the smallest id reachable over links."""
+    return _answered(docs, id_col, text_col, percent).select(
+        "id", F.col("n_tokens").alias("n_shingles"), "component_id"
     )
 
 
 def one_of_each(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT
 ) -> DataFrame:
-    """``docs`` without those that are linked, over others too, to a smaller id."""
-    answers = near_duplicates(docs, id_col, text_col, percent)
-    dropped = answers.where("component_id != id").select(F.col("id").alias(id_col)).distinct()
-    return docs.join(dropped, id_col, "left_anti").select(*docs.columns)
+    """``docs`` without those that are linked, over others too, to a smaller id.
+
+    Of texts under one id, and of texts without any, one of each component stays.
+    """
+    answers = _answered(docs, id_col, text_col, percent)
+    dropped = answers.where("NOT stays").select("id", "text_hash").distinct()
+    dropped = dropped.toDF("_gone_id", "_gone_hash")
+    same = docs[id_col].cast("long").eqNullSafe(dropped["_gone_id"]) & (
+        text_hash(docs[text_col]) == dropped["_gone_hash"]
+    )
+    return docs.join(dropped, same, "left_anti").select(*docs.columns)
