@@ -194,6 +194,24 @@ def test_gaps_are_closed_by_exchange(spark):
     assert placed.count() == 3_000
 
 
+def test_exchange_goes_on_to_one_partition(spark, monkeypatch):
+    rng = random.Random(6)
+    rows = [(k, rng.choice([5, 9, 13, 17, 33, 40, 60])) for k in range(1_000)]
+    pieces = spark.createDataFrame(rows, "number long, length long")
+    packed, over = packing._packed, []
+
+    def with_gaps(rows, n, *rest):
+        over.append(n)
+        return packed(rows, n, *rest).withColumn("gap", F.lit(1).cast("long"))
+
+    monkeypatch.setattr(packing, "_packed", with_gaps)
+    parts = packing.pack(pieces, capacity=100, part_pieces=10)
+    told = packing.certificate(pieces, parts, 100)
+    assert over == [100, 50, 25, 13, 7, 4, 2, 1]
+    assert check_places(parts.join(pieces, "number").collect(), 100) == told["sequences"]
+    assert parts.count() == 1_000
+
+
 def test_sequences_hold_the_ids(spark):
     docs = spark.createDataFrame([(1, "a b c"), (2, "d e")], "doc_id long, text string")
     cut = packing.pieces(docs, queries.tokenizer_path(), with_ids=True)

@@ -9,7 +9,8 @@
 3. Partitions with a gap exchange documents: the pieces of their bins that are not
    full are dealt out anew over half as many partitions and packed again. A
    round's packing is taken when it needs fewer bins than before. Rounds end with
-   the gaps, or when one brings nothing.
+   the gaps, or with one partition; one that brings nothing is followed by one over
+   half as many partitions.
 
 What moves is narrow (piece, length); texts and ids are never shuffled. Lengths
 are whole numbers up to ``capacity``, so a histogram describes a partition to the
@@ -36,7 +37,6 @@ from webloom.session import stage_table
 CAPACITY = 2048
 END_ID = 0
 PART_PIECES = 200_000
-MAX_ROUNDS = 6
 
 
 def pieces(
@@ -182,7 +182,7 @@ def pack(
     all_pieces: DataFrame,
     capacity: int = CAPACITY,
     part_pieces: int = PART_PIECES,
-    max_rounds: int = MAX_ROUNDS,
+    max_rounds: int | None = None,
 ) -> DataFrame:
     """(number, sequence_id, offset) for pieces (number, length).
 
@@ -197,20 +197,21 @@ def pack(
     if parts == 0:
         return full
     placed = _packed(rest, parts, capacity, 0)
-    for turn in range(1, max_rounds + 1):
+    turn, over = 0, parts
+    while max_rounds is None or turn < max_rounds:
         open_rows = placed.where((F.col("gap") > 0) & (F.col("room") > 0))
         before, gap_parts = open_rows.select(
             F.count_distinct("sequence_id"), F.count_distinct("part")
         ).first()
         if not before:
             break
-        again = _packed(open_rows, -(-gap_parts // 2), capacity, turn)
+        turn, over = turn + 1, -(-min(over, gap_parts) // 2)
+        again = _packed(open_rows, over, capacity, turn)
         after = again.select(F.count_distinct("sequence_id")).first()[0]
-        if after >= before:
-            break
-        done = placed.where(~((F.col("gap") > 0) & (F.col("room") > 0)))
-        placed = stage_table(done.unionByName(again), f"placed-{turn}")
-        if gap_parts == 1:
+        if after < before:
+            done = placed.where(~((F.col("gap") > 0) & (F.col("room") > 0)))
+            placed = stage_table(done.unionByName(again), f"placed-{turn}")
+        if over == 1:
             break
     return full.unionByName(placed.select("number", "sequence_id", "offset"))
 
