@@ -9,6 +9,7 @@ from webloom.llm import (
     chat_repair,
     exact_dedup,
     licences,
+    merkle,
     mixing,
     near_dups,
     neighbours,
@@ -17,6 +18,7 @@ from webloom.llm import (
     repeats,
     url_globs,
 )
+from webloom.llm.check_sql import OP11_SQL
 from webloom.plans.registry import query
 
 THRESHOLD = 0.3
@@ -234,3 +236,26 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten nearest vectors of every hundredth one."""
     found = neighbours.neighbours(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
     return found.withColumnRenamed("id", "vec_id")
+
+
+def tampered(doc_id: Column, n_chars: Column) -> Column:
+    """``n_chars``, one more where 7 divides the crc32 of the id."""
+    more = (n_chars.cast("decimal(20,0)") + 1).cast("string")
+    return F.when(F.crc32(doc_id.cast("string")) % 7 == 0, more).otherwise(n_chars.cast("string"))
+
+
+@query("op11_merkle", OP11_SQL)
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proof of every document, and whether its tampered row still leads to the root."""
+    docs = table(spark, sf_dir, "documents")
+    c = {n: F.col(n) for n in ("doc_id", "source", "lang", "n_chars", "text")}
+    claim = merkle.leaf_hash(*(c | {"n_chars": tampered(c["doc_id"], c["n_chars"])}).values())
+    found = merkle.proofs(merkle.build(docs, list(c), extra={"claim": claim}))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.col("hash").alias("leaf"),
+        "subroot",
+        "root",
+        merkle.proof_digest(F.col("siblings")).alias("proof_sha256"),
+        merkle.fold(F.col("claim"), F.col("siblings"), F.col("left")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
