@@ -67,3 +67,38 @@ SELECT d.doc_id, d.leaf, r.subroot, w.root, coalesce(p.proof, sha256('')) AS pro
 FROM d JOIN subroots r ON r.lang IS NOT DISTINCT FROM d.lang CROSS JOIN whole w
   LEFT JOIN proof p ON p.doc_id = d.doc_id JOIN f2 f ON f.doc_id = d.doc_id AND f.lvl = w.height
 """
+
+
+OP13_SQL = f"""
+WITH t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (
+  SELECT c, c - c % 20 AS base, {crc32('c::varchar')} % 4 AS h FROM (SELECT DISTINCT c FROM t)),
+r AS (
+  SELECT c.c, t.pos, t.role, t.text FROM c JOIN t ON t.c = c.base AND t.pos < c.h
+  UNION ALL SELECT c.c, t.pos, t.role, t.text FROM c JOIN t ON t.c = c.c AND t.pos >= c.h),
+p AS (
+  SELECT c, row_number() OVER w AS depth, list(role || chr(0) || text) OVER w AS path, text,
+    row_number() OVER w = count(*) OVER (PARTITION BY c) AS ends
+  FROM r WINDOW w AS (PARTITION BY c ORDER BY pos)),
+s AS (
+  SELECT c, depth, path, text, ends FROM p UNION ALL
+  SELECT c, 0, [], '', NOT EXISTS (FROM r WHERE r.c = c.c) FROM c),
+n AS (
+  SELECT path, depth, min(c) AS conv_id, count(*) AS n_convs,
+    (count(*) - 1) * len(list_filter(string_split_regex(min(text), '[ \\t-\\r]+'), lambda w: w <> '')) AS saved,
+    sha256(coalesce(string_agg(c::varchar, ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256
+  FROM s GROUP BY path, depth),
+k AS (
+  SELECT n.*, u.conv_id AS parent_conv_id, coalesce(x.n_children, 0) AS n_children
+  FROM n LEFT JOIN n u ON u.depth = n.depth - 1 AND u.path = n.path[:n.depth - 1]
+    LEFT JOIN (SELECT path[:depth - 1] AS path, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1) x
+    ON x.path = n.path),
+u AS (
+  SELECT path[:unnest(range(0, depth + 1))] AS path, saved, (n_children = 0)::bigint AS leaf FROM k),
+a AS (SELECT path, sum(leaf)::bigint AS n_leaves, sum(saved)::bigint AS saved_tokens FROM u GROUP BY path)
+SELECT conv_id, depth::bigint AS depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
+FROM k JOIN a ON a.path = k.path
+"""

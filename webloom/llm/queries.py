@@ -14,11 +14,12 @@ from webloom.llm import (
     near_dups,
     neighbours,
     packing,
+    prefix_trie,
     quality_fm,
     repeats,
     url_globs,
 )
-from webloom.llm.check_sql import OP11_SQL
+from webloom.llm.check_sql import OP11_SQL, OP13_SQL
 from webloom.plans.registry import query
 
 THRESHOLD = 0.3
@@ -259,3 +260,23 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
         merkle.proof_digest(F.col("siblings")).alias("proof_sha256"),
         merkle.fold(F.col("claim"), F.col("siblings"), F.col("left")).alias("folded_root"),
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query("op13_prefix_trie", OP13_SQL)
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trie over conversations whose first turns come from the first one of their twenty."""
+    rows = prefix_trie.turn_rows(table(spark, sf_dir, "conversations"))
+    heads = F.crc32(F.col("c").cast("string")) % 4
+    base = F.col("c") - F.col("c") % 20
+    paths, lengths = prefix_trie.with_shared_heads(rows, prefix_trie.conversations(rows), base, heads, 3)
+    nodes = prefix_trie.trie(paths, lengths)
+    return nodes.select(
+        "conv_id",
+        F.col("d").alias("depth"),
+        "parent_conv_id",
+        "n_convs",
+        "n_children",
+        "n_leaves",
+        "saved_tokens",
+        "ends_sha256",
+    )
