@@ -14,7 +14,7 @@ def names():
 
 def test_all_are_registered():
     found = {n.split("_")[0] for n in entry.queries()}
-    assert {f"op{k}" for k in range(1, 11)} | {"pipeline"} <= found
+    assert {f"op{k}" for k in range(1, 14)} | {"pipeline"} <= found
 
 
 @pytest.mark.parametrize("name", names())

@@ -17,6 +17,7 @@ from webloom.llm import (
     prefix_trie,
     quality_fm,
     repeats,
+    toxicity,
     url_globs,
 )
 from webloom.llm.check_sql import OP11_SQL, OP13_SQL
@@ -262,6 +263,22 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+TOXIC = 0.5
+
+
+@query("op12_toxicity")
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id")))
+    return toxicity.score(docs, toxicity.train(docs, labels), keep=["doc_id"]).select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= TOXIC).cast("int").alias("predicted"),
+    )
+
+
 @query("op13_prefix_trie", OP13_SQL)
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trie over conversations whose first turns come from the first one of their twenty."""
