@@ -55,7 +55,7 @@ def _sum_scores(weighted: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def _exact_urls(query: Column) -> Column:
+def exact_urls(query: Column) -> Column:
     """The addresses that a query may be the exact spelling of."""
     q = F.btrim(query)
     return F.array(q, F.concat(F.lit("https://"), q))
@@ -63,7 +63,7 @@ def _exact_urls(query: Column) -> Column:
 
 def with_url_flags(hits: DataFrame, query: Column) -> DataFrame:
     """``exact``: the URL is the query, with or without scheme; ``partial``: contains it."""
-    exact = F.array_contains(_exact_urls(query), F.col("url"))
+    exact = F.array_contains(exact_urls(query), F.col("url"))
     return hits.withColumn("exact", exact.cast("int")).withColumn(
         "partial", F.col("url").contains(F.btrim(query)).cast("int")
     )
@@ -213,6 +213,18 @@ def search_batch(
     found = contributions.groupBy("query_id", "doc_key").agg(
         F.sum("content_score").alias("content_score"), F.sum("matches").alias("matches")
     )
+    return best_hits(found, mappings, texts, per_text, queries, k)
+
+
+def best_hits(
+    found: DataFrame,
+    mappings: DataFrame,
+    texts: DataFrame,
+    per_text: DataFrame,
+    queries: DataFrame,
+    k: int,
+) -> DataFrame:
+    """Ranked hits per query of ``queries`` from the scores ``found`` per distinct text."""
     # Documents lie where their sums are, so the mappings come to them. All six levels are
     # known before the cut: each task sends its first k per query, ties broken.
     hits = found.join(mappings, "doc_key").join(

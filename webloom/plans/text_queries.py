@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webloom.functions import text as txt
-from webloom.operators import index, search
+from webloom.operators import blocks, bounded, index, search, segments
 from webloom.operators.tagging import with_url
 from webloom.plans import inputs
 from webloom.plans import oracle_parts as o
 from webloom.plans.page_queries import TAGGED_CTES
 from webloom.plans.registry import query
-from webloom.session import stage_table
+from webloom.session import scratch_path, stage_table
 
 SEARCH_TEXT = "thand  Étre the ention"
 TERMS = search.terms_of(SEARCH_TEXT)
@@ -161,9 +161,7 @@ def search_flags(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query(
-    "search_batch",
-    f"""WITH {_INDEX}, {o.DOCUMENT_MAPPINGS},
+SEARCH_BATCH_SQL = f"""WITH {_INDEX}, {o.DOCUMENT_MAPPINGS},
 terms AS (SELECT DISTINCT item_id AS query_id, unnest(string_split_regex(lower(text), '\\s+')) AS term
   FROM benchmark),
 wanted AS (SELECT DISTINCT query_id, token, idf FROM terms JOIN idf
@@ -177,8 +175,10 @@ flagged AS (SELECT s.*, m.*, (m.url = trim(b.text) OR m.url = 'https://' || trim
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY {o.RANK_ORDER}) AS rank
   FROM flagged)
 SELECT query_id, rank, url, title, round(content_score, 2) AS score, matches::bigint AS matches,
-  external_refs AS popularity, pagerank FROM ranked WHERE rank <= 100""",
-)
+  external_refs AS popularity, pagerank FROM ranked WHERE rank <= 100"""
+
+
+@query("search_batch", SEARCH_BATCH_SQL)
 def search_batch(spark: SparkSession, sf: str) -> DataFrame:
     """Every benchmark text as a query."""
     queries = inputs.table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
@@ -189,6 +189,62 @@ def search_batch(spark: SparkSession, sf: str) -> DataFrame:
     return found.withColumn("rank", F.col("rank").cast("bigint"))
 
 
+@query("search_batch_bounded", SEARCH_BATCH_SQL)
+def search_batch_bounded(spark: SparkSession, sf: str) -> DataFrame:
+    """Every benchmark text as a query, with posting blocks opened by their bounds."""
+    queries = inputs.table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    docs = inputs.documents(spark, sf)
+    placed = blocks.with_blocks(docs, F.octet_length("text"))
+    forward = stage_table(
+        blocks.forward_rows(placed).withColumn("seq", F.lit(1).cast("bigint")), "forward-rows"
+    )
+    stored = stage_table(blocks.posting_blocks(forward), "posting-blocks")
+    freqs = stored.groupBy("token").agg(F.sum("n").alias("doc_freq"))
+    idf = stage_table(index.idf(freqs, docs), "idf")
+    places = forward.select("doc_key", "seq", "block")
+    found = bounded.search_batch(stored, places, idf, inputs.document_mappings(spark, sf), queries)
+    return found.hits.withColumn("rank", F.col("rank").cast("bigint"))
+
+
+# Keys of documents that the second batch adds start here.
+ADDED = 10_000_000_000
+
+FINAL_DOCUMENTS = f"""final AS (
+  SELECT doc_id, CASE WHEN doc_id % 70 = 0 THEN 'back ' || source || ' ' || lang
+    WHEN doc_id % 10 = 0 THEN 'changed ' || text ELSE text END AS text
+  FROM documents WHERE doc_id % 7 <> 0 OR doc_id % 70 = 0
+  UNION ALL SELECT doc_id + {ADDED}, text FROM documents WHERE doc_id % 25 = 1)"""
+
+
+@query(
+    "index_segments",
+    f"""WITH {FINAL_DOCUMENTS}, {o.index_ctes("final", "doc_id")}
+SELECT token, doc_freq, round(idf, 6) AS idf, sum(tf)::bigint AS n,
+  sum(doc_key % 1000003 * tf)::bigint AS marks
+FROM tf JOIN idf USING (token) GROUP BY ALL""",
+)
+def index_segments(spark: SparkSession, sf: str) -> DataFrame:
+    """The index after three batches: all documents; changed and added ones; removed and
+    returning ones. ``marks`` tells which documents a token's postings are of."""
+    docs = inputs.table(spark, sf, "documents")
+    key, text = F.col("doc_id").alias("doc_key"), F.col("text")
+    store = segments.from_documents(
+        spark, scratch_path(spark, "index"), docs.select(key, "text")
+    )
+    changed = docs.where("doc_id % 10 = 0").select(key, F.concat(F.lit("changed "), text).alias("text"))
+    added = docs.where("doc_id % 25 = 1").select((F.col("doc_id") + ADDED).alias("doc_key"), "text")
+    store.apply(changed.unionByName(added))
+    back = docs.where("doc_id % 70 = 0").select(
+        key, F.concat(F.lit("back "), "source", F.lit(" "), "lang").alias("text")
+    )
+    store.apply(back, docs.where("doc_id % 7 = 0").select(key))
+    mark = F.col("doc_key") % 1000003 * F.col("tf")
+    per_token = store.postings().groupBy("token").agg(F.sum("tf").alias("n"), F.sum(mark).alias("marks"))
+    return per_token.join(store.idf(), "token").select(
+        "token", "doc_freq", F.round("idf", 6).alias("idf"), "n", "marks"
+    )
+
+
 DOC_TEXT = """concat_ws(' ', domain, regexp_replace(real_path, '[/-]', ' ', 'g'),
   'https://' || domain || real_path, array_to_string(tags, ' '), array_to_string(h1, ' '),
   array_to_string(h2, ' '), array_to_string(p, ' '))"""
