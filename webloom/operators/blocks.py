@@ -13,9 +13,12 @@ from pyspark.sql import functions as F
 from webloom.functions import text as txt
 
 # Documents per block, a power of two.
-BLOCK_BITS = 8
+BLOCK_BITS = 6
 BLOCK_DOCS = 1 << BLOCK_BITS
-FORWARD = "seq bigint, doc_key bigint, block bigint, size bigint, terms array<string>, tfs array<int>"
+FORWARD = (
+    "seq bigint, doc_key bigint, block bigint, size bigint, length bigint, "
+    "terms array<string>, tfs array<int>"
+)
 POSTING_BLOCK = (
     "token string, seq bigint, block bigint, n int, max_tf int, doc_keys array<bigint>, tfs array<int>"
 )
@@ -37,7 +40,8 @@ def _runs(ordered: Column) -> Column:
 
 
 def forward_rows(docs: DataFrame, token_chars: str = txt.TOKEN_CHARS) -> DataFrame:
-    """``docs`` (doc_key, text, …) with distinct ``terms`` and their ``tfs`` for the text.
+    """``docs`` (doc_key, text, …) with distinct ``terms`` and their ``tfs`` for the text, its
+    ``size`` in bytes and its ``length`` in tokens.
 
     A document's row is all it takes: nothing is exploded or shuffled.
     """
@@ -45,17 +49,20 @@ def forward_rows(docs: DataFrame, token_chars: str = txt.TOKEN_CHARS) -> DataFra
     none = F.struct(
         F.array().cast("array<string>").alias("terms"), F.array().cast("array<int>").alias("tfs")
     )
-    tokens = F.sort_array(
-        F.coalesce(txt.token_array(F.col("text"), token_chars), F.array().cast("array<string>"))
-    )
+    tokens = F.coalesce(txt.token_array(F.col("text"), token_chars), F.array().cast("array<string>"))
     # The array is a lambda variable, so that it is sorted once.
     found = F.transform(
-        F.array(tokens), lambda t: F.when(F.size(t) > 0, _runs(t)).otherwise(none)
+        F.array(F.sort_array(tokens)), lambda t: F.when(F.size(t) > 0, _runs(t)).otherwise(none)
     )
     return (
         docs.withColumn("_found", F.get(found, F.lit(0)))
-        .select(*others, F.octet_length("text").cast("bigint").alias("size"), "_found.terms", "_found.tfs")
-        .withColumn("size", F.coalesce("size", F.lit(0)))
+        .select(
+            *others,
+            F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("size"),
+            "_found.terms",
+            "_found.tfs",
+        )
+        .withColumn("length", F.aggregate("tfs", F.lit(0).cast("bigint"), lambda a, n: a + n))
     )
 
 

@@ -1,7 +1,10 @@
 """Batch search that opens only posting blocks which can matter.
 
 What a block can add to a score is at most the sum, over a query's tokens, of IDF times the
-block's greatest frequency. Blocks with the greatest bounds are opened first; the k-th best
+block's greatest frequency. No document has all of these at once: with L tokens in its longest
+document, a block gives at most t * L plus the same sum with IDF lessened by t, for any t
+(``LEVELS``), since a document's frequencies add up to L at most. And no document gives more than the weight
+of all its tokens, whose maximum per block is kept with the IDF (``block_weights``). Blocks with the greatest bounds are opened first; the k-th best
 score in them is a score to beat, and of all other blocks only those are opened whose bound
 reaches it. Bounds are per block, so no pair of a query and a document is formed for what
 stays closed. Documents whose address is the query come before all scores; their blocks
@@ -19,8 +22,12 @@ from webloom.operators import blocks, search
 from webloom.session import stage_table
 
 BLOCK = ["seq", "block"]
+# Values of t for the bound.
+LEVELS = (0.0, 0.5, 1.0, 1.5, 2.0, 3.0, 4.0, 5.0, 6.0, 8.0)
+# The blocks opened first hold so many times k documents: the more, the higher the score to beat.
+FIRST = 6
 # A score that is rounded up may exceed its bound by that much.
-_SLACK = 10.0**-search.SCORE_DIGITS
+_SLACK = 2 * 10.0**-search.SCORE_DIGITS
 
 
 @dataclass
@@ -34,19 +41,42 @@ class Found:
     second: DataFrame
 
 
-def _bounds(index: DataFrame, matches: DataFrame, wanted: DataFrame) -> DataFrame:
+def block_weights(index: DataFrame, idf: DataFrame) -> DataFrame:
+    """(seq, block, weight): greatest sum of tf * idf of a document; as long-lived as the IDF."""
+    weighed = index.select("token", *BLOCK, "doc_keys", "tfs").join(idf.select("token", "idf"), "token")
+    per_doc = (
+        blocks.opened(weighed, "idf", *BLOCK)
+        .groupBy(*BLOCK, "doc_key")
+        .agg(F.sum(F.col("tf") * F.col("idf")).alias("weight"))
+    )
+    return per_doc.groupBy(*BLOCK).agg(F.max("weight").alias("weight"))
+
+
+def _bounds(
+    index: DataFrame, matches: DataFrame, wanted: DataFrame, limits: DataFrame
+) -> DataFrame:
     """(query_id, seq, block, bound, least): ``least`` is a number of documents that match at least."""
+    over = lambda t: F.col("max_tf") * F.greatest(F.col("idf") - t, F.lit(0.0))
     per_term = (
         index.select("token", *BLOCK, "n", "max_tf")
         .join(matches, "token")
         .groupBy("term", *BLOCK)
-        .agg(F.sum(F.col("max_tf") * F.col("idf")).alias("bound"), F.max("n").alias("least"))
+        .agg(
+            *[F.sum(over(t)).alias(f"over{k}") for k, t in enumerate(LEVELS)],
+            F.max("n").alias("least"),
+        )
     )
-    return (
+    whole = (
         per_term.join(wanted, "term")
         .groupBy("query_id", *BLOCK)
-        .agg(F.sum("bound").alias("bound"), F.max("least").alias("least"))
+        .agg(
+            *[F.sum(f"over{k}").alias(f"over{k}") for k in range(len(LEVELS))],
+            F.max("least").alias("least"),
+        )
     )
+    each = [F.col(f"over{k}") + F.lit(t) * F.col("length") for k, t in enumerate(LEVELS)]
+    bound = F.least("weight", *each)
+    return whole.join(limits, BLOCK).select("query_id", *BLOCK, bound.alias("bound"), "least")
 
 
 def _first_blocks(bounds: DataFrame, k: int) -> DataFrame:
@@ -83,6 +113,7 @@ def _open(
 def search_batch(
     index: DataFrame,
     places: DataFrame,
+    weights: DataFrame,
     idf: DataFrame,
     mappings: DataFrame,
     queries: DataFrame,
@@ -91,7 +122,8 @@ def search_batch(
 ) -> Found:
     """First ``k`` hits for every query of ``queries(query_id, text)``.
 
-    ``index``: stored posting blocks; ``places``: (doc_key, seq, block) of the documents;
+    ``index``: stored posting blocks; ``places``: (doc_key, seq, block, length) of the documents;
+    ``weights``: ``block_weights`` of this index and IDF, stored;
     ``counting`` drops opened postings (doc_key, seq, …) of documents that no longer count.
     """
     per_text = stage_table(
@@ -101,14 +133,16 @@ def search_batch(
     term_rows = search.query_term_rows(texts)
     wanted = stage_table(term_rows, "query-terms")
     matches = stage_table(search.term_tokens(term_rows, idf.select("token", "idf")), "term-tokens")
-    bounds = stage_table(_bounds(index, matches, wanted), "block-bounds")
+    lengths = places.groupBy(*BLOCK).agg(F.max("length").alias("length"))
+    limits = lengths.join(weights, BLOCK)
+    bounds = stage_table(_bounds(index, matches, wanted, limits), "block-bounds")
     address = texts.select("query_id", F.explode(F.array_distinct(search.exact_urls(F.col("text")))).alias("url"))
     exact = stage_table(
         address.join(mappings.select("url", "doc_key"), "url").select("query_id", "doc_key"), "exact-hits"
     )
     forced = exact.join(places, "doc_key").select("query_id", *BLOCK)
     forced = forced.join(bounds.select("query_id", *BLOCK), ["query_id", *BLOCK], "left_semi")
-    first = stage_table(_first_blocks(bounds, k).unionByName(forced).distinct(), "first-blocks")
+    first = stage_table(_first_blocks(bounds, FIRST * k).unionByName(forced).distinct(), "first-blocks")
     seen = stage_table(_open(index, matches, wanted, first, counting), "first-scores")
     score = F.round("content_score", search.SCORE_DIGITS)
     w = Window.partitionBy("query_id").orderBy(F.desc("score"))
@@ -126,7 +160,8 @@ def search_batch(
         .select("query_id", *BLOCK),
         "second-blocks",
     )
-    found = seen.unionByName(_open(index, matches, wanted, second, counting))
+    more = stage_table(_open(index, matches, wanted, second, counting), "second-scores")
+    found = seen.unionByName(more)
     contenders = (
         found.join(kth, "query_id", "left")
         .join(exact.withColumn("asked", F.lit(True)), ["query_id", "doc_key"], "left")

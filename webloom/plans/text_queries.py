@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webloom.functions import text as txt
-from webloom.operators import blocks, bounded, index, search, segments
+from webloom.operators import blocks, bounded, dictionary, index, search, segments
 from webloom.operators.tagging import with_url
 from webloom.plans import inputs
 from webloom.plans import oracle_parts as o
@@ -201,8 +201,10 @@ def search_batch_bounded(spark: SparkSession, sf: str) -> DataFrame:
     stored = stage_table(blocks.posting_blocks(forward), "posting-blocks")
     freqs = stored.groupBy("token").agg(F.sum("n").alias("doc_freq"))
     idf = stage_table(index.idf(freqs, docs), "idf")
-    places = forward.select("doc_key", "seq", "block")
-    found = bounded.search_batch(stored, places, idf, inputs.document_mappings(spark, sf), queries)
+    places = forward.select("doc_key", "seq", "block", "length")
+    weights = stage_table(bounded.block_weights(stored, idf), "block-weights")
+    mappings = inputs.document_mappings(spark, sf)
+    found = bounded.search_batch(stored, places, weights, idf, mappings, queries)
     return found.hits.withColumn("rank", F.col("rank").cast("bigint"))
 
 
@@ -245,6 +247,20 @@ def index_segments(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "tag_dictionary_join",
+    """WITH names AS (SELECT DISTINCT lower(p_name) AS name FROM part),
+words AS (SELECT name AS word FROM names UNION SELECT unnest(string_split(name, ' ')) FROM names)
+SELECT doc_id, word FROM documents JOIN words ON contains(lower(text), word) WHERE word <> ''""",
+)
+def tag_dictionary_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Names of parts, and the words in them, wherever they stand in a document."""
+    names = inputs.table(spark, sf, "part").select(F.lower("p_name").alias("word")).distinct()
+    words = names.unionByName(names.select(F.explode(F.split("word", " ")).alias("word")))
+    docs = inputs.documents(spark, sf).withColumn("text", F.lower("text"))
+    return dictionary.dictionary_join(docs, words).withColumnRenamed("doc_key", "doc_id")
+
+
 DOC_TEXT = """concat_ws(' ', domain, regexp_replace(real_path, '[/-]', ' ', 'g'),
   'https://' || domain || real_path, array_to_string(tags, ' '), array_to_string(h1, ' '),
   array_to_string(h2, ' '), array_to_string(p, ' '))"""
