@@ -61,15 +61,12 @@ def word_grams(words: DataFrame, q: int) -> DataFrame:
     return words.select("word", F.explode(own).alias("gram"))
 
 
-def anchors(docs: DataFrame, words: DataFrame, lengths: list[int], q: int) -> DataFrame:
+def anchors(met: DataFrame, per_word: DataFrame) -> DataFrame:
     """(gram, word): the rarest gram of each word, counted over all texts.
 
     A word with a gram that no text has occurs nowhere and has no anchor.
     """
-    per_word = stage_table(word_grams(words, q), "word-grams")
-    known = per_word.select("gram").distinct()
-    freqs = text_grams(docs, lengths, known).groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-    freqs = stage_table(freqs.join(known, "gram", "left_semi"), "gram-frequencies")
+    freqs = met.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
     rarest = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("rarest")
     best = per_word.join(freqs, "gram", "left").groupBy("word").agg(rarest)
     return best.where("rarest.n > 0").select("rarest.gram", "word")
@@ -85,8 +82,10 @@ def dictionary_join(docs: DataFrame, words: DataFrame, q: int = GRAM) -> DataFra
     lengths = sorted(r["n"] for r in short)
     if not lengths:
         return docs.limit(0).join(words, F.lit(True)).select("doc_key", "word")
-    chosen = stage_table(anchors(docs, words, lengths, q), "anchors")
-    met = text_grams(docs, lengths, chosen.select("gram").distinct())
+    per_word = stage_table(word_grams(words, q), "word-grams")
+    # Texts are cut once; what the filter lets pass is at most a gram per place in a text.
+    met = stage_table(text_grams(docs, lengths, per_word.select("gram").distinct()), "text-grams")
+    chosen = stage_table(anchors(met, per_word), "anchors")
     # A frequent gram fills rows on the left, where the join splits it.
     candidates = stage_table(met.join(chosen, "gram").select("doc_key", "word"), "dictionary-candidates")
     found = candidates.join(docs, "doc_key").where(F.col("text").contains(F.col("word")))
