@@ -111,11 +111,9 @@ def test_bad_batches_publish_nothing(spark, tmp_path):
 
 def built(spark, docs):
     placed = blocks.with_blocks(docs, F.octet_length("text"))
-    forward = stage_table(
-        blocks.forward_rows(placed).withColumn("seq", F.lit(1).cast("bigint")), "forward"
-    )
-    stored = stage_table(blocks.posting_blocks(forward), "blocks")
-    freqs = stored.groupBy("token").agg(F.sum("n").alias("doc_freq"))
+    forward = stage_table(blocks.forward_rows(placed, 1), "forward")
+    stored = stage_table(blocks.postings_of(forward), "postings")
+    freqs = stored.groupBy("token").agg(F.count(F.lit(1)).alias("doc_freq"))
     idf = stage_table(index.idf(freqs, docs), "idf")
     return forward.select("doc_key", "seq", "block", "length"), stored, idf
 
@@ -136,16 +134,15 @@ def test_bounded_search_opens_few_blocks(spark):
     texts = ["w1", "w2 w3", "w0 w5 w7", "w1", "w59", "", "nothing", "w", "s.example/77", "https://s.example/9 "]
     queries = spark.createDataFrame(list(enumerate(texts)), "query_id long, text string")
     weights = stage_table(bounded.block_weights(stored, idf), "weights")
-    found = bounded.search_batch(stored, places, weights, idf, mappings, queries, k=10)
-    plain = search.search_batch(
-        blocks.opened(stored, "token"), idf, mappings, queries, k=10
-    )
+    table = blocks.block_bounds(stored)
+    found = bounded.search_batch(stored, table, places, weights, idf, mappings, queries, k=10)
+    plain = search.search_batch(stored, idf, mappings, queries, k=10)
     want = sorted(map(tuple, plain.collect()))
     assert sorted(map(tuple, found.hits.collect())) == want and len(want) > 50
     common = F.col("query_id").isin(0, 1, 2)
     all_blocks = found.bounds.where(common).count()
     opened = found.first.where(common).count() + found.second.where(common).count()
-    assert all_blocks > 150 and opened < all_blocks / 2
+    assert all_blocks > 90 and opened < all_blocks / 2
 
 
 def test_bounded_search_on_segments(spark, tmp_path):
@@ -161,15 +158,12 @@ def test_bounded_search_on_segments(spark, tmp_path):
     store.apply(spark.createDataFrame([row(k, t) for k, t in changed.items()], schema), gone)
     idf = stage_table(store.idf(), "idf")
     queries = spark.createDataFrame([(1, "w1 w2"), (2, "w3"), (3, "x.example/9")], "query_id long, text string")
-    places = store.docs().select("doc_key", "seq", "block", "length")
-    weights = stage_table(bounded.block_weights(store.posting_blocks(), idf), "weights")
-    # Bounds of blocks need the longest document of any version.
-    lengths = store._read("docs", store._doc_schema(), store.live())
+    stored = store.stored_postings()
+    weights = stage_table(bounded.block_weights(stored, idf), "weights")
     found = bounded.search_batch(
-        store.posting_blocks(), lengths.select("doc_key", "seq", "block", "length"), weights, idf,
-        store.mappings(), queries, k=15, counting=store.counting,
+        stored, blocks.block_bounds(stored), store.places(), weights, idf, store.mappings(), queries,
+        k=15, counting=store.counting,
     )
-    assert places.count() < lengths.count()
     plain = search.search_batch(store.postings(), idf, store.mappings(), queries, k=15)
     assert sorted(map(tuple, found.hits.collect())) == sorted(map(tuple, plain.collect()))
 

@@ -1,8 +1,9 @@
-"""Posting blocks: the postings of a token in arrays, one per block of documents.
+"""Postings in blocks of documents, with what a block can contribute at most.
 
-A block holds up to ``BLOCK_DOCS`` documents of about the same length, because a token's
-frequency grows with it. Beside its arrays a block's row has their greatest frequency, so a
-search knows what a block can contribute at most without opening it.
+A block holds about ``BLOCK_DOCS`` documents of about the same length, because a token's
+frequency grows with it: documents of one size class are dealt to its blocks by hash, so
+neither a sort nor a shuffle of the texts is needed. ``block_bounds`` has the greatest
+frequency per token and block, so a search knows what a block is worth without opening it.
 """
 
 from __future__ import annotations
@@ -12,94 +13,49 @@ from pyspark.sql import functions as F
 
 from webloom.functions import text as txt
 
-# Documents per block, a power of two.
-BLOCK_BITS = 6
-BLOCK_DOCS = 1 << BLOCK_BITS
-FORWARD = (
-    "seq bigint, doc_key bigint, block bigint, size bigint, length bigint, "
-    "terms array<string>, tfs array<int>"
-)
-POSTING_BLOCK = (
-    "token string, seq bigint, block bigint, n int, max_tf int, doc_keys array<bigint>, tfs array<int>"
-)
+BLOCK_DOCS = 128
+# Size classes per doubling of the size.
+CLASSES = 4
+FORWARD = "seq bigint, doc_key bigint, block bigint, length bigint, tokens array<string>"
+POSTING = "token string, seq bigint, block bigint, doc_key bigint, tf bigint"
 
 
-def _runs(ordered: Column) -> Column:
-    """(terms, tfs) of a sorted token array: where its runs end says how long they are."""
-    n = F.size(ordered)
-    ends = F.filter(
-        F.sequence(F.lit(1), n),
-        lambda i: (i == n) | (F.get(ordered, i) != F.get(ordered, i - 1)),
+def with_blocks(docs: DataFrame, size: Column) -> DataFrame:
+    """``docs`` (doc_key, …) with their ``block``. The driver sees one count per size class."""
+    size_class = F.floor(F.log2(F.coalesce(size, F.lit(0)) + F.lit(1.0)) * CLASSES)
+    counts = docs.groupBy(size_class.alias("_class")).agg(F.count(F.lit(1)).alias("n")).collect()
+    buckets = docs.sparkSession.createDataFrame(
+        [(r["_class"], -(-r["n"] // BLOCK_DOCS)) for r in counts], "_class bigint, _buckets bigint"
     )
-    return F.struct(
-        F.transform(ends, lambda e: F.get(ordered, e - 1)).alias("terms"),
-        F.zip_with(
-            ends, F.concat(F.array(F.lit(0)), F.slice(ends, 1, F.size(ends) - 1)), lambda e, s: e - s
-        ).alias("tfs"),
+    within = F.pmod(F.xxhash64("doc_key"), F.col("_buckets"))
+    # A few hundred rows.
+    return (
+        docs.withColumn("_class", size_class)
+        .join(F.broadcast(buckets), "_class")
+        .withColumn("block", F.shiftleft("_class", 40) + within)
+        .drop("_class", "_buckets")
     )
 
 
-def forward_rows(docs: DataFrame, token_chars: str = txt.TOKEN_CHARS) -> DataFrame:
-    """``docs`` (doc_key, text, …) with distinct ``terms`` and their ``tfs`` for the text, its
-    ``size`` in bytes and its ``length`` in tokens.
-
-    A document's row is all it takes: nothing is exploded or shuffled.
-    """
+def forward_rows(docs: DataFrame, seq: int, token_chars: str = txt.TOKEN_CHARS) -> DataFrame:
+    """``docs`` (doc_key, text, block, …) with ``seq``, the sorted ``tokens`` of the text and their
+    number ``length``; equal tokens lie together, which files store well."""
     others = [c for c in docs.columns if c != "text"]
-    none = F.struct(
-        F.array().cast("array<string>").alias("terms"), F.array().cast("array<int>").alias("tfs")
-    )
     tokens = F.coalesce(txt.token_array(F.col("text"), token_chars), F.array().cast("array<string>"))
-    # The array is a lambda variable, so that it is sorted once.
-    found = F.transform(
-        F.array(F.sort_array(tokens)), lambda t: F.when(F.size(t) > 0, _runs(t)).otherwise(none)
-    )
-    return (
-        docs.withColumn("_found", F.get(found, F.lit(0)))
-        .select(
-            *others,
-            F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("size"),
-            "_found.terms",
-            "_found.tfs",
-        )
-        .withColumn("length", F.aggregate("tfs", F.lit(0).cast("bigint"), lambda a, n: a + n))
-    )
+    return docs.select(
+        *others, F.lit(seq).cast("bigint").alias("seq"), F.sort_array(tokens).alias("tokens")
+    ).withColumn("length", F.size("tokens").cast("bigint"))
 
 
-def with_blocks(rows: DataFrame, size: Column) -> DataFrame:
-    """``rows`` with their ``block``, longest documents first; one range shuffle."""
-    order = [F.desc("_size"), F.asc("doc_key")]
-    return (
-        rows.withColumn("_size", size)
-        .repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("block", F.shiftright(F.monotonically_increasing_id(), BLOCK_BITS))
-        .drop("_size")
-    )
-
+def postings_of(forward: DataFrame) -> DataFrame:
+    """(token, seq, block, doc_key, tf), counted inside tasks before the shuffle."""
+    tokens = forward.select("seq", "block", "doc_key", F.explode("tokens").alias("token"))
+    counted = tokens.groupBy("token", "seq", "block", "doc_key").agg(F.count(F.lit(1)).alias("tf"))
+    return counted.select("token", "seq", "block", "doc_key", "tf")
 
-def posting_blocks(forward: DataFrame) -> DataFrame:
-    """Blocks (``POSTING_BLOCK``) of stored forward rows (seq, block, doc_key, terms, tfs).
 
-    A block's documents lie together, so its arrays are put together before the shuffle.
-    """
-    entries = forward.select(
-        "seq", "block", "doc_key", F.explode(F.arrays_zip("terms", "tfs")).alias("entry")
-    )
-    return (
-        entries.select("seq", "block", "doc_key", F.col("entry.terms").alias("token"), F.col("entry.tfs").alias("tf"))
-        .groupBy("token", "seq", "block")
-        .agg(
-            F.count(F.lit(1)).cast("int").alias("n"),
-            F.max("tf").alias("max_tf"),
-            F.collect_list("doc_key").alias("doc_keys"),
-            F.collect_list("tf").alias("tfs"),
-        )
+def block_bounds(postings: DataFrame) -> DataFrame:
+    """(token, seq, block, n, max_tf) of stored postings."""
+    return postings.groupBy("token", "seq", "block").agg(
+        F.count(F.lit(1)).alias("n"), F.max("tf").alias("max_tf")
     )
-
-
-def opened(blocks: DataFrame, *keep: str) -> DataFrame:
-    """One row per posting: the columns of ``keep``, doc_key, tf."""
-    return blocks.select(
-        *keep, F.explode(F.arrays_zip("doc_keys", "tfs")).alias("entry")
-    ).select(*keep, F.col("entry.doc_keys").alias("doc_key"), F.col("entry.tfs").cast("bigint").alias("tf"))

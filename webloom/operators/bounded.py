@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from webloom.operators import blocks, search
+from webloom.operators import search
 from webloom.session import stage_table
 
 BLOCK = ["seq", "block"]
@@ -43,23 +43,20 @@ class Found:
 
 def block_weights(index: DataFrame, idf: DataFrame) -> DataFrame:
     """(seq, block, weight): greatest sum of tf * idf of a document; as long-lived as the IDF."""
-    weighed = index.select("token", *BLOCK, "doc_keys", "tfs").join(idf.select("token", "idf"), "token")
-    per_doc = (
-        blocks.opened(weighed, "idf", *BLOCK)
-        .groupBy(*BLOCK, "doc_key")
-        .agg(F.sum(F.col("tf") * F.col("idf")).alias("weight"))
+    weighed = index.join(idf.select("token", "idf"), "token")
+    per_doc = weighed.groupBy(*BLOCK, "doc_key").agg(
+        F.sum(F.col("tf") * F.col("idf")).alias("weight")
     )
     return per_doc.groupBy(*BLOCK).agg(F.max("weight").alias("weight"))
 
 
 def _bounds(
-    index: DataFrame, matches: DataFrame, wanted: DataFrame, limits: DataFrame
+    block_table: DataFrame, matches: DataFrame, wanted: DataFrame, limits: DataFrame
 ) -> DataFrame:
     """(query_id, seq, block, bound, least): ``least`` is a number of documents that match at least."""
     over = lambda t: F.col("max_tf") * F.greatest(F.col("idf") - t, F.lit(0.0))
     per_term = (
-        index.select("token", *BLOCK, "n", "max_tf")
-        .join(matches, "token")
+        block_table.join(matches, "token")
         .groupBy("term", *BLOCK)
         .agg(
             *[F.sum(over(t)).alias(f"over{k}") for k, t in enumerate(LEVELS)],
@@ -95,10 +92,10 @@ def _open(
 ) -> DataFrame:
     """(query_id, doc_key, content_score, matches) of the documents in the chosen blocks."""
     terms = chosen.join(wanted, "query_id").select("term", *BLOCK).distinct()
-    # Posting arrays stay where they are unless some term needs their block.
     pairs = terms.join(matches, "term").select("token", *BLOCK, "term", "idf")
-    rows = index.select("token", *BLOCK, "doc_keys", "tfs").join(pairs, ["token", *BLOCK])
-    postings = counting(blocks.opened(rows, "term", "idf", *BLOCK))
+    rows = index.join(pairs, ["token", *BLOCK])
+    # Dealt out by document once; all sums of a document are then taken where they lie.
+    postings = counting(rows.select("doc_key", *BLOCK, "term", "tf", "idf")).repartition("doc_key")
     per_term = postings.groupBy("term", "doc_key", *BLOCK).agg(
         F.sum(F.col("tf") * F.col("idf")).alias("content_score"), F.count(F.lit(1)).alias("matches")
     )
@@ -112,6 +109,7 @@ def _open(
 
 def search_batch(
     index: DataFrame,
+    block_table: DataFrame,
     places: DataFrame,
     weights: DataFrame,
     idf: DataFrame,
@@ -122,7 +120,7 @@ def search_batch(
 ) -> Found:
     """First ``k`` hits for every query of ``queries(query_id, text)``.
 
-    ``index``: stored posting blocks; ``places``: (doc_key, seq, block, length) of the documents;
+    ``index``: stored postings; ``block_table``: their ``blocks.block_bounds``, stored; ``places``: (doc_key, seq, block, length) of the documents;
     ``weights``: ``block_weights`` of this index and IDF, stored;
     ``counting`` drops opened postings (doc_key, seq, …) of documents that no longer count.
     """
@@ -135,7 +133,7 @@ def search_batch(
     matches = stage_table(search.term_tokens(term_rows, idf.select("token", "idf")), "term-tokens")
     lengths = places.groupBy(*BLOCK).agg(F.max("length").alias("length"))
     limits = lengths.join(weights, BLOCK)
-    bounds = stage_table(_bounds(index, matches, wanted, limits), "block-bounds")
+    bounds = stage_table(_bounds(block_table, matches, wanted, limits), "block-bounds")
     address = texts.select("query_id", F.explode(F.array_distinct(search.exact_urls(F.col("text")))).alias("url"))
     exact = stage_table(
         address.join(mappings.select("url", "doc_key"), "url").select("query_id", "doc_key"), "exact-hits"
@@ -160,12 +158,15 @@ def search_batch(
         .select("query_id", *BLOCK),
         "second-blocks",
     )
-    more = stage_table(_open(index, matches, wanted, second, counting), "second-scores")
-    found = seen.unionByName(more)
-    contenders = (
-        found.join(kth, "query_id", "left")
-        .join(exact.withColumn("asked", F.lit(True)), ["query_id", "doc_key"], "left")
-        .where(F.col("kth").isNull() | (score >= F.col("kth")) | F.col("asked"))
-        .drop("kth", "asked")
-    )
+
+    def contending(scores: DataFrame) -> DataFrame:
+        return (
+            scores.join(kth, "query_id", "left")
+            .join(exact.withColumn("asked", F.lit(True)), ["query_id", "doc_key"], "left")
+            .where(F.col("kth").isNull() | (score >= F.col("kth")) | F.col("asked"))
+            .drop("kth", "asked")
+        )
+
+    more = _open(index, matches, wanted, second, counting)
+    contenders = stage_table(contending(seen).unionByName(contending(more)), "contenders")
     return Found(search.best_hits(contenders, mappings, texts, per_text, queries, k), bounds, first, second)

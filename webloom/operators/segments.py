@@ -1,8 +1,8 @@
 """An inverted index that takes changes: segments, a manifest, merge on read, merging by tiers.
 
 A batch of new, changed and removed documents becomes one segment, a folder with
-- ``docs``: forward rows (terms and frequencies) of its documents, with what a hit shows,
-- ``postings``: the same as posting blocks, sorted by token,
+- ``docs``: forward rows (all tokens) of its documents, with what a hit shows,
+- ``postings``: token, document and frequency, sorted by token,
 - ``gone``: keys of documents whose older versions no longer count,
 - ``df``: how the batch changes the document frequency of each token.
 No file of an older segment is written, renamed or deleted by a batch; postings of older
@@ -116,19 +116,24 @@ class Segments:
         """(doc_key, payload) of all documents."""
         return self.docs().select("doc_key", *[name for name, _ in self.payload])
 
-    def posting_blocks(self) -> DataFrame:
-        """Blocks of all segments, with postings that no longer count among them."""
-        return self._read("postings", blocks.POSTING_BLOCK, self.live())
+    def stored_postings(self) -> DataFrame:
+        """Postings of all segments, with those that no longer count among them."""
+        return self._read("postings", blocks.POSTING, self.live())
 
-    def counting(self, opened: DataFrame) -> DataFrame:
-        """Opened postings (doc_key, seq, …) that still count."""
-        return self._counting(opened, self.live())
+    def places(self) -> DataFrame:
+        """(doc_key, seq, block, length) of all versions of documents that segments hold."""
+        rows = self._read("docs", self._doc_schema(), self.live())
+        return rows.select("doc_key", "seq", "block", "length")
+
+    def counting(self, rows: DataFrame) -> DataFrame:
+        """Postings (doc_key, seq, …) that still count."""
+        return self._counting(rows, self.live())
 
     def postings(self, where=None) -> DataFrame:
         """(token, doc_key, tf), of the tokens that ``where`` picks; the filter reaches the files."""
-        rows = self.posting_blocks()
+        rows = self.stored_postings()
         rows = rows if where is None else rows.where(where)
-        return self.counting(blocks.opened(rows, "token", "seq")).select("token", "doc_key", "tf")
+        return self.counting(rows).select("token", "doc_key", "tf")
 
     def doc_freq(self) -> DataFrame:
         """Documents per token, from the changes of all segments."""
@@ -156,8 +161,7 @@ class Segments:
         kept = ["doc_key", "text", *[name for name, _ in self.payload]]
         rows = changed.select(*kept).where(F.col("doc_key").isNotNull())
         placed = blocks.with_blocks(rows, F.octet_length("text"))
-        forward = blocks.forward_rows(placed, self.token_chars).withColumn("seq", F.lit(seq).cast("bigint"))
-        stored = self._write_rows(forward, folder)
+        stored = self._write_rows(blocks.forward_rows(placed, seq, self.token_chars), folder)
         counts = stored.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc_key").alias("keys")).first()
         if counts["n"] != counts["keys"]:
             raise ValueError("a document key occurs twice in one batch")
@@ -191,20 +195,19 @@ class Segments:
 
     def _write_postings(self, stored: DataFrame, folder: str) -> int:
         """Every file is sorted by token, so a filter on tokens skips row groups in each."""
-        rows = blocks.posting_blocks(stored).sortWithinPartitions("token", "block")
-        kept = self._write(rows, folder, "postings", blocks.POSTING_BLOCK)
-        return kept.agg(F.sum("n")).first()[0] or 0
+        rows = blocks.postings_of(stored).sortWithinPartitions("token", "block")
+        return self._write(rows, folder, "postings", blocks.POSTING).count()
 
     def _replaced(self, older: list, gone: DataFrame) -> DataFrame:
-        """Terms of the documents, as they were until now, that the batch replaces or removes."""
-        rows = self._read("docs", self._doc_schema(), older).select("doc_key", "seq", "terms")
+        """Distinct tokens of the documents, as they were until now, that the batch replaces or removes."""
+        rows = self._read("docs", self._doc_schema(), older).select("doc_key", "seq", "tokens")
         touched = rows.join(gone.select("doc_key"), "doc_key", "left_semi")
-        return stage_table(self._counting(touched, older).select("terms"), "replaced")
+        terms = F.array_distinct("tokens").alias("terms")
+        return stage_table(self._counting(touched, older).select(terms), "replaced")
 
     def _write_changes(self, folder: str, replaced: DataFrame | None) -> int:
-        changes = self.spark.read.schema(blocks.POSTING_BLOCK).parquet(f"{self.base}/{folder}/postings").select(
-            "token", F.col("n").cast("bigint").alias("change")
-        )
+        new = self.spark.read.schema(blocks.POSTING).parquet(f"{self.base}/{folder}/postings")
+        changes = new.groupBy("token").agg(F.count(F.lit(1)).alias("change"))
         n = 0
         if replaced is not None:
             n = replaced.count()
@@ -235,7 +238,7 @@ class Segments:
         seq, tier = last[-1]["seq"], max(s["tier"] for s in last) + 1
         folder = f"segment-{seq}-{uuid.uuid4().hex}"
         rows = self._counting(self._read("docs", self._doc_schema(), last), last)
-        placed = blocks.with_blocks(rows.drop("block"), F.col("size"))
+        placed = blocks.with_blocks(rows.drop("block"), F.col("length"))
         stored = self._write_rows(placed.withColumn("seq", F.lit(seq).cast("bigint")), folder)
         n_postings = self._write_postings(stored, folder)
         # Without older segments there is nothing left that a key could take back.
