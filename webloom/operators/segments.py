@@ -35,8 +35,11 @@ from webloom.session import stage_table
 
 # Segments of a tier that are merged into one of the next.
 FANOUT = 4
+# Replaced and removed keys, of 16 bytes, that are sent to all tasks; beyond, they are joined by a
+# shuffle.
+SMALL_GONE = 2_000_000
 _LOG = "_manifest"
-SEGMENT = "folder string, seq bigint, tier int, n_docs bigint, n_postings bigint"
+SEGMENT = "folder string, seq bigint, tier int, n_docs bigint, n_postings bigint, n_gone bigint"
 MANIFEST = f"version bigint, writer string, n_live bigint, segments array<struct<{SEGMENT}>>"
 GONE = "doc_key bigint, seq bigint"
 FREQUENCY = "token string, change bigint"
@@ -104,7 +107,10 @@ class Segments:
         """Rows (doc_key, seq, …) that no later segment takes back."""
         if len(segments) < 2:
             return rows
-        met = rows.join(self._last_gone(segments), "doc_key", "left")
+        last = self._last_gone(segments)
+        if sum(s["n_gone"] for s in segments) <= SMALL_GONE:
+            last = F.broadcast(last)
+        met = rows.join(last, "doc_key", "left")
         return met.where(F.col("last").isNull() | (F.col("seq") >= F.col("last"))).drop("last")
 
     def docs(self) -> DataFrame:
@@ -169,15 +175,15 @@ class Segments:
         if removed is not None:
             keys = removed.select(F.col("doc_key").cast("bigint").alias("doc_key"))
             gone = gone.unionByName(keys.where(F.col("doc_key").isNotNull())).distinct()
-        replaced = None
-        if older:
-            gone = self._write(gone.withColumn("seq", F.lit(seq).cast("bigint")), folder, "gone", GONE)
-            replaced = self._replaced(older, gone)
+        if not older:  # nothing that a key could take back
+            gone = gone.limit(0)
+        gone = self._write(gone.withColumn("seq", F.lit(seq).cast("bigint")), folder, "gone", GONE)
+        replaced = self._replaced(older, gone) if older else None
         n_postings = self._write_postings(stored, folder)
         n_replaced = self._write_changes(folder, replaced)
-        if not older:
-            self._write(gone.limit(0).withColumn("seq", F.lit(seq).cast("bigint")), folder, "gone", GONE)
-        segment = dict(folder=folder, seq=seq, tier=0, n_docs=counts["n"], n_postings=n_postings)
+        segment = dict(
+            folder=folder, seq=seq, tier=0, n_docs=counts["n"], n_postings=n_postings, n_gone=gone.count()
+        )
         n_live = (before["n_live"] if before else 0) + counts["n"] - n_replaced
         version = self._publish(before, [s.asDict() for s in older] + [segment], n_live)
         while self._merge_due():
@@ -243,10 +249,13 @@ class Segments:
         n_postings = self._write_postings(stored, folder)
         # Without older segments there is nothing left that a key could take back.
         gone = self._last_gone(last) if rest else self._last_gone([])
-        self._write(gone.select("doc_key", F.lit(seq).cast("bigint").alias("seq")), folder, "gone", GONE)
+        gone = gone.select("doc_key", F.lit(seq).cast("bigint").alias("seq"))
+        gone = self._write(gone, folder, "gone", GONE)
         changes = self._read("df", FREQUENCY, last).groupBy("token").agg(F.sum("change").alias("change"))
         self._write(changes.where("change != 0").sortWithinPartitions("token"), folder, "df", FREQUENCY)
-        merged = dict(folder=folder, seq=seq, tier=tier, n_docs=stored.count(), n_postings=n_postings)
+        merged = dict(
+            folder=folder, seq=seq, tier=tier, n_docs=stored.count(), n_postings=n_postings, n_gone=gone.count()
+        )
         return self._publish(before, [s.asDict() for s in rest] + [merged], before["n_live"])
 
 
