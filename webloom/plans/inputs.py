@@ -235,3 +235,34 @@ def domain_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
         name(F.col("c_custkey") % 3).alias("src"), name(F.col("c_custkey")).alias("dst")
     )
     return own.unionByName(back).unionByName(hot)
+
+
+def crawl_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(domain, kind, at): users as domains; purchases and errors are fetches, the rest links."""
+    kind = F.when(F.col("event_type").isin("purchase", "error"), "crawled").otherwise("link")
+    return table(spark, sf_dir, "events").select(
+        F.concat(F.lit("u"), "user_id", F.lit("-"), F.col("event_id") % 7).alias("domain"),
+        kind.alias("kind"),
+        F.date_trunc("second", "ts").alias("at"),
+    )
+
+
+def delivered_events(spark: SparkSession, sf_dir: str, turn: int) -> DataFrame:
+    """(value, arrived): page events as a broker hands them over, in two turns.
+
+    The first turn has every page, each third one twice; the second turn, an hour
+    later, has each fifth one again. Each eleventh page arrives three days late.
+    """
+    n = F.col("page_id")
+    pages = html.parse_pages(marked_pages(spark, sf_dir))
+    noon = F.lit(f"{DAY} 10:00:00").cast("timestamp")
+    moment = F.timestamp_seconds(F.unix_timestamp(noon) + n % 3600)
+    late_days = F.when(n % 11 == 0, 3).otherwise(0)
+    arrived = moment + F.make_dt_interval(days=late_days, hours=F.lit(turn))
+    event = F.struct("url", moment.alias("timestamp"), "content")
+    times = F.when(n % 3 == 0, 2).otherwise(1) if turn == 0 else F.when(n % 5 == 0, 1).otherwise(0)
+    return pages.select(
+        F.to_json(event).alias("value"),
+        arrived.alias("arrived"),
+        F.explode(F.array_repeat(F.lit(0), times)).alias("copy"),
+    ).drop("copy")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webloom.functions import html, tags
+from webloom.functions import html, tags, urls
 from webloom.operators import bench_tables, search, snapshot
 from webloom.operators.tagging import with_url
 from webloom.plans import inputs, rebuild
@@ -21,7 +21,7 @@ from webloom.plans.registry import query
 from webloom.plans.text_queries import DOC_TEXT
 from webloom.session import scratch_path, stage_table
 from webloom.sources import bench_files, config_files, crawl_events, lake
-from webloom.streaming import ingest
+from webloom.streaming import crawl_queue, ingest, redelivery
 
 _ROWS = f"""{TAGGED_CTES},
 page AS (SELECT domain, real_path, {o.sanitized('real_path')} AS path, tags, p FROM tagged)"""
@@ -138,6 +138,72 @@ def stream_rejects(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "stream_dedupe",
+    f"""WITH place AS (SELECT {o.domain('url')} AS domain, {o.path('url')} AS real_path,
+  page_id % 11 = 0 AS late FROM pages)
+SELECT domain, real_path, late, count(*) AS records FROM place GROUP BY ALL""",
+)
+def stream_dedupe(spark: SparkSession, sf: str) -> DataFrame:
+    """Redelivered and late page events; the streams are stopped and go on between the turns."""
+    landing, base = scratch_path(spark, "deliveries"), scratch_path(spark, "delivered")
+    for turn in (0, 1):
+        inputs.delivered_events(spark, sf, turn).write.mode("append").parquet(landing)
+        source = spark.readStream.schema("value string, arrived timestamp").parquet(landing)
+        running = (
+            redelivery.to_lake(source, f"{base}/lake", f"{base}/lake-state", available_now=True),
+            redelivery.late_to_files(source, f"{base}/late", f"{base}/late-state", available_now=True),
+        )
+        for stream in running:
+            stream.awaitTermination()
+    timely = lake.scan(spark, f"{base}/lake").select("domain", "real_path", F.lit(False).alias("late"))
+    url = F.col("url")
+    late = spark.read.parquet(f"{base}/late").select(
+        urls.domain(url).alias("domain"), urls.path(url).alias("real_path"), F.lit(True).alias("late")
+    )
+    return (
+        timely.unionByName(late)
+        .groupBy("domain", "real_path", "late")
+        .agg(F.count(F.lit(1)).alias("records"))
+    )
+
+
+_EXPIRY_HOURS = 24
+_TURNS = ("2024-01-11", "2024-01-21", "2100-01-01")
+
+
+@query(
+    "stream_crawl_queue",
+    f"""WITH moment AS (SELECT 'u' || user_id || '-' || (event_id % 7) AS domain,
+  event_type IN ('purchase', 'error') AS fetched, date_trunc('second', ts) AS t FROM events),
+until AS (SELECT max(t) - INTERVAL 1 HOUR AS mark FROM moment),
+fetches AS (SELECT domain, t, lead(t) OVER (PARTITION BY domain ORDER BY t) AS later
+  FROM (SELECT DISTINCT domain, t FROM moment WHERE fetched) x),
+firsts AS (SELECT domain, min(t) FILTER (NOT fetched) AS link, min(t) FILTER (fetched) AS got
+  FROM moment GROUP BY domain),
+queued AS (
+  SELECT domain, link AS queued_at FROM firsts WHERE link <= got OR (link IS NOT NULL AND got IS NULL)
+  UNION ALL SELECT domain, t + INTERVAL {_EXPIRY_HOURS} HOUR FROM fetches
+  WHERE later IS NULL OR later > t + INTERVAL {_EXPIRY_HOURS} HOUR)
+SELECT domain, queued_at FROM queued, until WHERE queued_at < mark""",
+)
+def stream_crawl_queue(spark: SparkSession, sf: str) -> DataFrame:
+    """Links and fetches as a stream in three turns; the query goes on from its checkpoint."""
+    landing, base = scratch_path(spark, "crawl-moments"), scratch_path(spark, "crawl-queue")
+    after = None
+    for until in _TURNS:
+        moments = inputs.crawl_moments(spark, sf).where(F.col("at") < until)
+        if after:
+            moments = moments.where(F.col("at") >= after)
+        moments.write.mode("append").parquet(landing)
+        source = spark.readStream.schema("domain string, kind string, at timestamp").parquet(landing)
+        crawl_queue.queue_to_files(
+            source, f"{base}/queued", f"{base}/state", _EXPIRY_HOURS, available_now=True
+        ).awaitTermination()
+        after = until
+    return spark.read.schema("domain string, queued_at timestamp").parquet(f"{base}/queued")
+
+
 _REBUILT = f"""{HISTORY}, {TAGGED_FROM_PARSED},
 docs AS (SELECT {o.canonical('url')} AS url, coalesce(h1[1], h2[1], domain) AS title,
   {DOC_TEXT} AS text FROM tagged), {o.index_ctes('docs', 'url')}"""

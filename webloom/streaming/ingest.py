@@ -68,10 +68,10 @@ def event_file_sink(
         .option("path", path)
         .option("checkpointLocation", checkpoint)
     )
-    return _start(writer, available_now)
+    return start(writer, available_now)
 
 
-def _start(writer, available_now: bool) -> StreamingQuery:
+def start(writer, available_now: bool) -> StreamingQuery:
     trigger = {"availableNow": True} if available_now else {"processingTime": FLUSH}
     return writer.trigger(**trigger).start()
 
@@ -109,7 +109,7 @@ def to_lake(
         .option("path", lake_path)
         .option("checkpointLocation", checkpoint)
     )
-    return _start(writer, available_now)
+    return start(writer, available_now)
 
 
 def rejects_to_files(
@@ -122,4 +122,4 @@ def rejects_to_files(
         .option("path", path)
         .option("checkpointLocation", checkpoint)
     )
-    return _start(writer, available_now)
+    return start(writer, available_now)
