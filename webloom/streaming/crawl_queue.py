@@ -63,7 +63,7 @@ def _fewer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         domain = pa.chunked_array([*links["domain"].chunks, *links["domain"].chunks], pa.string())
         at = pa.chunked_array([*links["at_min"].chunks, *links["at_max"].chunks], batch["at"].type)
         kept = [
-            pa.table({"domain": domain, "kind": pa.array([LINK] * len(domain)), "at": at}),
+            pa.table({"domain": domain, "kind": pa.array([LINK] * len(domain), pa.string()), "at": at}),
             pa.table(
                 {
                     "domain": fetched["domain"],
