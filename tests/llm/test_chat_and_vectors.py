@@ -145,7 +145,7 @@ def test_chat_query(spark):
 
 def test_pseudo_rotations_keep_lengths_and_cover_axes():
     x = np.random.default_rng(2).normal(size=(500, 48))
-    s = N.Settings(tables=3)
+    s = N.Settings(tables=3, width=1)
     for turned in N.rotations(x, s):
         assert np.allclose(np.linalg.norm(turned, axis=1), 1) and turned.shape == (500, 64)
     filed = N.codes(x, s)
@@ -214,7 +214,7 @@ def test_large_buckets_are_dealt_out(spark):
     centre = rng.normal(size=16)
     rows = [(k, (centre + 0.01 * rng.normal(size=16)).tolist()) for k in range(400)]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    s = N.Settings(part_rows=20, shares=10)
+    s = N.Settings(part_rows=20)
     got = {}
     for r in N.neighbours(table, F.col("id") % 50 == 0, settings=s).collect():
         got.setdefault(r.query_id, []).append((r.rank, r.id))
@@ -224,3 +224,51 @@ def test_large_buckets_are_dealt_out(spark):
         want = {i for _, i in brute(list(range(400)), vectors, query)}
         hits += len(want & {i for _, i in got[query]})
     assert len(got) == 8 and hits >= 0.9 * 80
+
+
+def shaped(rng, n, dims, kind):
+    """Groups of some twenty vectors around centres, or vectors without any structure."""
+    if kind == "plain":
+        return rng.normal(size=(n, dims))
+    centres = rng.normal(size=(n // 20, dims))
+    out = centres[rng.integers(0, len(centres), n)] + 0.6 * rng.normal(size=(n, dims))
+    return out * rng.lognormal(0, 0.5, (n, 1)) if kind == "lengths" else out
+
+
+@pytest.mark.parametrize(
+    "dims, kind", [(16, "groups"), (64, "groups"), (64, "lengths"), (256, "groups"), (256, "plain")]
+)
+def test_recall_at_any_dimension(spark, dims, kind):
+    """The default settings find nine tenths, whatever the dimension and the lengths."""
+    vectors = shaped(np.random.default_rng(dims), 4_000, dims, kind)
+    table = spark.createDataFrame(
+        list(enumerate(vectors.tolist())),
+        "vec_id long, embedding array<double>",
+    )
+    got = {}
+    for r in N.neighbours(table, F.col("id") % 100 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.id)
+    hits = 0
+    for q in range(0, len(vectors), 100):
+        distance = np.sqrt(((vectors - vectors[q]) ** 2).sum(1))
+        distance[q] = np.inf
+        hits += len(got[q] & set(np.argsort(distance, kind="stable")[:10].tolist()))
+    assert hits / (10 * len(got)) >= 0.9
+
+
+def test_share_met_falls_with_the_table():
+    """With structure in the vectors a query meets few of a larger table."""
+    rng = np.random.default_rng(5)
+    s = N.Settings()
+    vectors = shaped(rng, 40_000, 64, "groups")
+    asking, sample = vectors[:32], vectors[:2_000]
+    near = []
+    for v in asking:
+        distance = ((vectors - v) ** 2).sum(1)
+        near.append(vectors[np.argsort(distance)[1:11]])
+    plan = N.choose(asking, near, sample, len(vectors), s)
+    assert plan.width == 2
+    own = plan.of(s)
+    filed, looked = N.codes(vectors, own), N.probe_codes(asking, own, plan.probes)
+    met = [np.any([np.isin(filed[:, t], q[t]) for t in range(s.tables)], axis=0).mean() for q in looked]
+    assert np.mean(met) < 0.1
