@@ -106,11 +106,12 @@ def _step(expiry: int):
         phase, due, link, fetches = state.get if state.exists else (NEW, 0, None, [])
         fetched = set(fetches)
         for frame in frames:
-            if phase == NEW:
-                first = frame.loc[frame["kind"] == LINK, "micros"].min()
-                if not pd.isna(first):
-                    link = int(first) if link is None else min(link, int(first))
-            fetched.update(frame.loc[frame["kind"] == CRAWLED, "micros"].tolist())
+            # Plain lists: most domains have few rows, for which columns cost more.
+            for kind, micros in zip(frame["kind"].tolist(), frame["micros"].tolist()):
+                if kind == CRAWLED:
+                    fetched.add(micros)
+                elif phase == NEW:
+                    link = micros if link is None else min(link, micros)
         # Before the first watermark everything waits.
         now = max(state.getCurrentWatermarkMs(), 0) * 1000
         queued, phase, due, link, waiting = advance(phase, due, link, list(fetched), now, expiry)
@@ -118,9 +119,8 @@ def _step(expiry: int):
         times = [*waiting, *([link] if link is not None else []), *([due] if phase == FETCHED else [])]
         if times:
             state.setTimeoutTimestamp(-(-min(times) // 1000))
-        yield pd.DataFrame({"domain": [key[0]] * len(queued), "micros": queued}).astype(
-            {"domain": object, "micros": "int64"}
-        )
+        if queued:
+            yield pd.DataFrame({"domain": [key[0]] * len(queued), "micros": queued})
 
     return run
 
