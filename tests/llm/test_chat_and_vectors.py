@@ -266,7 +266,8 @@ def test_share_met_falls_with_the_table():
     for v in asking:
         distance = ((vectors - v) ** 2).sum(1)
         near.append(vectors[np.argsort(distance)[1:11]])
-    plan = N.choose(asking, near, sample, len(vectors), s)
+    assert N.choose(asking, near, sample, 10_000, s).width == 1
+    plan = N.choose(asking, near, sample, 1_000_000, s)
     assert plan.width == 2
     own = plan.of(s)
     filed, looked = N.codes(vectors, own), N.probe_codes(asking, own, plan.probes)

@@ -11,8 +11,8 @@ How wide the buckets are and how many a query looks into is measured, for each l
 vectors (``fit``): up to ``fit_queries`` distinct vectors out of a sample of ``fit_rows``
 get their true neighbours by one pass over all rows, and of the ladder of settings that
 find ``recall`` of these the one with the least work is taken: rows met, by their
-share in the sample times the rows there are, plus buckets looked into. So buckets get
-narrower as the table grows. Where no setting finds enough, as with far more axes
+share in the sample times the rows there are, plus buckets looked into, each of which
+costs as much as ``bucket_rows`` rows. So buckets get narrower as the table grows. Where no setting finds enough, as with far more axes
 than the ladder's probes or hardly any structure, every vector is met. Every row is filed,
 whatever the sample.
 
@@ -58,6 +58,7 @@ class Settings:
     part_rows: int = 20_000
     fit_rows: int = 4_000
     fit_queries: int = 64
+    bucket_rows: int = 200
     seed: int = 11
 
 
@@ -252,12 +253,12 @@ def choose(
     asking: np.ndarray, near: list[np.ndarray], sample: np.ndarray, rows: int, s: Settings
 ) -> Plan:
     """The plan of least work that finds ``recall`` of the true neighbours ``near``."""
-    best, least = Plan(1, ALL), float(rows)
+    axes = 2 << max(0, (asking.shape[1] - 1).bit_length())
+    best, least = Plan(1, ALL), float(rows + s.bucket_rows * axes)
     owner = np.repeat(np.arange(len(near)), [len(n) for n in near])
     if not len(owner):
         return best
     found = np.concatenate([n for n in near if len(n)])
-    axes = 2 << max(0, (asking.shape[1] - 1).bit_length())
     for width in sorted({w for w, _ in LADDER}):
         steps = [p for w, p in LADDER if w == width and p <= axes**width]
         own = replace(s, width=width)
@@ -272,7 +273,7 @@ def choose(
                     for q in into
                 ]
             )
-            work = share * rows + s.tables * probes
+            work = share * rows + s.bucket_rows * s.tables * probes
             if recall >= s.recall and work < least:
                 best, least = Plan(width, probes), work
     return best
