@@ -21,6 +21,7 @@ from webloom.plans.registry import query
 from webloom.plans.text_queries import DOC_TEXT
 from webloom.session import scratch_path, stage_table
 from webloom.sources import bench_files, config_files, crawl_events, lake
+from webloom.sources.snapshots import SnapshotTable
 from webloom.streaming import crawl_queue, ingest, redelivery
 
 _ROWS = f"""{TAGGED_CTES},
@@ -97,6 +98,28 @@ def lake_partition_counts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("lake_compact", PAGE_ROWS_SQL)
+def lake_compact(spark: SparkSession, sf: str) -> DataFrame:
+    """Crawl events in small batches, compacted before the stream goes on; the files of
+    compacted batches are expired before the rows are read."""
+    landing, base = scratch_path(spark, "events"), scratch_path(spark, "snapshots")
+    pages = stage_table(html.parse_pages(inputs.marked_pages(spark, sf)), "pages")
+    when = F.lit(f"{inputs.DAY}T10:00:00Z")
+    table = SnapshotTable(spark, f"{base}/table", domain_buckets=16)
+    late = F.pmod(F.xxhash64("url"), F.lit(2)) == 1
+    for turn in (~late, late):
+        crawl_events.encode(pages.where(turn), when).write.mode("append").text(landing)
+        files = len(spark.read.text(landing).inputFiles())
+        source = ingest.file_source(spark, landing, -(-files // table.fanout) or 1)
+        ingest.to_snapshots(
+            source, table, f"{base}/state", "crawl", available_now=True
+        ).awaitTermination()
+        while table.compact():
+            pass
+    table.expire(0)
+    return flat_page_rows(table.read())
+
+
 def _broken_lines(spark: SparkSession, sf: str) -> DataFrame:
     """(value): every whole page as one line, which is no event."""
     return inputs.table(spark, sf, "pages").select(

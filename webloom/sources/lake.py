@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from functools import reduce
 
@@ -161,6 +162,44 @@ def publish(pages: DataFrame, base: str, domain_buckets: int | None = None) -> i
     return version
 
 
+
+def expire_versions(spark: SparkSession, base: str, age: float) -> int:
+    """Remove folders of versions that were replaced more than ``age`` seconds ago, and of
+    attempts that were never published and are older than that. Returns their number.
+
+    The current version always stays. ``age`` has to exceed the longest reader and the
+    longest rebuild. The log keeps its lines, so numbers are not used again.
+    """
+    limit = time.time() - age
+    try:
+        log = spark.read.schema(LOG_SCHEMA).json(f"{base}/{_VERSIONS}")
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return 0
+    at = F.unix_micros("_metadata.file_modification_time") / 1e6
+    lines = log.select("version", "folder", at.alias("at")).orderBy("version", "folder").collect()
+    nexts = lines[1:] + [None]
+    kept = {now["folder"] for now, after in zip(lines, nexts) if after is None or after["at"] >= limit}
+    return remove_unnamed(spark, base, kept, "v=", limit)
+
+
+def remove_unnamed(spark: SparkSession, base: str, names: set[str], prefix: str, limit: float) -> int:
+    """Remove folders of ``base`` with ``prefix`` that are not in ``names`` and have not been
+    touched since ``limit`` (seconds since 1970). Returns their number."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    n = 0
+    for status in fs.listStatus(root) if fs.exists(root) else ():
+        name = status.getPath().getName()
+        if not name.startswith(prefix) or name in names:
+            continue
+        if status.getModificationTime() / 1000 < limit:
+            fs.delete(status.getPath(), True)
+            n += 1
+    return n
+
+
 def open_current(
     spark: SparkSession, base: str, schema: T.StructType = S.SCORED_PAGE
 ) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from webloom.functions.tags import DEFAULT_DICTIONARY, Dictionary
 from webloom.operators.tagging import to_page_rows
 from webloom.sources import crawl_events, lake
+from webloom.sources.snapshots import SnapshotTable
 
 EVENTS_TOPIC = "crawled_data"
 FLUSH = "60 seconds"
@@ -76,6 +77,18 @@ def start(writer, available_now: bool) -> StreamingQuery:
     return writer.trigger(**trigger).start()
 
 
+def decoded_pages(
+    source: DataFrame, date: Column | None = None, dictionary: Dictionary = DEFAULT_DICTIONARY
+) -> DataFrame:
+    """Tagged page rows of the good events; ``date`` as in ``to_lake``."""
+    events = crawl_events.good_events(crawl_events.decode(source))
+    moment = F.coalesce("timestamp", F.current_timestamp())
+    utc = F.to_utc_timestamp(moment, F.current_timezone())
+    day = F.date_format(utc, "yyyy-MM-dd") if date is None else date
+    with_day = events.withColumn("_day", day)
+    return to_page_rows(with_day, F.col("_day"), dictionary)
+
+
 def to_lake(
     source: DataFrame,
     lake_path: str,
@@ -94,12 +107,7 @@ def to_lake(
     neither changes in a rerun. ``file_format`` may be ``avro`` where its jar is
     there.
     """
-    events = crawl_events.good_events(crawl_events.decode(source))
-    moment = F.coalesce("timestamp", F.current_timestamp())
-    utc = F.to_utc_timestamp(moment, F.current_timezone())
-    day = F.date_format(utc, "yyyy-MM-dd") if date is None else date
-    with_day = events.withColumn("_day", day)
-    pages = to_page_rows(with_day, F.col("_day"), dictionary)
+    pages = decoded_pages(source, date, dictionary)
     rows = lake.with_partition_columns(pages, domain_buckets)
     spread = F.pmod(F.xxhash64("real_path"), F.lit(FOLDER_SPLITS))
     writer = (
@@ -112,6 +120,29 @@ def to_lake(
     return start(writer, available_now)
 
 
+def to_snapshots(
+    source: DataFrame,
+    table: SnapshotTable,
+    checkpoint: str,
+    stream: str,
+    date: Column | None = None,
+    dictionary: Dictionary = DEFAULT_DICTIONARY,
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Decode, tag and append events to a table that is compacted while the stream goes on.
+
+    ``stream`` names the stream in the manifest, which knows its last batch: one that is
+    run again after a failure adds nothing twice.
+    """
+
+    def add(batch: DataFrame, number: int) -> None:
+        table.append(batch, stream, number)
+
+    pages = decoded_pages(source, date, dictionary)
+    writer = pages.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
+    return start(writer, available_now)
+
+
 def rejects_to_files(
     source: DataFrame, path: str, checkpoint: str, available_now: bool = False
 ) -> StreamingQuery:
