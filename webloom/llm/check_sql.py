@@ -1,4 +1,4 @@
-"""Check SQL of queries that walk trees, for DuckDB."""
+"""Check SQL of queries that walk trees, link documents or compare passages, for DuckDB."""
 
 _FRAMED = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen({0}) || ':' || {0} END"
 
@@ -102,3 +102,59 @@ a AS (SELECT path, sum(leaf)::bigint AS n_leaves, sum(saved)::bigint AS saved_to
 SELECT conv_id, depth::bigint AS depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
 FROM k JOIN a ON a.path = k.path
 """
+
+
+def _words(text: str) -> str:
+    return f"list_filter(string_split_regex({text}, '[ \\t-\\r]+'), lambda w: w <> '')"
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+# Shingles are compared as texts; links are followed until no document is new.
+OP2_SQL = f"""
+WITH RECURSIVE
+d AS (SELECT doc_id, {_words(_LOWER)} AS ws FROM documents),
+w AS (SELECT doc_id, len(ws) AS n, unnest(ws) AS w, generate_subscripts(ws, 1) AS pos FROM d),
+g AS (
+  SELECT doc_id, n, pos, string_agg(w, ' ') OVER (
+    PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) AS shingle FROM w),
+s AS (SELECT DISTINCT doc_id, shingle FROM g WHERE pos <= greatest(n - 4, 1)),
+c AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k
+  FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (
+  SELECT a, b FROM p JOIN c x ON x.doc_id = a JOIN c y ON y.doc_id = b
+  WHERE 100 * k >= 80 * (x.n + y.n - k)),
+both_ways AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (
+  SELECT doc_id AS a, doc_id AS b FROM d
+  UNION SELECT r.a, t.b FROM r JOIN both_ways t ON t.a = r.b),
+m AS (SELECT a, min(b) AS component_id FROM r GROUP BY a)
+SELECT d.doc_id, coalesce(c.n, 0)::bigint AS n_shingles, m.component_id
+FROM d JOIN m ON m.a = d.doc_id LEFT JOIN c ON c.doc_id = d.doc_id
+"""
+
+# Windows are compared as texts of 50 words, never by a hash.
+OP8_SQL = f"""
+WITH d AS (SELECT doc_id, {_words("coalesce(text, '')")} AS ws FROM documents),
+w AS (SELECT doc_id, len(ws) AS n, unnest(ws) AS w, generate_subscripts(ws, 1) AS pos FROM d),
+g AS (
+  SELECT doc_id, n, pos, w, string_agg(w, ' ') OVER (
+    PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING) AS words FROM w),
+f AS (SELECT words, min(doc_id) AS first_doc FROM g WHERE pos <= n - 49 GROUP BY words),
+h AS (
+  SELECT g.doc_id, g.pos, g.w, f.first_doc < g.doc_id AS again
+  FROM g LEFT JOIN f ON f.words = g.words AND g.pos <= g.n - 49),
+k AS (
+  SELECT doc_id, pos, w, coalesce(pos - max(pos) FILTER (again) OVER (
+    PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) < 50, false) AS covered
+  FROM h),
+o AS (
+  SELECT doc_id, count(*) AS n_words, count(*) FILTER (covered) AS n_removed,
+    string_agg(w, ' ' ORDER BY pos) FILTER (NOT covered) AS kept
+  FROM k GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_words, 0)::bigint AS n_words, coalesce(n_removed, 0)::bigint AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN o ON o.doc_id = d.doc_id
+"""

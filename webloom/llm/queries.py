@@ -20,7 +20,7 @@ from webloom.llm import (
     toxicity,
     url_globs,
 )
-from webloom.llm.check_sql import OP11_SQL, OP13_SQL
+from webloom.llm.check_sql import OP2_SQL, OP8_SQL, OP11_SQL, OP13_SQL
 from webloom.plans.registry import query
 
 THRESHOLD = 0.3
@@ -52,7 +52,7 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op2_near_dups")
+@query("op2_near_dups", OP2_SQL)
 def op2_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document among those with similar word 5-shingles."""
     return near_dups.near_duplicates(table(spark, sf_dir, "documents")).select(
@@ -216,7 +216,7 @@ def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op8_repeats")
+@query("op8_repeats", OP8_SQL)
 def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without passages of earlier ones."""
     return repeats.cut_repeats(table(spark, sf_dir, "documents")).select(
