@@ -103,12 +103,14 @@ def lake_compact(spark: SparkSession, sf: str) -> DataFrame:
     """Crawl events in small batches, compacted before the stream goes on; the files of
     compacted batches are expired before the rows are read."""
     landing, base = scratch_path(spark, "events"), scratch_path(spark, "snapshots")
-    pages = stage_table(html.parse_pages(inputs.marked_pages(spark, sf)), "pages")
+    # Each turn parses its own pages: the condition on the address goes below the parser.
+    pages = html.parse_pages(inputs.marked_pages(spark, sf))
     when = F.lit(f"{inputs.DAY}T10:00:00Z")
     table = SnapshotTable(spark, f"{base}/table", domain_buckets=16)
     late = F.pmod(F.xxhash64("url"), F.lit(2)) == 1
     for turn in (~late, late):
-        crawl_events.encode(pages.where(turn), when).write.mode("append").text(landing)
+        events = crawl_events.encode(pages.where(turn), when)
+        events.write.mode("append").option("compression", "gzip").text(landing)
         files = len(spark.read.text(landing).inputFiles())
         source = ingest.file_source(spark, landing, -(-files // table.fanout) or 1)
         ingest.to_snapshots(
