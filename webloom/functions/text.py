@@ -23,6 +23,21 @@ def token_array(text: Column, token_chars: str = TOKEN_CHARS) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(f"[{token_chars}]+"), F.lit(0))
 
 
+def runs(words: str) -> Column:
+    """(token, tf) of the equal neighbours in a column of sorted words."""
+    n = F.size(words)
+    steps = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    starts = F.filter(steps, lambda i: (i == 0) | (F.get(words, i) != F.get(words, i - 1)))
+    run = lambda a, b: F.struct(
+        F.get(words, a).alias("token"), (F.coalesce(b, n) - a).cast("bigint").alias("tf")
+    )
+    # The last run has no next one; the one-element array names the starts, found once.
+    pairs = F.transform(
+        F.array(starts), lambda s: F.zip_with(s, F.slice(s, F.lit(2), F.greatest(n, F.lit(0))), run)
+    )
+    return F.get(pairs, F.lit(0))
+
+
 def query_terms(text: Column) -> Column:
     """Distinct search terms: lower-cased words, punctuation kept."""
     words = F.split(F.lower(text), r"\s+")

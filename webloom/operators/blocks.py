@@ -48,10 +48,9 @@ def forward_rows(docs: DataFrame, seq: int, token_chars: str = txt.TOKEN_CHARS)
 
 
 def postings_of(forward: DataFrame) -> DataFrame:
-    """(token, seq, block, doc_key, tf), counted inside tasks before the shuffle."""
-    tokens = forward.select("seq", "block", "doc_key", F.explode("tokens").alias("token"))
-    counted = tokens.groupBy("token", "seq", "block", "doc_key").agg(F.count(F.lit(1)).alias("tf"))
-    return counted.select("token", "seq", "block", "doc_key", "tf")
+    """(token, seq, block, doc_key, tf), counted inside each row: its tokens are sorted."""
+    found = forward.select("seq", "block", "doc_key", F.inline(txt.runs("tokens")))
+    return found.select("token", "seq", "block", "doc_key", "tf")
 
 
 def block_bounds(postings: DataFrame) -> DataFrame:

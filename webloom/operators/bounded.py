@@ -7,7 +7,7 @@ document, a block gives at most t * L plus the same sum with IDF lessened by t,
 of all its tokens, whose maximum per block is kept with the IDF (``block_weights``). Blocks with the greatest bounds are opened first; the k-th best
 score in them is a score to beat, and of all other blocks only those are opened whose bound
 reaches it. Bounds are per block, so no pair of a query and a document is formed for what
-stays closed. Documents whose address is the query come before all scores; their blocks
+stays closed for all queries. Documents whose address is the query come before all scores; their blocks
 are opened in any case. The hits are those of ``search.search_batch``, row for row.
 """
 
@@ -18,8 +18,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from webloom.operators import search
-from webloom.session import stage_table
+from webloom.operators import scoring, search
+from webloom.session import dealt_by, stage_table
 
 BLOCK = ["seq", "block"]
 # Values of t for the bound.
@@ -27,7 +27,7 @@ LEVELS = (0.0, 0.5, 1.0, 1.5, 2.0, 3.0, 4.0, 5.0, 6.0, 8.0)
 # The blocks opened first hold so many times k documents: the more, the higher the score to beat.
 FIRST = 6
 # A score that is rounded up may exceed its bound by that much.
-_SLACK = 2 * 10.0**-search.SCORE_DIGITS
+_SLACK = search.SCORE_SLACK
 
 
 @dataclass
@@ -51,25 +51,28 @@ def block_weights(index: DataFrame, idf: DataFrame) -> DataFrame:
 
 
 def _bounds(
-    block_table: DataFrame, matches: DataFrame, wanted: DataFrame, limits: DataFrame
+    block_table: DataFrame, matches: DataFrame, asked: scoring.Wanted, limits: DataFrame
 ) -> DataFrame:
-    """(query_id, seq, block, bound, least): ``least`` is a number of documents that match at least."""
+    """(query_id, seq, block, bound, least): ``least`` is a number of documents that match at least.
+
+    Rows move narrow, to their block; all sums are taken there, per longest term first.
+    """
+    spark = block_table.sparkSession
+    parts = F.broadcast(spark.createDataFrame(scoring.beginnings(asked.terms), "term int, part int"))
+    of_query = F.broadcast(spark.createDataFrame(asked.pairs, "query_id bigint, part int"))
     over = lambda t: F.col("max_tf") * F.greatest(F.col("idf") - t, F.lit(0.0))
-    per_term = (
-        block_table.join(matches, "token")
-        .groupBy("term", *BLOCK)
-        .agg(
-            *[F.sum(over(t)).alias(f"over{k}") for k, t in enumerate(LEVELS)],
-            F.max("n").alias("least"),
-        )
-    )
+    met = block_table.join(matches.hint("shuffle_hash"), "token").select(*BLOCK, "term", "max_tf", "idf", "n")
+    added = [F.sum(f"over{k}").alias(f"over{k}") for k in range(len(LEVELS))]
     whole = (
-        per_term.join(wanted, "term")
+        dealt_by(met, *BLOCK, rows=block_table.count())
+        .groupBy(*BLOCK, "term")
+        .agg(*[F.sum(over(t)).alias(f"over{k}") for k, t in enumerate(LEVELS)], F.max("n").alias("least"))
+        .join(parts, "term")
+        .groupBy(*BLOCK, "part")
+        .agg(*added, F.max("least").alias("least"))
+        .join(of_query, "part")
         .groupBy("query_id", *BLOCK)
-        .agg(
-            *[F.sum(f"over{k}").alias(f"over{k}") for k in range(len(LEVELS))],
-            F.max("least").alias("least"),
-        )
+        .agg(*added, F.max("least").alias("least"))
     )
     each = [F.col(f"over{k}") + F.lit(t) * F.col("length") for k, t in enumerate(LEVELS)]
     bound = F.least("weight", *each)
@@ -87,31 +90,11 @@ def _first_blocks(bounds: DataFrame, k: int) -> DataFrame:
     return best.withColumn("before", before).where(F.col("before") < k).select("query_id", *BLOCK)
 
 
-def _open(
-    index: DataFrame, matches: DataFrame, wanted: DataFrame, chosen: DataFrame, counting
-) -> DataFrame:
-    """(query_id, doc_key, content_score, matches) of the documents in the chosen blocks."""
-    terms = chosen.join(wanted, "query_id").select("term", *BLOCK).distinct()
-    pairs = terms.join(matches, "term").select("token", *BLOCK, "term", "idf")
-    rows = index.join(pairs, ["token", *BLOCK])
-    # Dealt out by document once; all sums of a document are then taken where they lie.
-    postings = counting(rows.select("doc_key", *BLOCK, "term", "tf", "idf")).repartition("doc_key")
-    per_term = postings.groupBy("term", "doc_key", *BLOCK).agg(
-        F.sum(F.col("tf") * F.col("idf")).alias("content_score"), F.count(F.lit(1)).alias("matches")
-    )
-    return (
-        per_term.join(wanted, "term")
-        .join(chosen, ["query_id", *BLOCK])
-        .groupBy("query_id", "doc_key")
-        .agg(F.sum("content_score").alias("content_score"), F.sum("matches").alias("matches"))
-    )
-
-
 def search_batch(
     index: DataFrame,
     block_table: DataFrame,
     places: DataFrame,
-    weights: DataFrame,
+    weights: DataFrame | None,
     idf: DataFrame,
     mappings: DataFrame,
     queries: DataFrame,
@@ -121,27 +104,34 @@ def search_batch(
     """First ``k`` hits for every query of ``queries(query_id, text)``.
 
     ``index``: stored postings; ``block_table``: their ``blocks.block_bounds``, stored; ``places``: (doc_key, seq, block, length) of the documents;
-    ``weights``: ``block_weights`` of this index and IDF, stored;
+    ``weights``: ``block_weights`` of this index and IDF, stored, or None where they would cost
+    more than they save, as for an index that is searched once;
     ``counting`` drops opened postings (doc_key, seq, …) of documents that no longer count.
     """
-    per_text = stage_table(
-        queries.groupBy("text").agg(F.min("query_id").alias("text_id")), "query-texts"
-    )
+    per_text = search.texts_of(queries)
     texts = per_text.select(F.col("text_id").alias("query_id"), "text")
-    term_rows = search.query_term_rows(texts)
-    wanted = stage_table(term_rows, "query-terms")
-    matches = stage_table(search.term_tokens(term_rows, idf.select("token", "idf")), "term-tokens")
-    lengths = places.groupBy(*BLOCK).agg(F.max("length").alias("length"))
-    limits = lengths.join(weights, BLOCK)
-    bounds = stage_table(_bounds(block_table, matches, wanted, limits), "block-bounds")
-    address = texts.select("query_id", F.explode(F.array_distinct(search.exact_urls(F.col("text")))).alias("url"))
-    exact = stage_table(
-        address.join(mappings.select("url", "doc_key"), "url").select("query_id", "doc_key"), "exact-hits"
-    )
+    asked = scoring.wanted(search.query_term_rows(texts))
+    matches = stage_table(scoring.longest_terms(idf.select("token", "idf"), asked.terms), "term-tokens")
+    n_postings = index.count()
+    limits = places.groupBy(*BLOCK).agg(F.max("length").alias("length"))
+    if weights is None:
+        limits = limits.withColumn("weight", F.lit(None).cast("double"))
+    else:
+        limits = limits.join(weights, BLOCK)
+    bounds = stage_table(_bounds(block_table, matches, asked, limits), "block-bounds")
+    exact = search.exact_pairs(texts, asked, mappings)
+
+    def opened(chosen: DataFrame) -> DataFrame:
+        """Contenders of all queries in the chosen blocks."""
+        rows = counting(index.join(chosen, BLOCK, "left_semi"))
+        sums = scoring.document_sums(rows, matches, n_postings)
+        return stage_table(search.contending(sums, mappings, exact, asked, k), "contenders")
+
     forced = exact.join(places, "doc_key").select("query_id", *BLOCK)
     forced = forced.join(bounds.select("query_id", *BLOCK), ["query_id", *BLOCK], "left_semi")
     first = stage_table(_first_blocks(bounds, FIRST * k).unionByName(forced).distinct(), "first-blocks")
-    seen = stage_table(_open(index, matches, wanted, first, counting), "first-scores")
+    first_blocks = stage_table(first.select(*BLOCK).distinct(), "opened-blocks")
+    seen = opened(first_blocks)
     score = F.round("content_score", search.SCORE_DIGITS)
     w = Window.partitionBy("query_id").orderBy(F.desc("score"))
     kth = (
@@ -150,7 +140,6 @@ def search_batch(
         .where(F.col("nth") == k)
         .select("query_id", F.col("score").alias("kth"))
     )
-    kth = stage_table(kth, "scores-to-beat")
     second = stage_table(
         bounds.join(first, ["query_id", *BLOCK], "left_anti")
         .join(kth, "query_id", "left")
@@ -158,15 +147,7 @@ def search_batch(
         .select("query_id", *BLOCK),
         "second-blocks",
     )
-
-    def contending(scores: DataFrame) -> DataFrame:
-        return (
-            scores.join(kth, "query_id", "left")
-            .join(exact.withColumn("asked", F.lit(True)), ["query_id", "doc_key"], "left")
-            .where(F.col("kth").isNull() | (score >= F.col("kth")) | F.col("asked"))
-            .drop("kth", "asked")
-        )
-
-    more = _open(index, matches, wanted, second, counting)
-    contenders = stage_table(contending(seen).unionByName(contending(more)), "contenders")
-    return Found(search.best_hits(contenders, mappings, texts, per_text, queries, k), bounds, first, second)
+    # What the first blocks hold is known for all queries.
+    others = second.select(*BLOCK).distinct().join(first_blocks, BLOCK, "left_anti")
+    found = seen.unionByName(opened(stage_table(others, "opened-blocks")))
+    return Found(search.best_hits(found, mappings, texts, per_text, queries, k), bounds, first, second)

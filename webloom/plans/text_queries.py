@@ -195,15 +195,14 @@ def search_batch_bounded(spark: SparkSession, sf: str) -> DataFrame:
     queries = inputs.table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
     docs = inputs.documents(spark, sf)
     placed = blocks.with_blocks(docs, F.octet_length("text"))
-    forward = stage_table(blocks.forward_rows(placed, 1), "forward-rows")
-    stored = stage_table(blocks.postings_of(forward), "postings")
+    stored = stage_table(blocks.postings_of(blocks.forward_rows(placed, 1)), "postings")
     block_table = stage_table(blocks.block_bounds(stored), "block-table")
     freqs = block_table.groupBy("token").agg(F.sum("n").alias("doc_freq"))
     idf = stage_table(index.idf(freqs, docs), "idf")
-    places = forward.select("doc_key", "seq", "block", "length")
-    weights = stage_table(bounded.block_weights(stored, idf), "block-weights")
+    places = stored.groupBy("doc_key", "seq", "block").agg(F.sum("tf").alias("length"))
+    places = stage_table(places, "places")
     mappings = inputs.document_mappings(spark, sf)
-    found = bounded.search_batch(stored, block_table, places, weights, idf, mappings, queries)
+    found = bounded.search_batch(stored, block_table, places, None, idf, mappings, queries)
     return found.hits.withColumn("rank", F.col("rank").cast("bigint"))
 
 

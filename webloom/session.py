@@ -93,6 +93,20 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Rows that one task is given to group or to sort.
+ROWS_PER_TASK = 2_000_000
+
+
+def dealt_by(df: DataFrame, *keys: str, rows: int) -> DataFrame:
+    """Rows with equal keys in one task, in as many tasks as ``rows`` of them need.
+
+    A fixed number of shuffle partitions would let a task's share grow with the input.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    n = -(-rows // ROWS_PER_TASK)
+    return df.repartition(n, *keys) if n > cores else df.repartition(*keys)
+
+
 def deal_out(df: DataFrame) -> DataFrame:
     """Give every core a share of a small input that arrives in few partitions.
 
