@@ -126,6 +126,23 @@ def postings(token_rows: DataFrame) -> DataFrame:
     return token_rows.groupBy("token", "doc_key").agg(F.count(F.lit(1)).alias("tf"), *rank)
 
 
+def document_postings(docs: DataFrame, token_chars: str = txt.TOKEN_CHARS) -> DataFrame:
+    """``postings`` of ``docs(doc_key, text, …)``, counted inside each row without a shuffle.
+
+    Only if a key occurs in several rows, which a look at the keys alone tells, are
+    their counts added up by one.
+    """
+    others = [c for c in docs.columns if c != "text"]
+    words = F.sort_array(txt.token_array(F.col("text"), token_chars))
+    rows = docs.select(*others, words.alias("_words"))
+    found = rows.select(*others, F.inline(txt.runs("_words"))).select("token", "doc_key", "tf", *others[1:])
+    keys = docs.groupBy("doc_key").agg(F.count(F.lit(1)).alias("n"))
+    if keys.where("n > 1").isEmpty():
+        return found
+    rank = [F.first("pagerank").alias("pagerank")] if "pagerank" in others else []
+    return found.groupBy("token", "doc_key").agg(F.sum("tf").alias("tf"), *rank)
+
+
 def doc_freq(docs: DataFrame, token_chars: str = txt.TOKEN_CHARS) -> DataFrame:
     """Documents per token straight from the texts, with a single shuffle by token.
 

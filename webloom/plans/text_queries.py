@@ -21,7 +21,7 @@ _INDEX = o.index_ctes()
 
 
 def _postings(spark: SparkSession, sf: str) -> DataFrame:
-    return index.postings(index.tokens(inputs.documents(spark, sf)))
+    return index.document_postings(inputs.documents(spark, sf))
 
 
 def _idf(spark: SparkSession, sf: str) -> DataFrame:
