@@ -130,3 +130,17 @@ def test_late_only_after_the_day_is_closed(spark):
     )
     got = [r[0] for r in rows.select(redelivery.is_late(F.col("m"), F.col("a"))).collect()]
     assert got == [False, True, False, False]
+
+
+def test_domains_of_a_bucket_do_not_mix(spark, tmp_path, monkeypatch):
+    """All domains in one state row give the same as each in its own."""
+    monkeypatch.setattr(crawl_queue, "BUCKETS", 1)
+    rows = [(f"d{n}", "link" if n % 3 else "crawled", n % 7) for n in range(40)]
+    rows += [(f"d{n}", "crawled", 9) for n in range(0, 40, 4)] + [("z", "link", 20)]
+    got = run_queue(spark, tmp_path / "a", rows) and run_queue(spark, tmp_path / "a", [("z", "link", 90)])
+    want = []
+    for n in range(40):
+        links = [h for d, k, h in rows if d == f"d{n}" and k == "link"]
+        fetches = [h for d, k, h in rows if d == f"d{n}" and k == "crawled"]
+        want += [(f"d{n}", h) for h in replay(links, fetches, 89, 24)]
+    assert got == sorted([*want, ("z", 20)])

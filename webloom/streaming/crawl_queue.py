@@ -11,8 +11,10 @@ moment links come before fetches. What is queued depends on the events alone, no
 they fall into batches: an event waits in the state until the watermark is past it, and
 timers on the watermark bring expired domains back without a new event.
 
-State is one small row per domain (its phase, the moment it expires, waiting events). A
-domain to which everybody links costs a few rows per task and batch: each task keeps the
+State is a few values per domain (its phase, the moment it expires, waiting events). Domains
+are dealt by hash to ``BUCKETS`` groups whose domains share a state row and a timer: a call
+into Python costs milliseconds, which a domain's few events do not pay for. The number of
+buckets belongs to the checkpoint. A domain to which everybody links costs a few rows per task and batch: each task keeps the
 first and the last of its links before the shuffle. Events without a domain or a
 time and other kinds are left out. Events older than the watermark come too late and
 are dropped; ``delay`` is the time that an event may be late.
@@ -36,7 +38,9 @@ from webloom.streaming.ingest import start
 LINK, CRAWLED = "link", "crawled"
 NEW, QUEUED, FETCHED = 0, 1, 2
 _EVENT = "domain string, kind string, at timestamp"
-_STATE = "phase int, due long, link long, fetches array<long>"
+_STATE = "domains array<string>, phases array<int>, dues array<long>, links array<long>, fetches array<array<long>>"
+# Groups of domains, for up to some hundred million domains.
+BUCKETS = 4096
 
 
 def link_events(links: DataFrame) -> DataFrame:
@@ -101,26 +105,37 @@ def advance(
 
 def _step(expiry: int):
     def run(
-        key: tuple[str], frames: Iterator[pd.DataFrame], state: GroupState
+        key: tuple[int], frames: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
-        phase, due, link, fetches = state.get if state.exists else (NEW, 0, None, [])
-        fetched = set(fetches)
+        known = {d: values for d, *values in zip(*state.get)} if state.exists else {}
         for frame in frames:
-            # Plain lists: most domains have few rows, for which columns cost more.
-            for kind, micros in zip(frame["kind"].tolist(), frame["micros"].tolist()):
+            # Plain lists: most buckets have few rows, for which columns cost more.
+            rows = zip(frame["domain"].tolist(), frame["kind"].tolist(), frame["micros"].tolist())
+            for domain, kind, micros in rows:
+                values = known.get(domain)
+                if values is None:
+                    values = known[domain] = [NEW, 0, None, []]
                 if kind == CRAWLED:
-                    fetched.add(micros)
-                elif phase == NEW:
-                    link = micros if link is None else min(link, micros)
+                    if micros not in values[3]:
+                        values[3] = [*values[3], micros]
+                elif values[0] == NEW:
+                    values[2] = micros if values[2] is None else min(values[2], micros)
         # Before the first watermark everything waits.
         now = max(state.getCurrentWatermarkMs(), 0) * 1000
-        queued, phase, due, link, waiting = advance(phase, due, link, list(fetched), now, expiry)
-        state.update((phase, due, link, waiting))
-        times = [*waiting, *([link] if link is not None else []), *([due] if phase == FETCHED else [])]
-        if times:
-            state.setTimeoutTimestamp(-(-min(times) // 1000))
-        if queued:
-            yield pd.DataFrame({"domain": [key[0]] * len(queued), "micros": queued})
+        domains, moments, timer = [], [], None
+        for domain, values in known.items():
+            queued, *values[:] = advance(*values, now, expiry)
+            domains += [domain] * len(queued)
+            moments += queued
+            phase, due, link, waiting = values
+            times = [*waiting, *([link] if link is not None else []), *([due] if phase == FETCHED else [])]
+            if times:
+                timer = min(times) if timer is None else min(timer, *times)
+        state.update(([*known], *map(list, zip(*known.values()))))
+        if timer is not None:
+            state.setTimeoutTimestamp(-(-timer // 1000))
+        if domains:
+            yield pd.DataFrame({"domain": domains, "micros": moments})
 
     return run
 
@@ -134,7 +149,8 @@ def queue(events: DataFrame, expiry_hours: int = 24, delay: str = "1 hour") -> D
         known.mapInArrow(_fewer, _EVENT)
         .withColumn("micros", F.unix_micros("at"))
         .withWatermark("at", delay)
-        .groupBy("domain")
+        .withColumn("bucket", F.pmod(F.xxhash64("domain"), F.lit(BUCKETS)).cast("int"))
+        .groupBy("bucket")
         .applyInPandasWithState(
             _step(expiry_hours * 3_600_000_000),
             "domain string, micros long",
