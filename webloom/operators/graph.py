@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from webloom.functions import urls
-from webloom.session import cut_lineage, stage_table
+from webloom.session import cut_lineage, dealt_by, stage_table
 
 DAMPING = 0.85
 ITERATIONS = 10
@@ -33,11 +33,14 @@ def vertices(latest: DataFrame) -> DataFrame:
 
 
 def edges(links: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Distinct (src, dst) with a known page as dst; self-loops stay."""
-    rough = links.select("src", F.col("link").alias("dst")).distinct()
-    return rough.join(nodes.select(F.col("url").alias("dst")), "dst", "left_semi").select(
-        "src", "dst"
-    )
+    """Distinct (src, dst) with a known page as dst; self-loops stay.
+
+    Links are not sorted to meet the pages, of which there are far fewer, and are dealt to
+    as many tasks as their number needs before repeated ones are dropped.
+    """
+    pages = nodes.select(F.col("url").alias("dst")).hint("shuffle_hash")
+    known = links.select("src", F.col("link").alias("dst")).join(pages, "dst", "left_semi")
+    return dealt_by(known.select("src", "dst"), "src", "dst", rows=links.count()).distinct()
 
 
 def out_degree(edge_rows: DataFrame) -> DataFrame:
@@ -47,7 +50,7 @@ def out_degree(edge_rows: DataFrame) -> DataFrame:
 def transitions(edge_rows: DataFrame, degrees: DataFrame | None = None) -> DataFrame:
     """(src, dst, weight) with weight 1 / out-degree."""
     degrees = out_degree(edge_rows) if degrees is None else degrees
-    return edge_rows.join(degrees, "src").select(
+    return edge_rows.join(degrees.hint("shuffle_hash"), "src").select(
         "src", "dst", (F.lit(1.0) / F.col("out_degree")).alias("weight")
     )
 
