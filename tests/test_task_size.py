@@ -1,7 +1,9 @@
 """Tasks get a bounded number of rows, however many there are."""
 
+from pyspark.sql import functions as F
+
 from webloom import session
-from webloom.operators import graph
+from webloom.operators import graph, index
 
 
 def test_edges_are_dealt_to_more_tasks(spark, monkeypatch):
@@ -15,3 +17,11 @@ def test_edges_are_dealt_to_more_tasks(spark, monkeypatch):
     assert "SortMergeJoin" not in graph.transitions(found)._jdf.queryExecution().executedPlan().toString()
     weights = {r.weight for r in graph.transitions(found).collect()}
     assert weights == {1.0 / len({d for s, d in want if s == "a0"})}
+
+
+def test_postings_of_the_nested_index_are_dealt_to_more_tasks(spark, monkeypatch):
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 100)
+    posts = spark.range(3_000).selectExpr("concat('t', id % 50) as token", "id as doc_key", "1L as tf")
+    nested = index.nested_index(posts, rows=3_000)
+    assert nested.rdd.getNumPartitions() == 30
+    assert nested.agg(F.sum(F.size("docs"))).first()[0] == 3_000

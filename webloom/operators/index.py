@@ -8,9 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from webloom.functions import text as txt
-from webloom.session import stage_table
+from webloom.session import dealt_by, stage_table
 
 DEFAULT_RANK = 0.15
+# A posting comes from at least so many bytes of text, on average.
+BYTES_PER_POSTING = 8
 # Documents per block of the nested index: the most entries one array can get.
 BLOCK_DOCS = 4096
 
@@ -167,21 +169,24 @@ def idf(freqs: DataFrame, corpus: DataFrame) -> DataFrame:
 
 
 def nested_index(
-    index: DataFrame, block: Column | None = None, extra: tuple[str, ...] = ()
+    index: DataFrame,
+    block: Column | None = None,
+    extra: tuple[str, ...] = (),
+    rows: int | None = None,
 ) -> DataFrame:
     """(token, block, docs): the postings of a token as arrays, one per document block.
 
     A block holds at most ``BLOCK_DOCS`` documents, so no array outgrows it even
     for a token that occurs everywhere. The default block suits dense integer
-    keys; hashed keys need ``hash_block``.
+    keys; hashed keys need ``hash_block``. ``rows``: about how many postings there are; they are
+    then dealt to as many tasks as that needs.
     """
     block = F.floor(F.col("doc_key") / BLOCK_DOCS) if block is None else block
     entry = F.struct("doc_key", "tf", *extra)
-    return (
-        index.select("token", block.cast("bigint").alias("block"), entry.alias("entry"))
-        .groupBy("token", "block")
-        .agg(F.array_sort(F.collect_list("entry")).alias("docs"))
-    )
+    flat = index.select("token", block.cast("bigint").alias("block"), entry.alias("entry"))
+    if rows is not None:
+        flat = dealt_by(flat, "token", "block", rows=rows)
+    return flat.groupBy("token", "block").agg(F.array_sort(F.collect_list("entry")).alias("docs"))
 
 
 def hash_block(mappings: DataFrame) -> Column:

@@ -78,10 +78,12 @@ SELECT token, (doc_key // {index.BLOCK_DOCS})::bigint AS block,
 FROM tf JOIN mappings USING (doc_key) GROUP BY 1, 2""",
 )
 def inverted_index(spark: SparkSession, sf: str) -> DataFrame:
-    """Postings with frequency and rank as arrays. Texts move to their document's task,
-    postings once to their token's."""
-    docs = inputs.ranked_documents(spark, sf).repartition("doc_key")
-    nested = index.nested_index(index.postings(index.tokens(docs)), extra=("pagerank",))
+    """Postings with frequency and rank as arrays. Postings are counted inside rows and move
+    once, to their token's task."""
+    docs = inputs.ranked_documents(spark, sf)
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    rows = size // index.BYTES_PER_POSTING
+    nested = index.nested_index(index.document_postings(docs), extra=("pagerank",), rows=rows)
     rank = lambda d: F.round(d["pagerank"] * 1000).cast("bigint")
     docs = F.transform(
         "docs", lambda d: F.concat_ws(":", d["doc_key"], d["tf"], rank(d))
