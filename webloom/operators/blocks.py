@@ -48,8 +48,9 @@ def forward_rows(docs: DataFrame, seq: int, token_chars: str = txt.TOKEN_CHARS)
 
 
 def postings_of(forward: DataFrame) -> DataFrame:
-    """(token, seq, block, doc_key, tf), counted inside each row: its tokens are sorted."""
-    found = forward.select("seq", "block", "doc_key", F.inline(txt.runs("tokens")))
+    """(token, seq, block, doc_key, tf), counted inside each row."""
+    words = F.array_join("tokens", "\0").alias("_words")
+    found = txt.count_words(forward.select("seq", "block", "doc_key", words), "_words", "[^\\0]+")
     return found.select("token", "seq", "block", "doc_key", "tf")
 
 

@@ -135,9 +135,9 @@ def document_postings(docs: DataFrame, token_chars: str = txt.TOKEN_CHARS) -> Da
     their counts added up by one.
     """
     others = [c for c in docs.columns if c != "text"]
-    words = F.sort_array(txt.token_array(F.col("text"), token_chars))
-    rows = docs.select(*others, words.alias("_words"))
-    found = rows.select(*others, F.inline(txt.runs("_words"))).select("token", "doc_key", "tf", *others[1:])
+    rows = docs.select(*others, F.lower("text").alias("_text"))
+    rest = [c for c in others if c != "doc_key"]
+    found = txt.count_words(rows, "_text", f"[{token_chars}]+").select("token", "doc_key", "tf", *rest)
     keys = docs.groupBy("doc_key").agg(F.count(F.lit(1)).alias("n"))
     if keys.where("n > 1").isEmpty():
         return found
