@@ -1,16 +1,25 @@
-"""HTML extraction as Catalyst string expressions: no Python runs per row.
+"""HTML extraction with regular expressions, as Catalyst expressions and on Arrow batches.
 
-A page goes through ``mask_inert`` once. Afterwards every ``<tag`` that is left
+A page is masked once (``mask_inert``). Afterwards every ``<tag`` that is left
 is a real element, so start tags and attributes can be read with plain regular
 expressions. The possessive quantifiers keep each scan linear and iterative.
+
+Single fields are Catalyst expressions. ``parse_pages``, which takes all of them, reads
+the lists of a page in a small helper on Arrow batches with the same patterns: Spark's
+functions on arrays are interpreted value by value, at some ten times the cost.
 """
 
 from __future__ import annotations
 
 import html.entities
+import re
+from collections.abc import Iterator
+from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 WS = r" \t\n\f\r"
 
@@ -281,7 +290,7 @@ def link_targets(masked: Column) -> Column:
 
 def link_class(link: Column) -> Column:
     """First match wins: https, http, files (by ending), else internal."""
-    is_file = link.rlike(f"(?:{'|'.join(FILE_ENDINGS)})\\z")
+    is_file = reduce(lambda a, b: a | b, [link.endswith(e) for e in FILE_ENDINGS])
     return (
         F.when(link.startswith("https"), "https")
         .when(link.startswith("http"), "http")
@@ -358,47 +367,129 @@ _FIELDS = [
     ("meta", "name"),
     ("meta", "content"),
 ]
-_ELEMENTS = ["a", "link", "script", "img", "meta"]
+_TEXTS = 4  # first and second headings, paragraphs, titles
+
+
+def _compiled(pattern: str) -> re.Pattern:
+    """One of the patterns above in Python's dialect, where Java's ``\\z`` is ``\\Z``."""
+    return re.compile(pattern.replace(r"\z", r"\Z"), re.ASCII)
+
+
+_INERT_START = _compiled(
+    rf"(?is)<(?:!--(-?>)?+|({'|'.join(RAW_ELEMENTS + ESCAPABLE_ELEMENTS)})(?:[{WS}/]{_TAG_REST}|>))"
+)
+_INERT_ENDS = {
+    e: _compiled(rf"(?i)</{e}(?:[{WS}/][^>]*+)?>") for e in RAW_ELEMENTS + ESCAPABLE_ELEMENTS
+}
+_COMMENT_END = re.compile("--!?>")
+_CLOSING = _compiled(CLOSING_TAG)
+_FIELD_TAG = _compiled(
+    rf"(?is)<({'|'.join(dict.fromkeys(e for e, _ in _FIELDS))})(?:[{WS}/]{_TAG_REST}|>)"
+)
+_ATTRIBUTE = _compiled(ATTRIBUTE)
+_HEADING, _HEADING_CUT = _compiled(start_tag_pattern("h[12]")), _compiled(f"(?i){HEADING_CUT}")
+_TITLE, _TITLE_CUT = _compiled(start_tag_pattern("title")), _compiled(f"(?i){TITLE_CUT}")
+_PARAGRAPH = _compiled(start_tag_pattern("p"))
+_TAG = _compiled(ANY_TAG)
+_PARAGRAPH_REST = _compiled(f"(?is){PARAGRAPH_CUT}.*|{ANY_TAG}")
+_REFERENCE = _compiled("&(?:#(?:[0-9]+|[xX][0-9a-fA-F]+);?|[A-Za-z][A-Za-z0-9]*+;?)")
+_OLD, _OLD_IN_ATTRIBUTE = (
+    _compiled(_OLD_NAME.removeprefix("^") + end) for end in ("", "(?![A-Za-z0-9=])")
+)
+
+
+def _referred(found: re.Match, old_name: re.Pattern) -> str:
+    """What ``decode_entities`` makes of one reference."""
+    name = found.group()[1:]
+    if name[0] == "#":
+        digits = name[1:].rstrip(";")
+        plain = (digits[1:] if digits[0] in "xX" else digits).lstrip("0") or "0"
+        code = -1 if len(plain) > 7 else int(plain, 16 if digits[0] in "xX" else 10)
+        if 0x80 <= code <= 0x9F:
+            return _CONTROL_RANGE[code - 0x80]
+        return chr(code) if 0 < code < 0xD800 or 0xDFFF < code < 0x110000 else "\ufffd"
+    if name in _ALL_NAMES and name[-1] == ";":
+        return _ALL_NAMES[name]
+    old = old_name.match(found.string, found.start() + 1)
+    return _ALL_NAMES[old.group()] + name[len(old.group()) :] if old else found.group()
+
+
+def _decoded(text: str, old_name: re.Pattern = _OLD) -> str:
+    return _REFERENCE.sub(lambda r: _referred(r, old_name), text) if "&" in text else text
+
+
+def _masked(page: str) -> str:
+    """What ``mask_inert`` does, with a search for the end of each block."""
+    out, at = [], 0
+    while start := _INERT_START.search(page, at):
+        out.append(page[at : start.start()])
+        short, element = start.groups()
+        if element is None:
+            end = start if short else _COMMENT_END.search(page, start.end())
+            at = end.end() if end else len(page)
+            continue
+        end = _INERT_ENDS[element.lower()].search(page, start.end())
+        at = end.end() if end else len(page)
+        block, opening = page[start.start() : at], start.group()
+        closing = _CLOSING.search(block)
+        closing = closing.group() if closing else ""
+        body = block[len(opening) : len(block) - len(closing)]
+        if element.lower() in RAW_ELEMENTS:
+            body = body.replace("&", "&amp;")
+        out += [opening, body.replace("<", "&lt;"), closing]
+    return "".join(out) + page[at:]
+
+
+def _until(masked: str, start: re.Pattern, cut: re.Pattern) -> Iterator[str]:
+    """Pieces from a ``start`` to the next ``cut``."""
+    at = 0
+    while opening := start.search(masked, at):
+        end = cut.search(masked, opening.end())
+        at = end.start() if end else len(masked)
+        yield masked[opening.start() : at]
+
+
+def _lists_of(page: str) -> list[list[str | None]]:
+    """The values of ``_FIELDS``, null where a tag lacks the attribute, then the texts."""
+    masked = _masked(page)
+    tags: dict[str, list[dict[str, str]]] = {e: [] for e, _ in _FIELDS}
+    for tag in _FIELD_TAG.finditer(masked):
+        values: dict[str, str] = {}
+        for name, value in _ATTRIBUTE.findall(tag.group()):
+            # The first of a repeated name counts.
+            values.setdefault(name.lower(), value[1:-1] if value[:1] in ('"', "'") else value)
+        tags[tag[1].lower()].append(values)
+    lists = [
+        [_decoded(a[name], _OLD_IN_ATTRIBUTE) if name in a else None for a in tags[element]]
+        for element, name in _FIELDS
+    ]
+    headings = list(_until(masked, _HEADING, _HEADING_CUT))
+    for level in "12":
+        lists.append([_decoded(_TAG.sub("", h)) for h in headings if h[2] == level])
+    lists.append([_decoded(_PARAGRAPH_REST.sub("", p)) for p in _PARAGRAPH.split(masked)[1:]])
+    lists.append([_decoded(_TAG.sub("", t)) for t in _until(masked, _TITLE, _TITLE_CUT)])
+    return lists
+
+
+def _page_lists(pages: pa.Array) -> pa.Array:
+    """Lists of each page, given as bytes: text with broken characters is no error."""
+    nothing = [None] * (len(_FIELDS) + _TEXTS)
+    rows = [
+        _lists_of(p.as_py().decode("utf-8", "replace")) if p.is_valid else nothing for p in pages
+    ]
+    return pa.array(rows, pa.list_(pa.list_(pa.string())))
 
 
 def parse_pages(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """Replace the HTML column by ``content``; other columns pass through.
 
-    One scan finds all start tags of interest and one all headings. The lists are
-    decoded together, so the plan holds the decoding once for attributes and once for
-    texts. Each step is a projection of its own whose results the next one may use
-    several times.
+    ``_page_lists`` reads and decodes all lists of a page; the projections after it sort
+    the values into their fields.
     """
     others = [c for c in pages.columns if c != html_col]
-    m = F.col("_m")
-    masked = pages.select(*others, mask_inert(F.col(html_col)).alias("_m"))
-    scanned = masked.select(
-        *others,
-        start_tags(m, "|".join(_ELEMENTS)).alias("_tags"),
-        heading_blocks(m).alias("_headings"),
-        _raw_paragraphs(m).alias("_p"),
-        _raw_titles(m).alias("_titles"),
-    )
-    attributes = scanned.select(
-        *others,
-        "_headings",
-        "_p",
-        "_titles",
-        *[tag_attributes(tags_of(F.col("_tags"), e)).alias(f"_{e}") for e in _ELEMENTS],
-    )
-    raw_values = F.array(*[_raw_values(F.col(f"_{e}"), name) for e, name in _FIELDS])
-    raw_texts = F.array(
-        _raw_headings(F.col("_headings"), 1),
-        _raw_headings(F.col("_headings"), 2),
-        F.col("_p"),
-        F.col("_titles"),
-    )
-    decoded = F.concat(
-        F.transform(raw_values, lambda v: _decode_all(v, True)),
-        F.transform(raw_texts, lambda t: _decode_all(t)),
-    )
-    texts = attributes.select(*others, decoded.alias("_t"))
-    part = [F.get("_t", F.lit(i)) for i in range(len(_FIELDS) + 4)]
+    lists_of = F.arrow_udf(_page_lists, T.ArrayType(T.ArrayType(T.StringType())))
+    texts = pages.select(*others, lists_of(F.col(html_col).cast("binary")).alias("_t"))
+    part = [F.get("_t", F.lit(i)) for i in range(len(_FIELDS) + _TEXTS)]
     a_href, link_href, script_src, img_src, charset, name, meta_content, h1, h2, p, titles = part
     lists = texts.select(
         *others,

@@ -1,4 +1,8 @@
-"""Page tags as Catalyst expressions: keywords, phrases, structure, URL."""
+"""Page tags as Catalyst expressions: keywords, phrases, structure, URL.
+
+Only the search for the words of a dictionary runs on Arrow batches: in a chain of
+``contains`` each word costs a slow pass of its own over the text.
+"""
 
 from __future__ import annotations
 
@@ -6,8 +10,13 @@ import re
 from functools import reduce
 from typing import NamedTuple
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+_STRINGS = T.ArrayType(T.StringType())
+_FOUND = T.StructType([T.StructField("tags", _STRINGS), T.StructField("hits", _STRINGS)])
 
 
 class Dictionary(NamedTuple):
@@ -92,19 +101,32 @@ def text_segments(texts: Column) -> Column:
     return F.concat(_list(texts["h1"]), _list(texts["h2"]), _list(texts["p"]))
 
 
-def keyword_tags(segments: Column, keywords: dict[str, list[str]] = KEYWORDS) -> Column:
-    """Tags with at least one word that occurs anywhere in the text, also inside words.
+def _searched(segments: Column, keywords: dict[str, list[str]], starts: list[str]) -> Column:
+    """struct<tags, hits>: tags with a word in the text, segments with any of ``starts``.
 
-    The text is handed to the checks as a lambda variable, so it is put together
-    once and not once per word.
+    Both are looked for in lower case; ``hits`` are as they were and null for null.
     """
-    text = F.array(F.lower(F.array_join(segments, " ")))
-    return F.flatten(
-        F.transform(
-            text,
-            lambda t: _tags_if([(tag, _contains_any(t, words)) for tag, words in keywords.items()]),
-        )
-    )
+
+    def search(lists: pa.Array) -> pa.Array:
+        tags, hits = [], []
+        for cells in lists.to_pylist():
+            # Bytes, as text with broken characters is no error.
+            segments = [c.decode("utf-8", "replace") for c in cells or () if c is not None]
+            lowered = [s.lower() for s in segments]
+            text = " ".join(lowered)
+            tags.append([tag for tag, words in keywords.items() if any(w in text for w in words)])
+            here = [x for x in starts if x in text]
+            held = [s for s, low in zip(segments, lowered) if any(x in low for x in here)]
+            hits.append(None if cells is None else held)
+        strings = pa.list_(pa.string())
+        return pa.StructArray.from_arrays([pa.array(tags, strings), pa.array(hits, strings)], _FOUND.names)
+
+    return F.arrow_udf(search, _FOUND)(segments.cast("array<binary>"))
+
+
+def keyword_tags(segments: Column, keywords: dict[str, list[str]] = KEYWORDS) -> Column:
+    """Tags with at least one word that occurs anywhere in the text, also inside words."""
+    return _searched(segments, keywords, [])["tags"]
 
 
 def _literal_start(pattern: str) -> str:
@@ -128,15 +150,22 @@ def phrase_tags(segments: Column, patterns: list[str] = DEFAULT_DICTIONARY.patte
     searches a segment on its own, but only where its literal start occurs. A
     pattern without a group has no phrase to give and is skipped.
     """
-    none = F.array().cast("array<string>")
+    patterns, starts = _searchable(patterns)
+    return _phrases(_searched(segments, {}, starts)["hits"] if all(starts) else segments, patterns)
+
+
+def _searchable(patterns: list[str]) -> tuple[list[str], list[str]]:
+    """The patterns that have a phrase to give, and their literal starts."""
     patterns = [p for p in patterns if _groups(p)]
+    return patterns, [_literal_start(p) for p in patterns]
+
+
+def _phrases(segments: Column, patterns: list[str]) -> Column:
+    none = F.array().cast("array<string>")
     if not patterns:
         return none
     starts = [_literal_start(p) for p in patterns]
-    may_match = (
-        (lambda s: _contains_any(s, starts)) if all(starts) else (lambda s: F.lit(True))
-    )
-    hits = F.filter(F.transform(segments, lambda s: F.lower(s)), may_match)
+    hits = F.transform(segments, lambda s: F.lower(s))
     phrases = F.flatten(
         F.transform(
             hits,
@@ -181,11 +210,13 @@ def page_tags(
 ) -> Column:
     """All tags of a page, sorted and without duplicates."""
     segments = text_segments(content["texts"])
+    patterns, starts = _searchable(dictionary.patterns)
+    found = _searched(segments, dictionary.keywords, starts)
     return F.array_sort(
         F.array_distinct(
             F.concat(
-                keyword_tags(segments, dictionary.keywords),
-                phrase_tags(segments, dictionary.patterns),
+                found["tags"],
+                _phrases(found["hits"] if all(starts) else segments, patterns),
                 structure_tags(content),
                 url_tags(domain, path),
             )
